@@ -10,9 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paylake.operators import windows
-from paylake.sources import adapters
+from paylake.config import scratch_dir
+from paylake.operators import audit, conform, labels, ordering, proximity, stats, windows
+from paylake.plans import jobs
+from paylake.sources import adapters, tables
+from paylake.sources.schemas import TRANSACTION_TYPES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +55,225 @@ def tx_calendar_flags(spark, sf_dir):
 @query
 def gold_features(spark, sf_dir):
     return windows.gold_features(adapters.events_transactions(spark, sf_dir))
+
+
+@query
+def gold_features_bulk(spark, sf_dir):
+    """Gold features over orders x lineitem: midnight timestamps, many peers."""
+    return windows.gold_features(adapters.orders_transactions(spark, sf_dir))
+
+
+LOOKUP_ID = 777
+
+
+@query
+def point_lookup(spark, sf_dir):
+    """Terminal features of one transaction, computed only over its terminal's
+    rows inside the widest frame (the id filter cannot pass the window)."""
+    tx = windows.add_epoch(adapters.events_transactions(spark, sf_dir))
+    target = tx.where(F.col("TRANSACTION_ID") == LOOKUP_ID).select(
+        "TERMINAL_ID", F.col("TX_TS").alias("_target_ts"))
+    reach = (windows.DEFAULT_DELAY + max(windows.DEFAULT_WINDOWS)) * 86400
+    nearby = (tx.join(target, "TERMINAL_ID", "left_semi")
+              .join(target, "TERMINAL_ID", "inner")
+              .where(F.col("TX_TS").between(F.col("_target_ts") - reach, F.col("_target_ts")))
+              .drop("_target_ts"))
+    feats = windows.add_terminal_risk_features(nearby)
+    return feats.where(F.col("TRANSACTION_ID") == LOOKUP_ID).select(
+        "TRANSACTION_ID", "TX_DATETIME", "TX_FRAUD",
+        *[f"TERMINAL_ID_{m}_{n}DAY_WINDOW" for n in (1, 7, 30) for m in ("NB_TX", "RISK")])
+
+
+# ----------------------------------------------------------- bronze (L1)
+
+@query
+def bronze_csv_scan(spark, sf_dir):
+    return jobs.bronze_transactions(spark, sf_dir)
+
+
+@query
+def bronze_topk_string_order(spark, sf_dir):
+    """Top 3 by TRANSACTION_ID as text (lexicographic: 0, 1, 10)."""
+    return ordering.top_k(jobs.bronze_transactions(spark, sf_dir), 3, F.col("TRANSACTION_ID").asc())
+
+
+@query
+def bronze_table_roundtrip(spark, sf_dir):
+    bronze = jobs.bronze_transactions(spark, sf_dir)
+    db = tables.ensure_database(spark)
+    name = tables.save_table(bronze, tables.table_name("transaction", db, "bronze"), "parquet",
+                             path=scratch_dir(spark, "bronze-table"))
+    return tables.read_table(spark, name)
+
+
+@query
+def raw_csv_roundtrip(spark, sf_dir):
+    """Typed -> raw text CSV -> bronze -> silver equals the (second-truncated) source."""
+    return conform.conform(jobs.bronze_transactions(spark, sf_dir), "transactions")
+
+
+# ----------------------------------------------------------- silver (L2)
+
+@query
+def silver_transactions(spark, sf_dir):
+    """Typing of the corrupted fixture: bad cells become NULL."""
+    return conform.conform(jobs.bronze_transactions(spark, sf_dir, corrupt=True), "transactions")
+
+
+@query
+def silver_terminals(spark, sf_dir):
+    return conform.conform(jobs.bronze_terminals(spark, sf_dir), "terminals")
+
+
+@query
+def silver_customers(spark, sf_dir):
+    silver = conform.conform(jobs.bronze_customers(spark, sf_dir), "customers")
+    return silver.withColumn("available_terminals", F.size("available_terminals"))
+
+
+@query
+def silver_customer_terminals(spark, sf_dir):
+    """List text (plain and numpy-style) parsed back to ids, one row per pair."""
+    silver = conform.conform(jobs.bronze_customers(spark, sf_dir), "customers")
+    return silver.select("CUSTOMER_ID", F.explode("available_terminals").alias("TERMINAL_ID"))
+
+
+@query
+def preview_topk(spark, sf_dir):
+    silver = conform.conform(jobs.bronze_transactions(spark, sf_dir), "transactions")
+    return ordering.top_k(silver, 3, F.col("TRANSACTION_ID").asc())
+
+
+@query
+def null_audit_transactions(spark, sf_dir):
+    """Audit of the bronze table, as the reference runs it (only the
+    empty amount cells are NULL before typing)."""
+    return audit.null_audit(jobs.bronze_transactions(spark, sf_dir, corrupt=True))
+
+
+@query
+def null_audit_transactions_silver(spark, sf_dir):
+    return audit.null_audit(conform.conform(jobs.bronze_transactions(spark, sf_dir, corrupt=True),
+                                            "transactions"))
+
+
+@query
+def null_audit_customers(spark, sf_dir):
+    return audit.null_audit(jobs.bronze_customers(spark, sf_dir))
+
+
+@query
+def null_audit_terminals(spark, sf_dir):
+    return audit.null_audit(jobs.bronze_terminals(spark, sf_dir))
+
+
+@query
+def cast_loss_audit(spark, sf_dir):
+    return audit.cast_loss_audit(jobs.bronze_transactions(spark, sf_dir, corrupt=True), TRANSACTION_TYPES)
+
+
+@query
+def schema_report(spark, sf_dir):
+    return audit.schema_report(jobs.bronze_transactions(spark, sf_dir, corrupt=True), TRANSACTION_TYPES)
+
+
+# -------------------------------------------------------------- proximity
+
+@query
+def customers_within_radius(spark, sf_dir):
+    return proximity.terminals_within_radius(adapters.customers(spark, sf_dir), adapters.terminals(spark, sf_dir),
+                                             jobs.DEFAULT_RADIUS)
+
+
+@query
+def customer_terminal_counts(spark, sf_dir):
+    cust = adapters.customers(spark, sf_dir)
+    pairs = proximity.terminals_within_radius(cust, adapters.terminals(spark, sf_dir), jobs.DEFAULT_RADIUS)
+    return proximity.terminal_counts(cust, pairs)
+
+
+# ----------------------------------------------------------------- labels
+
+def _label_inputs(spark, sf_dir):
+    tx = adapters.events_transactions(spark, sf_dir)
+    terms = tx.select("TERMINAL_ID").distinct()
+    custs = tx.select("CUSTOMER_ID").distinct()
+    return tx, terms, custs
+
+
+@query
+def label_threshold(spark, sf_dir):
+    tx = adapters.events_transactions(spark, sf_dir)
+    hit = labels.threshold_hits(tx)
+    return tx.select("TRANSACTION_ID", "TX_AMOUNT", hit.cast("int").alias("TX_FRAUD"),
+                     F.when(hit, 1).otherwise(0).alias("TX_FRAUD_SCENARIO"))
+
+
+@query
+def sample_k_per_day(spark, sf_dir):
+    tx, terms, custs = _label_inputs(spark, sf_dir)
+    n = labels.n_start_days(tx)
+    t = labels.compromised_terminals(terms, n).select(
+        "start_day", F.lit("terminal").alias("entity_kind"), F.col("TERMINAL_ID").alias("entity_id"))
+    c = labels.compromised_customers(custs, n).select(
+        "start_day", F.lit("customer").alias("entity_kind"), F.col("CUSTOMER_ID").alias("entity_id"))
+    return t.unionByName(c)
+
+
+@query
+def label_compromised_terminals(spark, sf_dir):
+    tx, terms, _ = _label_inputs(spark, sf_dir)
+    comp = labels.compromised_terminals(terms, labels.n_start_days(tx))
+    return labels.terminal_hits(tx, comp).select("TRANSACTION_ID", "TERMINAL_ID", "TX_TIME_DAYS")
+
+
+@query
+def label_compromised_customers(spark, sf_dir):
+    tx, _, custs = _label_inputs(spark, sf_dir)
+    return labels.customer_hits(tx, labels.compromised_customers(custs, labels.n_start_days(tx)))
+
+
+@query
+def label_fraud_scenarios(spark, sf_dir):
+    return labels.labelled(*_label_inputs(spark, sf_dir))
+
+
+@query
+def scenario_increment_counts(spark, sf_dir):
+    return labels.scenario_increment_counts(labels.label_frauds(*_label_inputs(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ stats
+
+@query
+def daily_fraud_stats(spark, sf_dir):
+    return stats.daily_stats(labels.labelled(*_label_inputs(spark, sf_dir)))
+
+
+@query
+def daily_stats_long(spark, sf_dir):
+    return stats.daily_stats_long(stats.daily_stats(labels.labelled(*_label_inputs(spark, sf_dir))))
+
+
+@query
+def fraud_rate(spark, sf_dir):
+    return stats.fraud_rate(labels.labelled(*_label_inputs(spark, sf_dir)))
+
+
+@query
+def customer_profile_estimate(spark, sf_dir):
+    return stats.customer_profile_estimate(adapters.events_transactions(spark, sf_dir))
+
+
+# --------------------------------------------------------------- ordering
+
+@query
+def chronological_ids(spark, sf_dir):
+    tx = adapters.events_transactions(spark, sf_dir)
+    return ordering.chronological_ids(tx, out="CHRONO_ID").select("TRANSACTION_ID", "CHRONO_ID")
+
+
+@query
+def tx_time_offsets(spark, sf_dir):
+    tx = adapters.events_transactions(spark, sf_dir)
+    return ordering.within_day(ordering.time_offsets(tx, adapters.EVENTS_ORIGIN))
