@@ -83,22 +83,376 @@ SELECT TRANSACTION_ID, TX_DATETIME,
 FROM tx
 """
 
-SQL["gold_features"] = f"""
-WITH {TX},
-cust AS (
-  SELECT TRANSACTION_ID, {_cust_cols()}
-  FROM tx {CUSTOMER_WINDOWS}
-),
-term AS (
-  SELECT TRANSACTION_ID, {_term_cols()}
-  FROM tx {TERMINAL_WINDOWS}
-)
-SELECT tx.TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TERMINAL_ID, TX_AMOUNT, TX_TIME_SECONDS,
+def gold_sql(tx_cte: str) -> str:
+    return f"""
+WITH {tx_cte}
+SELECT TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TERMINAL_ID, TX_AMOUNT, TX_TIME_SECONDS,
   TX_TIME_DAYS, TX_FRAUD, TX_FRAUD_SCENARIO,
   CASE WHEN isodow(TX_DATETIME) IN (6, 7) THEN 1 ELSE 0 END AS TX_DURING_WEEKEND,
   CASE WHEN hour(TX_DATETIME) BETWEEN 0 AND 5 THEN 1 ELSE 0 END AS TX_DURING_NIGHT,
   TX_TS,
-  cust.* EXCLUDE (TRANSACTION_ID),
-  term.* EXCLUDE (TRANSACTION_ID)
-FROM tx JOIN cust USING (TRANSACTION_ID) JOIN term USING (TRANSACTION_ID)
+  {_cust_cols()},
+  {_term_cols()}
+FROM tx
+{CUSTOMER_WINDOWS},
+{TERMINAL_WINDOWS.replace("WINDOW", "", 1)}
+"""
+
+
+SQL["gold_features"] = gold_sql(TX)
+
+# Transactions adapted from ``orders`` x ``lineitem``.
+TXB = """
+tx AS (
+  SELECT l_orderkey * 8 + l_linenumber AS TRANSACTION_ID,
+         o_orderdate AS TX_DATETIME,
+         o_custkey AS CUSTOMER_ID,
+         l_suppkey AS TERMINAL_ID,
+         l_extendedprice AS TX_AMOUNT,
+         CAST(floor(epoch(o_orderdate)) - epoch(TIMESTAMP '1995-01-01 00:00:00') AS INTEGER) AS TX_TIME_SECONDS,
+         CAST(floor((floor(epoch(o_orderdate)) - epoch(TIMESTAMP '1995-01-01 00:00:00')) / 86400.0) AS INTEGER)
+           AS TX_TIME_DAYS,
+         CAST(l_returnflag = 'R' AS INTEGER) AS TX_FRAUD,
+         0 AS TX_FRAUD_SCENARIO,
+         CAST(floor(epoch(o_orderdate)) AS BIGINT) AS TX_TS,
+         CAST(round(l_extendedprice * 100) AS BIGINT) AS units
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+)"""
+
+SQL["gold_features_bulk"] = gold_sql(TXB)
+
+SQL["point_lookup"] = f"""
+WITH {TX}
+SELECT * FROM (
+  SELECT TRANSACTION_ID, TX_DATETIME, TX_FRAUD,
+    {_term_cols()}
+  FROM tx
+  {TERMINAL_WINDOWS}
+) WHERE TRANSACTION_ID = 777
+"""
+
+# ----------------------------------------------------------------- bronze
+
+TX_COLS = ["TRANSACTION_ID", "TX_DATETIME", "CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT",
+           "TX_TIME_SECONDS", "TX_TIME_DAYS", "TX_FRAUD", "TX_FRAUD_SCENARIO"]
+
+BRONZE_SELECT = ",\n  ".join(
+    f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" if c == "TX_DATETIME" else f"CAST({c} AS VARCHAR) AS {c}"
+    for c in TX_COLS)
+
+SQL["bronze_csv_scan"] = f"""
+WITH {TX}
+SELECT {BRONZE_SELECT} FROM tx
+"""
+
+SQL["bronze_table_roundtrip"] = SQL["bronze_csv_scan"]
+
+SQL["bronze_topk_string_order"] = f"""
+WITH {TX}
+SELECT {BRONZE_SELECT} FROM tx ORDER BY CAST(TRANSACTION_ID AS VARCHAR) LIMIT 3
+"""
+
+SILVER_CLEAN = """
+  SELECT TRANSACTION_ID, date_trunc('second', TX_DATETIME) AS TX_DATETIME, CUSTOMER_ID, TERMINAL_ID,
+         TX_AMOUNT, TX_TIME_SECONDS, TX_TIME_DAYS, TX_FRAUD, TX_FRAUD_SCENARIO
+  FROM tx"""
+
+SQL["raw_csv_roundtrip"] = f"WITH {TX} {SILVER_CLEAN}"
+
+SQL["preview_topk"] = f"WITH {TX} {SILVER_CLEAN} ORDER BY TRANSACTION_ID LIMIT 3"
+
+# Fixture corruption, by key: amount NULL (id % 97 = 0) or 'abc' (= 1);
+# datetime 'bad' (id % 89 = 0); customer '596.0' (id % 83 = 0).
+SILVER_CORRUPT = """
+  SELECT TRANSACTION_ID,
+         CASE WHEN TRANSACTION_ID % 89 = 0 THEN NULL ELSE date_trunc('second', TX_DATETIME) END AS TX_DATETIME,
+         CASE WHEN TRANSACTION_ID % 83 = 0 THEN NULL ELSE CUSTOMER_ID END AS CUSTOMER_ID,
+         TERMINAL_ID,
+         CASE WHEN TRANSACTION_ID % 97 IN (0, 1) THEN NULL ELSE TX_AMOUNT END AS TX_AMOUNT,
+         TX_TIME_SECONDS, TX_TIME_DAYS, TX_FRAUD, TX_FRAUD_SCENARIO
+  FROM tx"""
+
+SQL["silver_transactions"] = f"WITH {TX} {SILVER_CORRUPT}"
+
+
+def _null_audit(cols: list[str], null_if: dict[str, str], source: str) -> str:
+    parts = ["COUNT(*) AS total_rows"]
+    for c in cols:
+        cond = null_if.get(c)
+        parts.append(f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT) AS nulls_{c}" if cond
+                     else f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls_{c}")
+    return f"SELECT {', '.join(parts)} FROM {source}"
+
+
+SQL["null_audit_transactions"] = f"""
+WITH {TX}
+{_null_audit(TX_COLS, {"TX_AMOUNT": "TRANSACTION_ID % 97 = 0"}, "tx")}
+"""
+
+SQL["null_audit_transactions_silver"] = f"""
+WITH {TX}, s AS ({SILVER_CORRUPT})
+{_null_audit(TX_COLS, {}, "s")}
+"""
+
+TX_TYPES = ["bigint", "timestamp_ntz", "bigint", "bigint", "double", "int", "int", "int", "int"]
+_LOSS = {"TX_DATETIME": ("0", "TRANSACTION_ID % 89 = 0"),
+         "CUSTOMER_ID": ("0", "TRANSACTION_ID % 83 = 0"),
+         "TX_AMOUNT": ("TRANSACTION_ID % 97 = 0", "TRANSACTION_ID % 97 IN (0, 1)")}
+
+
+def _cast_loss() -> str:
+    rows = []
+    for c in TX_COLS:
+        b, s = _LOSS.get(c, ("0", "0"))
+        b = "FALSE" if b == "0" else b
+        s = "FALSE" if s == "0" else s
+        rows.append(f"SELECT '{c}' AS column_name, CAST(COUNT(*) FILTER (WHERE {b}) AS BIGINT) AS bronze_nulls, "
+                    f"CAST(COUNT(*) FILTER (WHERE {s}) AS BIGINT) AS silver_nulls FROM tx")
+    return " UNION ALL ".join(rows)
+
+
+SQL["cast_loss_audit"] = f"""
+WITH {TX}, a AS ({_cast_loss()})
+SELECT column_name, bronze_nulls, silver_nulls, silver_nulls - bronze_nulls AS lost_cells FROM a
+"""
+
+
+def _schema_report() -> str:
+    rows = []
+    for pos, (c, t) in enumerate(zip(TX_COLS, TX_TYPES)):
+        b, s = _LOSS.get(c, ("0", "0"))
+        b = "FALSE" if b == "0" else b
+        s = "FALSE" if s == "0" else s
+        rows.append(f"SELECT CAST({pos} AS INTEGER) AS position, '{c}' AS column_name, 'string' AS actual_type, "
+                    f"'{t}' AS declared_type, CAST(COUNT(*) FILTER (WHERE NOT ({b})) AS BIGINT) AS filled_cells, "
+                    f"CAST(COUNT(*) FILTER (WHERE NOT ({s})) AS BIGINT) AS typed_cells FROM tx")
+    return " UNION ALL ".join(rows)
+
+
+SQL["schema_report"] = f"WITH {TX} {_schema_report()}"
+
+# --------------------------------------------------------------- profiles
+
+GEO = """
+cust AS (
+  SELECT c_custkey AS CUSTOMER_ID,
+         CAST((c_custkey * 7919) % 10000 AS DOUBLE) / CAST(100 AS DOUBLE) AS x_customer_id,
+         CAST((c_custkey * 6101) % 10000 AS DOUBLE) / CAST(100 AS DOUBLE) AS y_customer_id
+  FROM customer
+),
+term AS (
+  SELECT s_suppkey AS TERMINAL_ID,
+         CAST((s_suppkey * 4733) % 10000 AS DOUBLE) / CAST(100 AS DOUBLE) AS x_terminal_id,
+         CAST((s_suppkey * 3571) % 10000 AS DOUBLE) / CAST(100 AS DOUBLE) AS y_terminal_id
+  FROM supplier
+),
+pairs AS (
+  SELECT c.CUSTOMER_ID, t.TERMINAL_ID,
+         sqrt((c.x_customer_id - t.x_terminal_id) * (c.x_customer_id - t.x_terminal_id)
+              + (c.y_customer_id - t.y_terminal_id) * (c.y_customer_id - t.y_terminal_id)) AS distance
+  FROM cust c, term t
+  WHERE sqrt((c.x_customer_id - t.x_terminal_id) * (c.x_customer_id - t.x_terminal_id)
+             + (c.y_customer_id - t.y_terminal_id) * (c.y_customer_id - t.y_terminal_id)) < 5
+)"""
+
+ESTIMATE = """
+est AS (
+  SELECT CUSTOMER_ID,
+         CASE WHEN COUNT(TX_AMOUNT) > 0 THEN CAST(SUM(units) AS DOUBLE)
+              / (CAST(100 AS DOUBLE) * CAST(COUNT(TX_AMOUNT) AS DOUBLE)) END AS mean_amount,
+         CASE WHEN COUNT(TX_AMOUNT) > 1 THEN
+              sqrt(CAST(COUNT(TX_AMOUNT) * SUM(CAST(units AS HUGEINT) * units) - SUM(units) * SUM(units) AS DOUBLE)
+                   / CAST(COUNT(TX_AMOUNT) * (COUNT(TX_AMOUNT) - 1) AS DOUBLE)) / CAST(100 AS DOUBLE) END
+           AS std_amount,
+         CAST(COUNT(*) AS DOUBLE) / CAST((SELECT max(TX_TIME_DAYS) - min(TX_TIME_DAYS) + 1 FROM tx) AS DOUBLE)
+           AS mean_nb_tx_per_day
+  FROM tx GROUP BY CUSTOMER_ID
+)"""
+
+SQL["customer_profile_estimate"] = f"WITH {TX}, {ESTIMATE} SELECT * FROM est"
+
+SQL["customers_within_radius"] = f"WITH {GEO} SELECT CUSTOMER_ID, TERMINAL_ID, distance FROM pairs"
+
+SQL["customer_terminal_counts"] = f"""
+WITH {GEO}
+SELECT c.CUSTOMER_ID, CAST(COUNT(p.TERMINAL_ID) AS INTEGER) AS nb_terminals
+FROM cust c LEFT JOIN pairs p ON c.CUSTOMER_ID = p.CUSTOMER_ID
+GROUP BY c.CUSTOMER_ID
+"""
+
+SQL["silver_terminals"] = f"WITH {GEO} SELECT * FROM term"
+
+SQL["silver_customer_terminals"] = f"WITH {GEO} SELECT CUSTOMER_ID, TERMINAL_ID FROM pairs"
+
+SQL["silver_customers"] = f"""
+WITH {TX}, {GEO}, {ESTIMATE}
+SELECT c.CUSTOMER_ID, c.x_customer_id, c.y_customer_id, e.mean_amount, e.std_amount, e.mean_nb_tx_per_day,
+       CAST((SELECT COUNT(*) FROM pairs p WHERE p.CUSTOMER_ID = c.CUSTOMER_ID) AS INTEGER) AS available_terminals,
+       CAST((SELECT COUNT(*) FROM pairs p WHERE p.CUSTOMER_ID = c.CUSTOMER_ID) AS INTEGER) AS nb_terminals
+FROM cust c LEFT JOIN est e ON c.CUSTOMER_ID = e.CUSTOMER_ID
+"""
+
+_CUST_COLS = ["CUSTOMER_ID", "x_customer_id", "y_customer_id", "mean_amount", "std_amount",
+              "mean_nb_tx_per_day", "available_terminals", "nb_terminals"]
+
+SQL["null_audit_customers"] = f"""
+WITH {TX}, {GEO}, {ESTIMATE},
+prof AS (
+  SELECT c.CUSTOMER_ID, c.x_customer_id, c.y_customer_id, e.mean_amount, e.std_amount, e.mean_nb_tx_per_day,
+         'list' AS available_terminals, 0 AS nb_terminals
+  FROM cust c LEFT JOIN est e ON c.CUSTOMER_ID = e.CUSTOMER_ID
+)
+{_null_audit(_CUST_COLS, {}, "prof")}
+"""
+
+SQL["null_audit_terminals"] = f"""
+WITH {GEO}
+{_null_audit(["TERMINAL_ID", "x_terminal_id", "y_terminal_id"], {}, "term")}
+"""
+
+# ----------------------------------------------------------------- labels
+
+SAMPLES = """
+nd AS (SELECT max(TX_TIME_DAYS) AS n FROM tx),
+days AS (SELECT CAST(unnest(range(0, (SELECT n FROM nd))) AS INTEGER) AS start_day),
+tsample AS (
+  SELECT start_day, TERMINAL_ID FROM (
+    SELECT d.start_day, t.TERMINAL_ID,
+           row_number() OVER (PARTITION BY d.start_day
+             ORDER BY md5(CAST(d.start_day AS VARCHAR) || ':' || CAST(t.TERMINAL_ID AS VARCHAR)), t.TERMINAL_ID) AS rn
+    FROM days d, (SELECT DISTINCT TERMINAL_ID FROM tx WHERE TERMINAL_ID IS NOT NULL) t
+  ) WHERE rn <= 2
+),
+csample AS (
+  SELECT start_day, CUSTOMER_ID FROM (
+    SELECT d.start_day, c.CUSTOMER_ID,
+           row_number() OVER (PARTITION BY d.start_day
+             ORDER BY md5(CAST(d.start_day AS VARCHAR) || ':' || CAST(c.CUSTOMER_ID AS VARCHAR)), c.CUSTOMER_ID) AS rn
+    FROM days d, (SELECT DISTINCT CUSTOMER_ID FROM tx WHERE CUSTOMER_ID IS NOT NULL) c
+  ) WHERE rn <= 3
+),
+thit AS (
+  SELECT TRANSACTION_ID FROM tx
+  WHERE EXISTS (SELECT 1 FROM tsample s WHERE s.TERMINAL_ID = tx.TERMINAL_ID
+                AND tx.TX_TIME_DAYS >= s.start_day AND tx.TX_TIME_DAYS < s.start_day + 28)
+),
+pooled AS (
+  SELECT s.start_day, tx.TRANSACTION_ID,
+         row_number() OVER (PARTITION BY s.start_day
+           ORDER BY md5(CAST(s.start_day AS VARCHAR) || ':' || CAST(tx.TRANSACTION_ID AS VARCHAR)), tx.TRANSACTION_ID) - 1
+           AS rnk,
+         COUNT(*) OVER (PARTITION BY s.start_day) AS n
+  FROM tx JOIN csample s ON s.CUSTOMER_ID = tx.CUSTOMER_ID
+   AND tx.TX_TIME_DAYS >= s.start_day AND tx.TX_TIME_DAYS < s.start_day + 14
+),
+chit AS (
+  SELECT TRANSACTION_ID, COUNT(*) AS hits FROM pooled WHERE rnk < n // 3 GROUP BY TRANSACTION_ID
+),
+flags AS (
+  SELECT tx.*,
+         COALESCE(tx.TX_AMOUNT > 220, FALSE) AS h1,
+         thit.TRANSACTION_ID IS NOT NULL AS h2,
+         COALESCE(chit.hits, 0) AS h3
+  FROM tx LEFT JOIN thit USING (TRANSACTION_ID) LEFT JOIN chit USING (TRANSACTION_ID)
+),
+labelled AS (
+  SELECT TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TERMINAL_ID,
+         CASE WHEN h3 = 0 THEN TX_AMOUNT
+              ELSE list_reduce(list_concat([TX_AMOUNT], list_transform(range(h3), lambda i: CAST(5 AS DOUBLE))),
+                               lambda a, b: a * b) END AS TX_AMOUNT,
+         TX_TIME_SECONDS, TX_TIME_DAYS,
+         CAST(h1 OR h2 OR h3 > 0 AS INTEGER) AS TX_FRAUD,
+         CAST(CASE WHEN h3 > 0 THEN 3 WHEN h2 THEN 2 WHEN h1 THEN 1 ELSE 0 END AS INTEGER) AS TX_FRAUD_SCENARIO,
+         h1, h2, h3
+  FROM flags
+)"""
+
+SQL["label_threshold"] = f"""
+WITH {TX}
+SELECT TRANSACTION_ID, TX_AMOUNT,
+       CAST(COALESCE(TX_AMOUNT > 220, FALSE) AS INTEGER) AS TX_FRAUD,
+       CASE WHEN COALESCE(TX_AMOUNT > 220, FALSE) THEN 1 ELSE 0 END AS TX_FRAUD_SCENARIO
+FROM tx
+"""
+
+SQL["sample_k_per_day"] = f"""
+WITH {TX}, {SAMPLES}
+SELECT start_day, 'terminal' AS entity_kind, TERMINAL_ID AS entity_id FROM tsample
+UNION ALL
+SELECT start_day, 'customer' AS entity_kind, CUSTOMER_ID AS entity_id FROM csample
+"""
+
+SQL["label_compromised_terminals"] = f"""
+WITH {TX}, {SAMPLES}
+SELECT tx.TRANSACTION_ID, tx.TERMINAL_ID, tx.TX_TIME_DAYS FROM tx JOIN thit USING (TRANSACTION_ID)
+"""
+
+SQL["label_compromised_customers"] = f"WITH {TX}, {SAMPLES} SELECT TRANSACTION_ID, hits FROM chit"
+
+SQL["label_fraud_scenarios"] = f"""
+WITH {TX}, {SAMPLES}
+SELECT TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TERMINAL_ID, TX_AMOUNT, TX_TIME_SECONDS, TX_TIME_DAYS,
+       TX_FRAUD, TX_FRAUD_SCENARIO
+FROM labelled
+"""
+
+SQL["scenario_increment_counts"] = f"""
+WITH {TX}, {SAMPLES}
+SELECT COUNT(*) FILTER (WHERE h1) AS nb_frauds_scenario_1,
+       COUNT(*) FILTER (WHERE h2 AND NOT h1) AS nb_frauds_scenario_2,
+       COUNT(*) FILTER (WHERE h3 > 0 AND NOT h1 AND NOT h2) AS nb_frauds_scenario_3,
+       COUNT(*) FILTER (WHERE h1 OR h2 OR h3 > 0) AS nb_frauds_total
+FROM labelled
+"""
+
+DAILY = """
+daily AS (
+  SELECT TX_TIME_DAYS, COUNT(CUSTOMER_ID) AS nb_tx, CAST(COALESCE(SUM(TX_FRAUD), 0) AS BIGINT) AS nb_fraud,
+         COUNT(DISTINCT CASE WHEN TX_FRAUD > 0 THEN CUSTOMER_ID END) AS nb_fraud_cards
+  FROM labelled GROUP BY TX_TIME_DAYS
+)"""
+
+SQL["daily_fraud_stats"] = f"WITH {TX}, {SAMPLES}, {DAILY} SELECT * FROM daily"
+
+SQL["daily_stats_long"] = f"""
+WITH {TX}, {SAMPLES}, {DAILY}
+SELECT TX_TIME_DAYS, 'nb_tx_per_day' AS stat_type, CAST(nb_tx AS DOUBLE) / CAST(50 AS DOUBLE) AS value FROM daily
+UNION ALL
+SELECT TX_TIME_DAYS, 'nb_fraud_per_day', CAST(nb_fraud AS DOUBLE) FROM daily
+UNION ALL
+SELECT TX_TIME_DAYS, 'nb_fraudcard_per_day', CAST(nb_fraud_cards AS DOUBLE) FROM daily
+"""
+
+SQL["fraud_rate"] = f"""
+WITH {TX}, {SAMPLES}
+SELECT COUNT(*) AS nb_tx, CAST(COALESCE(SUM(TX_FRAUD), 0) AS BIGINT) AS nb_fraud,
+       CAST(SUM(TX_FRAUD) AS DOUBLE) / CAST(COUNT(TX_FRAUD) AS DOUBLE) AS fraud_rate
+FROM labelled
+"""
+
+# --------------------------------------------------------------- ordering
+
+SQL["chronological_ids"] = f"""
+WITH {TX}
+SELECT TRANSACTION_ID,
+       row_number() OVER (ORDER BY TX_DATETIME NULLS FIRST, CUSTOMER_ID NULLS FIRST, TERMINAL_ID NULLS FIRST,
+                          TX_AMOUNT NULLS FIRST, TRANSACTION_ID NULLS FIRST) - 1 AS CHRONO_ID
+FROM tx
+"""
+
+SQL["tx_time_offsets"] = f"""
+WITH {TX},
+o AS (
+  SELECT TRANSACTION_ID,
+         CAST(floor(epoch(TX_DATETIME)) - epoch(TIMESTAMP '2024-01-01 00:00:00') AS BIGINT) AS TX_TIME_SECONDS,
+         TX_AMOUNT
+  FROM tx
+)
+SELECT TRANSACTION_ID, TX_TIME_SECONDS,
+       CAST(floor(TX_TIME_SECONDS / 86400.0) AS INTEGER) AS TX_TIME_DAYS,
+       CAST(((TX_TIME_SECONDS % 86400) + 86400) % 86400 AS INTEGER) AS TX_SECOND_OF_DAY,
+       TIMESTAMP '2024-01-01 00:00:00' + to_seconds(TX_TIME_SECONDS) AS TX_DATETIME_SECONDS,
+       round_even(TX_AMOUNT, 2) AS TX_AMOUNT
+FROM o
+WHERE ((TX_TIME_SECONDS % 86400) + 86400) % 86400 > 0
 """
