@@ -6,29 +6,34 @@ module computes the same sums without either problem:
 
 1. pre-aggregate rows to one point per (key, second) - map-side combined, so
    a key holding a third of all rows shrinks to at most one row per second;
-2. add a zero-weight *probe* point at ``t + offset`` for every frame edge;
-3. running sums per (key, time bucket) ordered by time - a group never holds
-   more than ``bucket_seconds`` distinct seconds plus their probes;
-4. a per-key prefix over bucket totals (one row per bucket) gives each
-   bucket's base, so base + running = sum over all points <= position;
-5. a frame [t+lo, t+hi] is C(t+hi) - C(t+lo-1), gathered per (key, t).
-
-Sums are integers, so the differences are exact.  Rows with a NULL time
-form one peer group per key (as Spark's RANGE frames treat them): every
-frame of such a row covers exactly the NULL-time rows of its key.
+2. cut time into buckets at least as wide as the longest look-back L; each
+   point belongs to its bucket and is copied once into the next bucket as
+   history, so a (key, bucket) group holds at most 2 buckets of seconds
+   whatever the skew;
+3. per (key, bucket), running sums with frames (UNBOUNDED PRECEDING, t + o)
+   - incremental frames, linear in the group - for every frame edge o;
+4. a frame [t + lo, t + hi] of an owned point is C(t + hi) - C(t + lo - 1);
+   both running sums start at the same history row, so the difference is
+   exact (measures are integers).
+
+Rows with a NULL time form one peer group per key (as Spark's RANGE frames
+treat them): every frame of such a row covers exactly the NULL-time rows of
+its key, i.e. the pre-aggregated point itself.
 
 Keys are carried as (``_k`` = coalesce(key, 0), ``_kn`` = key is null) so
-that a NULL key is its own group and every join below is a plain equi-join
-on columns the data is already partitioned by.
+that a NULL key is its own group and the joins are plain equi-joins.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY_COLS = ["_k", "_kn"]
 JOIN_COLS = ["_k", "_kn", "_tn", "_t"]
+DAY = 86400
 
 
 def key_columns(key: str, t: str) -> list[Column]:
@@ -41,76 +46,55 @@ def key_columns(key: str, t: str) -> list[Column]:
     ]
 
 
+def bucket_width(frames: dict[str, tuple[int, int]]) -> int:
+    """Whole days covering the longest look-back (lo - 1 of the widest frame)."""
+    reach = max(1 - lo for lo, _ in frames.values())
+    return max(1, math.ceil(reach / DAY)) * DAY
+
+
 def frame_sums(df: DataFrame, key: str, t: str, measures: dict[str, Column],
-               frames: dict[str, tuple[int, int]], bucket_seconds: int = 86400) -> DataFrame:
+               frames: dict[str, tuple[int, int]], bucket_seconds: int | None = None) -> DataFrame:
     """Per distinct (key, t): sum of each measure over rows of the same key
-    with time in [t + lo, t + hi] for every frame ``name -> (lo, hi)``.
+    with time in [t + lo, t + hi] for every frame ``name -> (lo, hi)``
+    (offsets in seconds, lo <= hi <= 0).
 
     Returns JOIN_COLS plus ``{frame}__{measure}`` bigint columns.  Measures
     must be non-null integer expressions (coalesce before passing).
     """
     names = list(measures)
     for lo, hi in frames.values():
-        if lo > hi:
-            raise ValueError("frame lower bound above upper bound")
-    rows = df.select(*key_columns(key, t), *[measures[m].cast("bigint").alias(m) for m in names])
+        if lo > hi or hi > 0:
+            raise ValueError("frames must satisfy lo <= hi <= 0")
+    width = bucket_seconds or bucket_width(frames)
+    if width < max(1 - lo for lo, _ in frames.values()):
+        raise ValueError("bucket narrower than the longest look-back")
+
+    # 1. one point per (key, second); NULL-time rows collapse to one point per key.
+    pts = (df.select(*key_columns(key, t), *[measures[m].cast("bigint").alias(m) for m in names])
+           .groupBy(*JOIN_COLS).agg(*[F.sum(m).alias(m) for m in names]))
+
+    # 2. owned copy in its bucket, history copy in the next one; a NULL-time
+    #    point stays alone in a bucket of its own.
+    b = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
+    copies = F.when(F.col("_tn"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    spread = (pts.withColumn("_hist", F.explode(copies))
+              .withColumn("_b", F.when(F.col("_tn"), F.lit(None).cast("bigint"))
+                          .otherwise(b + F.col("_hist").cast("bigint"))))
+
+    # 3. incremental running sums per (key, bucket) for every frame edge.
+    offsets = sorted({hi for _, hi in frames.values()} | {lo - 1 for lo, _ in frames.values()})
+    base = Window.partitionBy(*KEY_COLS, "_b").orderBy("_t")
+    running = {(o, m): F.sum(m).over(base.rangeBetween(Window.unboundedPreceding, o)) for o in offsets for m in names}
 
-    # 1. one point per (key, second); NULL-time rows handled separately.
-    pts = (rows.where(~F.col("_tn"))
-           .groupBy("_k", "_kn", "_t")
-           .agg(*[F.sum(m).alias(m) for m in names]))
+    def c(o: int, m: str) -> Column:
+        return F.coalesce(running[(o, m)], F.lit(0).cast("bigint"))
 
-    offsets = sorted({hi for _, hi in frames.values()} | {lo - 1 for lo, _ in frames.values()})
-    probe_offsets = [o for o in offsets if o != 0]
-
-    # 2. data points and probes share one layout: position, probe flag, origin.
-    data = pts.select(*KEY_COLS, F.col("_t").alias("_pos"), F.lit(0).alias("_probe"),
-                      F.col("_t").alias("_origin"), F.lit(0).cast("bigint").alias("_off"),
-                      *[F.col(m) for m in names])
-    parts = [data]
-    if probe_offsets:
-        probes = (pts.select(*KEY_COLS, F.col("_t").alias("_origin"),
-                             F.explode(F.array(*[F.lit(o).cast("bigint") for o in probe_offsets])).alias("_off"))
-                  .select(*KEY_COLS, (F.col("_origin") + F.col("_off")).alias("_pos"),
-                          F.lit(1).alias("_probe"), "_origin", "_off",
-                          *[F.lit(0).cast("bigint").alias(m) for m in names]))
-        parts.append(probes)
-    unified = parts[0]
-    for p in parts[1:]:
-        unified = unified.unionByName(p)
-    unified = unified.withColumn("_b", F.floor(F.col("_pos") / F.lit(bucket_seconds)).cast("bigint"))
-
-    # 3. running sums inside each (key, bucket); probes sort after data at equal time.
-    w_in = (Window.partitionBy(*KEY_COLS, "_b").orderBy("_pos", "_probe")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = unified.select(*KEY_COLS, "_b", "_probe", "_origin", "_off",
-                             *[F.sum(m).over(w_in).alias(f"_run_{m}") for m in names])
-
-    # 4. bucket bases: per-key prefix over bucket totals (one row per bucket).
-    totals = unified.groupBy(*KEY_COLS, "_b").agg(*[F.sum(m).alias(f"_tot_{m}") for m in names])
-    w_b = Window.partitionBy(*KEY_COLS).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*KEY_COLS, "_b",
-                          *[F.coalesce(F.sum(f"_tot_{m}").over(w_b), F.lit(0)).alias(f"_base_{m}")
-                            for m in names])
-    cum = (running.join(bases, [*KEY_COLS, "_b"], "inner")
-           .select(*KEY_COLS, "_origin", "_off",
-                   *[(F.col(f"_base_{m}") + F.col(f"_run_{m}")).alias(f"_c_{m}") for m in names]))
-
-    # 5. gather the edge values of every origin and take differences.
-    def edge(o: int, m: str) -> Column:
-        return F.max(F.when(F.col("_off") == F.lit(o), F.col(f"_c_{m}")))
-
-    gathered = cum.groupBy(*KEY_COLS, "_origin").agg(
-        *[edge(o, m).alias(f"_e{i}_{m}") for i, o in enumerate(offsets) for m in names])
-    idx = {o: i for i, o in enumerate(offsets)}
-    timed = gathered.select(
-        *KEY_COLS, F.lit(False).alias("_tn"), F.col("_origin").alias("_t"),
-        *[(F.col(f"_e{idx[hi]}_{m}") - F.col(f"_e{idx[lo - 1]}_{m}")).alias(f"{name}__{m}")
-          for name, (lo, hi) in frames.items() for m in names])
-
-    # NULL time: one peer group per key, every frame covers the whole group.
-    nulls = (rows.where(F.col("_tn")).groupBy(*KEY_COLS)
-             .agg(*[F.sum(m).alias(m) for m in names])
-             .select(*KEY_COLS, F.lit(True).alias("_tn"), F.lit(0).cast("bigint").alias("_t"),
-                     *[F.col(m).alias(f"{name}__{m}") for name in frames for m in names]))
-    return timed.unionByName(nulls)
+    # 4. frame = C(t + hi) - C(t + lo - 1), kept for owned points only; a
+    #    NULL-time point's frames are the point itself.
+    def frame(lo: int, hi: int, m: str) -> Column:
+        return F.when(F.col("_tn"), F.col(m)).otherwise(c(hi, m) - c(lo - 1, m))
+
+    return (spread.select(*JOIN_COLS, "_hist",
+                          *[frame(lo, hi, m).alias(f"{name}__{m}")
+                            for name, (lo, hi) in frames.items() for m in names])
+            .where(~F.col("_hist")).drop("_hist"))

@@ -63,7 +63,7 @@ def _risk(frauds: Column, n: Column) -> Column:
 # ---------------------------------------------------------------- split engine
 
 def customer_feature_table(df: DataFrame, windows_days=DEFAULT_WINDOWS, amount_scale: int = 2,
-                           bucket_seconds: int = SECONDS_PER_DAY) -> DataFrame:
+                           bucket_seconds: int | None = None) -> DataFrame:
     """(key columns) -> CUSTOMER_ID_{NB_TX,AVG_AMOUNT}_{n}DAY_WINDOW, one row per (customer, second)."""
     measures = {
         "n": F.lit(1),
@@ -80,7 +80,7 @@ def customer_feature_table(df: DataFrame, windows_days=DEFAULT_WINDOWS, amount_s
 
 
 def terminal_feature_table(df: DataFrame, delay_days: int = DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS,
-                           bucket_seconds: int = SECONDS_PER_DAY) -> DataFrame:
+                           bucket_seconds: int | None = None) -> DataFrame:
     """(key columns) -> TERMINAL_ID_{NB_TX,RISK}_{n}DAY_WINDOW, one row per (terminal, second)."""
     measures = {"n": F.lit(1), "fraud": F.coalesce(F.col("TX_FRAUD").cast("bigint"), F.lit(0))}
     sums = frame_sums(df, "TERMINAL_ID", "TX_TS", measures, terminal_frames(delay_days, windows_days),
@@ -125,7 +125,7 @@ def _direct_terminal(df: DataFrame, delay_days, windows_days) -> DataFrame:
 # ------------------------------------------------------------------ public API
 
 def add_customer_spending_features(df: DataFrame, windows_days=DEFAULT_WINDOWS, engine: str = "split",
-                                   amount_scale: int = 2, bucket_seconds: int = SECONDS_PER_DAY) -> DataFrame:
+                                   amount_scale: int = 2, bucket_seconds: int | None = None) -> DataFrame:
     """Adds TX_TS and the 2 x len(windows_days) customer features."""
     df = add_epoch(df)
     if engine == "direct":
@@ -136,7 +136,7 @@ def add_customer_spending_features(df: DataFrame, windows_days=DEFAULT_WINDOWS,
 
 
 def add_terminal_risk_features(df: DataFrame, delay_days: int = DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS,
-                               engine: str = "split", bucket_seconds: int = SECONDS_PER_DAY) -> DataFrame:
+                               engine: str = "split", bucket_seconds: int | None = None) -> DataFrame:
     """Adds TX_TS and the 2 x len(windows_days) delayed terminal features."""
     df = add_epoch(df)
     if engine == "direct":
@@ -148,11 +148,21 @@ def add_terminal_risk_features(df: DataFrame, delay_days: int = DEFAULT_DELAY, w
 
 def gold_features(silver: DataFrame, engine: str = "split", windows_days=DEFAULT_WINDOWS,
                   delay_days: int = DEFAULT_DELAY, amount_scale: int = 2,
-                  bucket_seconds: int = SECONDS_PER_DAY) -> DataFrame:
-    """Silver transactions -> the gold feature table (silver + 15 columns)."""
+                  bucket_seconds: int | None = None) -> DataFrame:
+    """Silver transactions -> the gold feature table (silver + 15 columns).
+
+    Both feature tables are computed from narrow projections of the same
+    input and joined back to it, so neither family's plan contains the other.
+    """
     df = add_epoch(add_calendar_flags(silver))
-    df = add_customer_spending_features(df, windows_days, engine, amount_scale, bucket_seconds)
-    df = add_terminal_risk_features(df, delay_days, windows_days, engine, bucket_seconds)
+    if engine == "direct":
+        df = _direct_terminal(_direct_customer(df, windows_days), delay_days, windows_days)
+    else:
+        cust = customer_feature_table(df.select("CUSTOMER_ID", "TX_TS", "TX_AMOUNT"), windows_days,
+                                      amount_scale, bucket_seconds)
+        term = terminal_feature_table(df.select("TERMINAL_ID", "TX_TS", "TX_FRAUD"), delay_days,
+                                      windows_days, bucket_seconds)
+        df = _attach(_attach(df, "CUSTOMER_ID", cust), "TERMINAL_ID", term)
     ordered = list(silver.columns) + ["TX_DURING_WEEKEND", "TX_DURING_NIGHT", "TX_TS"]
     ordered += [f"CUSTOMER_ID_{m}_{n}DAY_WINDOW" for n in windows_days for m in ("NB_TX", "AVG_AMOUNT")]
     ordered += [f"TERMINAL_ID_{m}_{n}DAY_WINDOW" for n in windows_days for m in ("NB_TX", "RISK")]
