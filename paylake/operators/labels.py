@@ -61,10 +61,14 @@ def _cells(compromises: DataFrame, key: str, length: int) -> DataFrame:
         F.explode(F.sequence(F.col("start_day"), F.col("start_day") + F.lit(length - 1))).alias("TX_TIME_DAYS"))
 
 
+def terminal_cells(compromises: DataFrame, length: int = TERMINAL_DAYS) -> DataFrame:
+    """Distinct (TERMINAL_ID, TX_TIME_DAYS) cells covered by a compromise."""
+    return _cells(compromises, "TERMINAL_ID", length).select("TERMINAL_ID", "TX_TIME_DAYS").distinct()
+
+
 def terminal_hits(tx: DataFrame, compromises: DataFrame, length: int = TERMINAL_DAYS) -> DataFrame:
     """Transactions at a compromised terminal inside its window (semi join)."""
-    cells = _cells(compromises, "TERMINAL_ID", length).select("TERMINAL_ID", "TX_TIME_DAYS").distinct()
-    return tx.join(cells, ["TERMINAL_ID", "TX_TIME_DAYS"], "left_semi")
+    return tx.join(terminal_cells(compromises, length), ["TERMINAL_ID", "TX_TIME_DAYS"], "left_semi")
 
 
 def customer_hits(tx: DataFrame, compromises: DataFrame, length: int = CUSTOMER_DAYS,
@@ -92,13 +96,12 @@ def label_frauds(tx: DataFrame, terminals: DataFrame, customers: DataFrame,
     :func:`labelled`), used by :func:`scenario_increment_counts`.
     """
     n_days = n_start_days(tx)
-    t_hits = terminal_hits(tx.select("TRANSACTION_ID", "TERMINAL_ID", "TX_TIME_DAYS"),
-                           compromised_terminals(terminals, n_days)).select(
-        "TRANSACTION_ID", F.lit(True).alias("_hit2"))
+    cells = terminal_cells(compromised_terminals(terminals, n_days)).withColumn("_hit2", F.lit(True))
     c_hits = customer_hits(tx, compromised_customers(customers, n_days)).select(
         "TRANSACTION_ID", F.col("hits").alias("_hits3"))
     base = tx.drop("TX_FRAUD", "TX_FRAUD_SCENARIO").withColumn("_hit1", threshold_hits(tx, threshold))
-    j = (base.join(t_hits, "TRANSACTION_ID", "left").join(c_hits, "TRANSACTION_ID", "left")
+    # cells are distinct, so the (terminal, day) join never multiplies rows
+    j = (base.join(cells, ["TERMINAL_ID", "TX_TIME_DAYS"], "left").join(c_hits, "TRANSACTION_ID", "left")
          .withColumns({"_hit2": F.coalesce(F.col("_hit2"), F.lit(False)),
                        "_hits3": F.coalesce(F.col("_hits3"), F.lit(0))}))
     hit3 = F.col("_hits3") > 0
