@@ -2,8 +2,8 @@
 
 ``dense_index`` numbers rows 0..n-1 in a total order without a
 single-partition window.  The order's leading part is described by integer
-*levels* (e.g. day, microsecond, customer), each a monotone function of
-the order prefix:
+*levels* (e.g. day, second, microsecond, customer), each a monotone
+function of the order prefix:
 
 * counts per level prefix -> per-parent prefix sums (small tables: days,
   instants of a day, customers of an instant), composed top-down;
@@ -65,7 +65,11 @@ def chronological_ids(tx: DataFrame, out: str = "TRANSACTION_ID") -> DataFrame:
     The old id column is replaced; pass ``out`` to keep it.
     """
     us = micros_since_epoch("TX_DATETIME")
-    levels = {"_lday": F.floor(us / F.lit(86400 * 10 ** 6)), "_lus": us, "_lcust": F.col("CUSTOMER_ID")}
+    # day -> second -> microsecond -> customer: every prefix-sum group is
+    # bounded (86,400 seconds a day, 10^6 instants a second), and a leaf is
+    # one customer's transactions at one instant.
+    levels = {"_lday": F.floor(us / F.lit(86400 * 10 ** 6)), "_lsec": F.floor(us / F.lit(10 ** 6)),
+              "_lus": us, "_lcust": F.col("CUSTOMER_ID")}
     order = [F.col("TERMINAL_ID").asc_nulls_first(), F.col("TX_AMOUNT").asc_nulls_first(),
              F.col("TRANSACTION_ID").asc_nulls_first()]
     indexed = dense_index(tx, levels, order, "_new_id")
