@@ -71,13 +71,13 @@ def point_lookup(spark, sf_dir):
     """Terminal features of one transaction, computed only over its terminal's
     rows inside the widest frame (the id filter cannot pass the window)."""
     tx = windows.add_epoch(adapters.events_transactions(spark, sf_dir))
-    target = tx.where(F.col("TRANSACTION_ID") == LOOKUP_ID).select(
-        "TERMINAL_ID", F.col("TX_TS").alias("_target_ts"))
+    # one row per terminal of the id (the id filter reaches the parquet scan)
+    target = (tx.where(F.col("TRANSACTION_ID") == LOOKUP_ID).groupBy("TERMINAL_ID")
+              .agg(F.min("TX_TS").alias("_lo"), F.max("TX_TS").alias("_hi")))
     reach = (windows.DEFAULT_DELAY + max(windows.DEFAULT_WINDOWS)) * 86400
-    nearby = (tx.join(target, "TERMINAL_ID", "left_semi")
-              .join(target, "TERMINAL_ID", "inner")
-              .where(F.col("TX_TS").between(F.col("_target_ts") - reach, F.col("_target_ts")))
-              .drop("_target_ts"))
+    nearby = (tx.join(target, "TERMINAL_ID", "inner")
+              .where(F.col("TX_TS").between(F.col("_lo") - reach, F.col("_hi")))
+              .drop("_lo", "_hi"))
     feats = windows.add_terminal_risk_features(nearby)
     return feats.where(F.col("TRANSACTION_ID") == LOOKUP_ID).select(
         "TRANSACTION_ID", "TX_DATETIME", "TX_FRAUD",

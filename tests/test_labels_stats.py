@@ -71,3 +71,11 @@ def test_daily_stats_fraud_free_day(spark):
     long = stats.daily_stats_long(stats.daily_stats(tx))
     assert long.count() == 6
     assert {r.value for r in long.where("stat_type = 'nb_tx_per_day'").collect()} == {3 / 50, 1 / 50}
+
+
+def test_per_day_sample_limits_before_shuffle(spark):
+    ents = spark.range(1, 200).select(F.col("id").alias("TERMINAL_ID"))
+    df = labels.compromised_terminals(ents, F.lit(5))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
