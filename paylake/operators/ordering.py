@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.functions.time import round_half_even, second_of_day, timestamp_from_offset
+from paylake.functions.time import (day_index, round_half_even, second_of_day, seconds_since,
+                                    timestamp_from_offset)
 
 _MIN_LONG = -(2 ** 63)
 EPOCH_NTZ = "1970-01-01 00:00:00"
@@ -86,7 +87,6 @@ def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
 def time_offsets(tx: DataFrame, origin: str, ts: str = "TX_DATETIME") -> DataFrame:
     """Second/day offsets from ``origin``, the second of day, the timestamp
     rebuilt from the offset, and the amount rounded half-even to cents."""
-    from paylake.functions.time import day_index, seconds_since
     secs = seconds_since(ts, origin)
     return tx.select(
         "TRANSACTION_ID",
