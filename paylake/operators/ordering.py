@@ -9,6 +9,8 @@ function of the order prefix:
   instants of a day, customers of an instant), composed top-down;
 * one window per leaf group numbers its rows (a leaf is one customer's
   transactions at one instant - small however the data is skewed);
+* with ``group``, positions restart in every group (used for exact ranks
+  by hash inside large sampling pools).
 * id = composed offset of the leaf + row number - 1.
 
 The big table is shuffled once (by the leaf key); the offset join reuses
@@ -32,25 +34,35 @@ def _level(c: Column) -> Column:
     return F.coalesce(c.cast("bigint"), F.lit(_MIN_LONG))
 
 
-def dense_index(df: DataFrame, levels: dict[str, Column], order: list[Column], out: str = "row_index") -> DataFrame:
-    """Adds ``out``: 0-based position in the order (levels..., order...)."""
+def dense_index(df: DataFrame, levels: dict[str, Column], order: list[Column], out: str = "row_index",
+                group: list[str] | None = None, group_size: str | None = None) -> DataFrame:
+    """Adds ``out``: 0-based position in the order (levels..., order...),
+    counted within ``group`` when given (and the group's size as
+    ``group_size`` when named)."""
+    group = list(group or [])
     names = list(levels)
     keyed = df.withColumns({n: _level(c) for n, c in levels.items()})
     composed = None
     for i, name in enumerate(names):
-        parents = names[:i]
-        counts = keyed.groupBy(*names[:i + 1]).agg(F.count(F.lit(1)).alias("_n"))
-        w = (Window.partitionBy(*parents) if parents else Window.partitionBy()).orderBy(name) \
-            .rowsBetween(Window.unboundedPreceding, -1)
-        off = counts.select(*names[:i + 1], F.coalesce(F.sum("_n").over(w), F.lit(0)).alias(f"_off{i}"))
+        parents = group + names[:i]
+        counts = keyed.groupBy(*parents, name).agg(F.count(F.lit(1)).alias("_n"))
+        w = (Window.partitionBy(*parents) if parents else Window.partitionBy()).orderBy(name)
+        extra = []
+        if i == 0 and group_size:
+            extra = [F.sum("_n").over(Window.partitionBy(*group) if group else Window.partitionBy())
+                     .alias(group_size)]
+        off = counts.select(*parents, name, *extra,
+                            F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                       F.lit(0)).alias(f"_off{i}"))
         if composed is None:
             composed = off.withColumnRenamed(f"_off{i}", "_base")
         else:
             composed = (off.join(composed, parents, "inner")
-                        .select(*names[:i + 1], (F.col("_base") + F.col(f"_off{i}")).alias("_base")))
-    w_leaf = Window.partitionBy(*names).orderBy(*order)
+                        .withColumn("_base", F.col("_base") + F.col(f"_off{i}")).drop(f"_off{i}"))
+    keys = group + names
+    w_leaf = Window.partitionBy(*keys).orderBy(*order)
     numbered = keyed.withColumn("_rn", F.row_number().over(w_leaf))
-    return (numbered.join(composed, names, "inner")
+    return (numbered.join(composed, keys, "inner")
             .withColumn(out, F.col("_base") + F.col("_rn") - 1)
             .drop("_base", "_rn", *names))
 

@@ -8,9 +8,9 @@ deterministic, identical in any SQL engine, and computable in parallel.
                        WindowGroupLimit before the shuffle, so each seed
                        moves at most k rows per task.
 ``hash_rank``          exact 0-based rank by hash inside arbitrarily large
-                       groups: the first 4 hex digits split every group into
-                       up to 65,536 near-equal sub-buckets; a per-group prefix
-                       over sub-bucket counts gives each sub-bucket's offset.
+                       groups: two 16-bit levels of the hash split every group
+                       into near-equal sub-buckets whose counts are
+                       prefix-summed (see ``ordering.dense_index``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylake.operators.ordering import dense_index
+
 
 def seed_hash(seed: Column, key: Column) -> Column:
     """md5 of ``"<seed>:<key>"`` as 32 hex characters."""
@@ -44,16 +46,14 @@ def sample_k_per_seed(entities: DataFrame, key: str, n_seeds: Column, k: int,
 
 
 def hash_rank(df: DataFrame, group: list[str], h: Column, tie: str) -> DataFrame:
-    """Adds ``_rank`` (0-based, by (h, tie) within ``group``) and ``_group_n``."""
-    keyed = df.withColumns({"_h": h, "_sub": F.substring(h, 1, 4)})
-    counts = keyed.groupBy(*group, "_sub").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_prev = Window.partitionBy(*group).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*group)
-    offsets = counts.select(*group, "_sub",
-                            F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)).alias("_off"),
-                            F.sum("_cnt").over(w_all).alias("_group_n"))
-    w_in = Window.partitionBy(*group, "_sub").orderBy("_h", tie)
-    ranked = keyed.withColumn("_rn", F.row_number().over(w_in))
-    return (ranked.join(offsets, [*group, "_sub"], "inner")
-            .withColumn("_rank", F.col("_off") + F.col("_rn") - 1)
-            .drop("_h", "_sub", "_rn", "_off"))
+    """Adds ``_rank`` (0-based, by (h, tie) within ``group``) and ``_group_n``.
+
+    Two 16-bit levels of the hash (hex digits 1-4 and 5-8) split every group:
+    each prefix-sum table holds at most 65,536 rows per parent and a leaf
+    holds about n / 2^32 rows, so no task grows with the group.
+    """
+    keyed = df.withColumn("_h", h)
+    levels = {"_h1": F.conv(F.substring("_h", 1, 4), 16, 10).cast("bigint"),
+              "_h2": F.conv(F.substring("_h", 5, 4), 16, 10).cast("bigint")}
+    ranked = dense_index(keyed, levels, [F.col("_h"), F.col(tie)], "_rank", group=group, group_size="_group_n")
+    return ranked.drop("_h")
