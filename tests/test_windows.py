@@ -130,5 +130,9 @@ def _plan(df):
 def test_split_plan_has_no_key_only_window(spark):
     df = tx_df(spark, random_spec(7, n=50))
     plan = _plan(windows.gold_features(df))
-    assert "rangebetween" not in plan.lower() or "_b" in plan
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    window_lines = [line for line in plan.split("\n") if "Window [" in line]
+    assert len(window_lines) == 2  # one per key family, all frames in one operator
+    assert all("_b#" in line for line in window_lines)  # partitioned by (key, bucket)
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    direct = _plan(windows.gold_features(df, engine="direct"))
+    assert direct.count("Exchange hashpartitioning") == 2
