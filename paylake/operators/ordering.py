@@ -42,10 +42,13 @@ def dense_index(df: DataFrame, levels: dict[str, Column], order: list[Column], o
     group = list(group or [])
     names = list(levels)
     keyed = df.withColumns({n: _level(c) for n, c in levels.items()})
+    # one pass over the rows at the finest level; coarser counts roll up from it
+    finest = keyed.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_n"))
     composed = None
     for i, name in enumerate(names):
         parents = group + names[:i]
-        counts = keyed.groupBy(*parents, name).agg(F.count(F.lit(1)).alias("_n"))
+        counts = (finest if i == len(names) - 1 else
+                  finest.groupBy(*parents, name).agg(F.sum("_n").alias("_n")))
         w = (Window.partitionBy(*parents) if parents else Window.partitionBy()).orderBy(name)
         extra = []
         if i == 0 and group_size:
