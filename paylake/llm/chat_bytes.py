@@ -45,8 +45,8 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     role, text = raw_buffers(escape(roles)), raw_buffers(escape(texts))
     n = len(texts)
     columns = [sources[0], role, sources[1], text, sources[2]]
-    lengths = np.stack([np.diff(x[0]) if x in (role, text) else np.full(n, len(x[1])) for x in columns], axis=1) if n \
-        else np.zeros((0, 5), np.int64)
+    lengths = np.stack([np.diff(offsets) if k in (1, 3) else np.full(n, len(data))
+                        for k, (offsets, data) in enumerate(columns)], axis=1)
     flat = lengths.ravel()
     at = (np.cumsum(flat) - flat).reshape(n, 5)
     out = np.empty(int(flat.sum()), dtype=np.uint8)

@@ -238,7 +238,7 @@ def _island_pass(capacity: int, epoch: int):
 
 def _gather(islands: int):
     """One shard's pieces to a record per island."""
-    def run(key, group: pa.Table) -> pa.Table:
+    def run(key, group):
         group = group.sort_by("row")
         rows = group.column("row").to_numpy().astype("<i8").tobytes()
         sizes = group.column("length").to_numpy().astype("<i4").tobytes()
