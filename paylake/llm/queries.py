@@ -93,7 +93,7 @@ WITH RECURSIVE p AS (
          {_node('url')} AS node, url, html FROM pages),
 found AS (
   SELECT host, node, unnest([
-    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'), x -> regexp_matches(x, '(?is)\\brel\\s*=\\s*["'']?canonical\\b'))[1],
+    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\\brel\\s*=\\s*["'']?canonical\\b'))[1],
                    '(?is)\\bhref\\s*=\\s*["'']?([^"''>\\s]+)', 1),
     regexp_extract(html, '(?is)<meta\\b[^>]*?http-equiv\\s*=\\s*["'']?refresh[^>]*?url\\s*=\\s*["'']?([^"''>\\s]+)', 1)]) AS t
   FROM p WHERE node IS NOT NULL),
@@ -146,7 +146,7 @@ FROM e GROUP BY conv_id
 """
 
 OP10 = r"""
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents),
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
 win AS (SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w WHERE len(words) >= 13),
 h AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS t FROM win),
 m AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) AS low FROM h) WHERE doc_id > low),
