@@ -29,7 +29,7 @@ ISLANDS = 2
 EPOCHS = 2         # each ends with a migration
 GENERATIONS = 2
 POPULATION = 4
-CACHED_WORDS = 600_000  # a worker's token cache is emptied beyond this
+CACHED_WORDS = 1_000_000  # a worker's token cache is emptied beyond this
 END_ID = 1
 
 _PIECES = "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -47,26 +47,58 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        cache[path] = (Tokenizer.from_file(path), {})
+        # the byte-level alphabet: printable bytes stand for themselves, others for characters from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        cache[path] = (Tokenizer.from_file(path), {b: b if b in plain else next(others) for b in range(256)}, {"": b""})
     return cache[path]
 
 
+def _simple(word: str) -> bool:
+    """Letters up to U+00FF: the tokenizer's normalisation is then lower-casing, and the word one token run."""
+    return word.isalpha() and (word.isascii() or max(word) <= "\xff")
+
+
+def _learn(words: list[str], tokenizer, alphabet: dict, known: dict) -> None:
+    """Encode words that are not known yet; one mark after a simple word is encoded apart."""
+    rest, marked, ids_of = [], [], tokenizer.model.tokenize
+
+    def simple(word: str) -> bytes:
+        low = word.lower()
+        found = known.get(low)
+        if found is None:
+            shown = low if low.isascii() else low.encode().decode("latin-1").translate(alphabet)
+            found = known[low] = np.array([x.id for x in ids_of(shown)], "<u4").tobytes()
+        return found
+
+    for w in words:
+        if _simple(w):
+            known[w] = simple(w)
+        elif w[-1] in ",.;:!?" and _simple(w[:-1]):
+            marked.append(w)
+        else:
+            rest.append(w)
+    rest += list({w[-1] for w in marked} - known.keys())
+    for w, x in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+        known[w] = np.array(x.ids, dtype="<u4").tobytes()
+    for w in marked:
+        known[w] = simple(w[:-1]) + known[w[-1]]
+
+
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(first token of each document with the end appended, ids).
 
     The tokenizer drops white space, so words are encoded on their own and each
     distinct word once per worker."""
-    tokenizer, known = _tokenizer(path)
+    tokenizer, alphabet, known = _tokenizer(path)
     starts, codes, vocab = word_codes(texts)
     missing = [w for w in vocab if w not in known]
+    if missing and len(known) > CACHED_WORDS:
+        known.clear()
+        known[""] = b""
+        missing = [w for w in vocab if w]
     if missing:
-        if len(known) > CACHED_WORDS:
-            known.clear()
-            missing = vocab
-        for a in range(0, len(missing), 20_000):
-            part = missing[a:a + 20_000]
-            for w, x in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(x.ids, dtype="<u4").tobytes()
+        _learn(missing, tokenizer, alphabet, known)
     each = [known[w] for w in vocab]
     sizes = np.fromiter((len(x) for x in each), np.int64, len(each)) // 4
     flat = np.frombuffer(b"".join(each), dtype="<u4")
