@@ -10,9 +10,9 @@ documents that share a band are candidates and are verified on their whole
 texts.
 
 Copies collapse to one node first.  In a band's bucket all nodes are tested
-against one leader, never against each other; after each round connected
-components tell which buckets still hold several classes, and only pairs across
-classes are tested further, the last round all of those.
+against one leader; connected components then tell which buckets still hold
+several classes.  Those are compared whole, in blocks of bounded size, where a
+task keeps only the links that join two classes.
 """
 
 from __future__ import annotations
@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import _powers, doc_of, materialize, mix, ngram_hashes, pick, slices, text_key, word_hashes
+from .common import _powers, doc_of, materialize, mix, n_partitions, ngram_hashes, pick, slices, text_key, word_hashes
 from .components import connected_components
 
 GRAM = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5   # a pair at 0.8 shares a band with probability 0.99995
+BLOCK = 400           # members of a bucket that meet those of another block in one group
 _LOW = 44             # bits of a gram's hash that are kept beside its document's number
 _SIGNED = ("row bigint, doc_id bigint, tkey bigint, c1 bigint, c2 bigint, weight bigint, "
            "bands array<bigint>, text string")
@@ -162,6 +163,97 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
         _verify_pass(similarity), "u bigint, v bigint, linked boolean")
 
 
+def _groups(batches):
+    """Rows of consecutive equal (key, i, j) as one batch each; a batch's texts are hashed at once."""
+    held, name = [], None
+    for batch in batches:
+        names = list(zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j"))))
+        cuts = [0, *(x for x in range(1, len(names)) if names[x] != names[x - 1]), len(names)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b == a:
+                continue
+            if names[a] != name and held:
+                yield name, pa.Table.from_batches(held)
+                held = []
+            name = names[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield name, pa.Table.from_batches(held)
+
+
+def linked_classes(texts: pa.Array, comp: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """A forest of links (places a, b) that joins all classes with similar members.
+
+    Counts become sets of (gram, occurrence), whose incidence matrix gives every
+    intersection of two texts by one product.
+    """
+    doc, gram, count, _, _ = elements(texts)
+    n, size = len(texts), np.bincount(doc, weights=count, minlength=len(texts))
+    again = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    with np.errstate(over="ignore"):
+        item = np.repeat(gram, count) + again.astype(np.uint64) * np.uint64(1 << _LOW)
+    items, column, many = np.unique(item, return_inverse=True, return_counts=True)
+    doc, shared = np.repeat(doc, count), many[column] > 1
+    both = np.zeros((n, n), np.float32)
+    if shared.any():
+        keep = np.flatnonzero(shared)
+        used, column = np.unique(column[keep], return_inverse=True)
+        for a in range(0, len(used), 8192):  # the matrix in parts of bounded size
+            part = (column >= a) & (column < a + 8192)
+            m = np.zeros((n, min(8192, len(used) - a)), np.float32)
+            m[doc[keep][part], column[part] - a] = 1
+            both += m @ m.T
+    similar = both >= similarity * (size[:, None] + size[None, :] - both) - 1e-6
+    parent = {c: c for c in comp.tolist()}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for a, b in zip(*np.nonzero(np.triu(similar & (comp[:, None] != comp[None, :]), 1))):
+        x, y = root(int(comp[a])), root(int(comp[b]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((int(a), int(b)))
+    return out
+
+
+def _block_pass(similarity: float):
+    def run(batches):
+        for _, group in _groups(batches):
+            group = group.combine_chunks()
+            nodes, comp = group.column("node").to_numpy(), group.column("comp").to_numpy()
+            texts = group.column("text").combine_chunks()
+            texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+            found = linked_classes(texts, comp, similarity)
+            if found:
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["u", "v"])
+    return run
+
+
+def _bucket_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between classes that still meet in a bucket, found over all their members.
+
+    A bucket is cut into blocks of about BLOCK members; every pair of blocks is
+    one group, so a group is bounded however large the bucket, and a task
+    returns a forest of links, not the pairs it compared.
+    """
+    now = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    active = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"),
+                                    F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("a <> b")
+    mine = now.join(active.select("key", "blocks"), "key")
+    mine = mine.withColumn("x", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
+        "y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    mine = mine.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node", "comp")
+    return (mine.join(texts, "node").repartition(n_partitions(texts.sparkSession), "key", "i", "j")
+            .sortWithinPartitions("key", "i", "j", "node").select("key", "i", "j", "node", "comp", "text")
+            .mapInArrow(_block_pass(similarity), "u bigint, v bigint"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: doc_id, class_id, class_size, kept, tkey.
@@ -185,33 +277,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = materialize(rows_.join(size.drop("n"), "key"), "near-buckets")
     texts = materialize(signed.select(F.col("row").alias("node"), "text").join(
         buckets.select("node").distinct(), "node", "left_semi"), "near-texts")
-    links = tested = labels = None
-    for step in ("lead", "random 1", "random 2", "all"):
-        if labels is None:
-            weights = buckets.select(F.col("node").alias("lead"), F.col("weight").alias("w")).distinct()
-            pairs = buckets.where("node <> lead").select("node", "lead", "weight").distinct().join(weights, "lead")
-            pairs = pairs.where(_close("weight", "w", similarity)).select(F.col("node").alias("u"), F.col("lead").alias("v"))
-        else:
-            now = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            active = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
-            now = materialize(now.join(active.select("key"), "key", "left_semi"), "near-active")
-            if now.isEmpty():
-                break
-            asked = now.select("key", F.col("node").alias("v"), F.col("weight").alias("w"), F.col("comp").alias("c"), "lead")
-            if step == "all":  # nodes outside the class of the bucket's leader, against all other classes
-                main = asked.where("v = lead").select("key", F.col("c").alias("main"))
-                asked = asked.join(main, "key").where("c <> main").drop("main", "lead")
-            else:
-                order = F.struct(F.xxhash64("key", "v", F.lit(step)), "v", "w", "c")
-                asked = asked.groupBy("key").agg(F.min(order).alias("m")).select("key", "m.v", "m.w", "m.c")
-            pairs = now.join(asked, "key").where("comp <> c").where(_close("weight", "w", similarity))
-            pairs = pairs.select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct()
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        checked = materialize(_verify(materialize(pairs, "near-pairs"), texts, similarity), "near-checked")
-        tested = checked.select("u", "v") if tested is None else tested.union(checked.select("u", "v"))
-        good = checked.where("linked").select("u", "v")
-        links = good if links is None else links.union(good)
-        labels = materialize(connected_components(links), "near-labels")
+    weights = buckets.select(F.col("node").alias("lead"), F.col("weight").alias("w")).distinct()
+    pairs = buckets.where("node <> lead").select("node", "lead", "weight").distinct().join(weights, "lead")
+    pairs = pairs.where(_close("weight", "w", similarity)).select(F.col("node").alias("u"), F.col("lead").alias("v"))
+    checked = _verify(materialize(pairs, "near-pairs"), texts, similarity)
+    links = materialize(checked.where("linked").select("u", "v"), "near-links")
+    labels = materialize(connected_components(links), "near-labels")
+    more = materialize(_bucket_links(buckets, labels, texts, similarity), "near-more")
+    if not more.isEmpty():
+        labels = materialize(connected_components(links.union(more)), "near-labels")
     of = copies.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     classes = of.groupBy("comp").agg(F.sum("n").alias("class_size"), F.min("low").alias("first"))
     of = of.select("c1", "c2", "comp").join(classes, "comp").select(
