@@ -55,6 +55,8 @@ def _runs(doc, pos, anchor, place, hashes, ids, keys, buckets: int, settled: boo
     first = np.flatnonzero(new)
     length = np.diff(np.append(first, len(doc)))
     runs = np.empty(len(first), dtype=_RUN)
+    if settled:  # needs no partner, so it is dealt by document
+        anchor, place = keys.view(np.uint64)[doc], doc
     bucket = (anchor[first] % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     first, length, bucket = first[order], length[order], bucket[order]
@@ -88,7 +90,7 @@ def _least(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _seed_pass(window: int, buckets: int):
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 8 << 20):
+            for batch in slices(whole, "text", 3 << 20):
                 ids = np.array([_LAST if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
                 keys = batch.column("tkey").to_numpy(zero_copy_only=False).astype(np.int64)
                 doc, pos, anchor, place, hashes = _windows(batch.column("text"), window)
