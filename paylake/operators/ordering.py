@@ -39,9 +39,11 @@ def dense_index(df: DataFrame, levels: dict[str, Column], order: list[Column], o
     """Adds ``out``: 0-based position in the order (levels..., order...),
     counted within ``group`` when given (and the group's size as
     ``group_size`` when named)."""
-    group = list(group or [])
+    # structs compare equal on null fields, so rows with a null group stay
+    wrapped = {f"_grp{i}": F.struct(F.col(c).alias("v")) for i, c in enumerate(group or [])}
+    group = list(wrapped)
     names = list(levels)
-    keyed = df.withColumns({n: _level(c) for n, c in levels.items()})
+    keyed = df.withColumns({**wrapped, **{n: _level(c) for n, c in levels.items()}})
     # one pass over the rows at the finest level; coarser counts roll up from it
     finest = keyed.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_n"))
     composed = None
@@ -67,7 +69,7 @@ def dense_index(df: DataFrame, levels: dict[str, Column], order: list[Column], o
     numbered = keyed.withColumn("_rn", F.row_number().over(w_leaf))
     return (numbered.join(composed, keys, "inner")
             .withColumn(out, F.col("_base") + F.col("_rn") - 1)
-            .drop("_base", "_rn", *names))
+            .drop("_base", "_rn", *names, *group))
 
 
 def micros_since_epoch(ts: str | Column) -> Column:

@@ -16,15 +16,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from paylake.config import scratch_dir
 from paylake.sources.schemas import LAYOUTS, string_schema
 
 
 def ingest_raw_stream(spark: SparkSession, raw_dir: str, layout: str, bronze_dir: str,
                       checkpoint: str | None = None, fmt: str = "parquet",
                       max_files_per_trigger: int | None = None) -> str:
-    """Append the raw CSV files not yet ingested to ``bronze_dir``; returns the checkpoint."""
-    checkpoint = checkpoint or scratch_dir(spark, f"stream-ckpt-{layout}")
+    """Append the raw CSV files not yet ingested to ``bronze_dir``; returns the checkpoint.
+
+    The default checkpoint lies beside ``bronze_dir``: it belongs to that sink's
+    log, and every later call resumes from it.
+    """
+    checkpoint = checkpoint or f"{bronze_dir.rstrip('/')}.checkpoint"
     reader = (spark.readStream.schema(string_schema(LAYOUTS[layout]))
               .option("header", True).option("enforceSchema", False))
     if max_files_per_trigger:

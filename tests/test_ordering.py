@@ -24,3 +24,13 @@ def test_time_offsets_within_day(spark):
     off = ordering.within_day(ordering.time_offsets(df, "2024-01-01 00:00:00"))
     got = {r.TRANSACTION_ID: (r.TX_TIME_DAYS, r.TX_SECOND_OF_DAY) for r in off.collect()}
     assert got == {2: (0, 86399), 3: (1, 5)}
+
+
+def test_dense_index_keeps_null_groups(spark):
+    from pyspark.sql import functions as F
+
+    from paylake.operators.ordering import dense_index
+
+    df = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "g int, x int")
+    got = dense_index(df, {"_l": F.col("x")}, [F.col("x")], "i", ["g"])
+    assert sorted((r.x, r.i) for r in got.collect()) == [(1, 0), (2, 1), (5, 0)]

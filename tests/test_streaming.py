@@ -10,11 +10,11 @@ def test_incremental_ingest_is_exactly_once(spark):
     first = tx_df(spark, [(i, i, 1, 2, 1.0, 0) for i in range(10)])
     second = tx_df(spark, [(i, i, 1, 2, 1.0, 0) for i in range(10, 25)])
     files.write_csv(files.to_text(first), f"{raw}/batch=1")
-    ckpt = ingest_raw_stream(spark, f"{raw}/*", "transactions", bronze)
+    ingest_raw_stream(spark, f"{raw}/*", "transactions", bronze)
     assert spark.read.parquet(bronze).count() == 10
     files.write_csv(files.to_text(second), f"{raw}/batch=2")
-    ingest_raw_stream(spark, f"{raw}/*", "transactions", bronze, checkpoint=ckpt)
-    ingest_raw_stream(spark, f"{raw}/*", "transactions", bronze, checkpoint=ckpt)
+    ingest_raw_stream(spark, f"{raw}/*", "transactions", bronze)
+    ingest_raw_stream(spark, f"{raw}/*", "transactions", bronze)
     got = spark.read.parquet(bronze)
     assert got.count() == 25
     assert sorted(int(r.TRANSACTION_ID) for r in got.collect()) == list(range(25))
