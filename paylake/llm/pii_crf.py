@@ -29,6 +29,8 @@ IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+LEAST_DIGITS = (0, 4, 12, 7)  # of an added span of each kind; an added email needs an @
+
 LABELS = 1 + len(KINDS)   # 0 is outside
 SHAPES = 1 << 12          # hashed shapes
 SIZES = 36                # digit count classes times length classes
@@ -293,7 +295,7 @@ def _merge(text: str, base, added):
             s += 1
         while e > s and text[e - 1] in _TRIM + ".":
             e -= 1
-        if k == 3 and sum(c.isdigit() for c in text[s:e]) < 7:
+        if (k == 0 and "@" not in text[s:e]) or sum("0" <= c <= "9" for c in text[s:e]) < LEAST_DIGITS[k]:
             continue
         if s < e and all(e <= x or s >= y for x, _, y in base):
             out.append((s, k, e))
