@@ -70,7 +70,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint root for one write."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/paylake/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

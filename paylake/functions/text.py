@@ -10,12 +10,7 @@ from pyspark.sql import functions as F
 NUMPY_INT_PATTERN = r"np\.int64\((-?\d+)\)"
 
 
-def parse_id_list(text: Column, element_type: str = "bigint") -> Column:
-    """``"[1, 2]"`` / ``"[np.int64(1)]"`` / ``"[]"`` -> array; malformed -> NULL."""
+def parse_id_list(text: Column, element_type: str = "bigint", strict: bool = False) -> Column:
+    """``"[1, 2]"`` / ``"[np.int64(1)]"`` / ``"[]"`` -> array; malformed -> NULL, or raises if ``strict``."""
     cleaned = F.regexp_replace(text, NUMPY_INT_PATTERN, "$1")
-    return F.from_json(cleaned, f"array<{element_type}>")
-
-
-def format_id_list(arr: Column) -> Column:
-    """array -> ``"[1,2]"`` JSON text (CSV has no array type)."""
-    return F.to_json(arr)
+    return F.from_json(cleaned, f"array<{element_type}>", {"mode": "FAILFAST"} if strict else None)

@@ -55,10 +55,13 @@ def round_half_even(x: str | Column, scale: int = 2) -> Column:
     return F.bround(_c(x), scale)
 
 
-def to_minor_units(amount: str | Column, scale: int = 2) -> Column:
-    """Amount as an exact integer count of 10^-scale units (cents by default).
+def is_whole_cents(amount: str | Column) -> Column:
+    """True for amounts of at most two decimals, small enough to count in cents."""
+    a = _c(amount)
+    return F.coalesce((F.bround(a, 2) == a) & (F.abs(a) < F.lit(9e13)), F.lit(False))
 
-    Trailing-window sums are taken on these integers so that a sum over a
-    frame is exact and differences of running sums lose nothing.
-    """
-    return F.round(_c(amount) * F.lit(10 ** scale), 0).cast("bigint")
+
+def to_minor_units(amount: str | Column) -> Column:
+    """Whole-cent amount as an exact integer number of cents, so that sums over
+    frames are exact and differences of running sums lose nothing."""
+    return F.round(_c(amount) * F.lit(100), 0).cast("bigint")

@@ -18,9 +18,14 @@ from paylake.sources.schemas import DATETIME_FORMAT, LAYOUTS
 
 def typed_column(c: Column, dtype: str, strict: bool = False, fmt: str = DATETIME_FORMAT) -> Column:
     if dtype.startswith("array<"):
-        return parse_id_list(c, dtype[len("array<"):-1])
+        return parse_id_list(c, dtype[len("array<"):-1], strict)
+    if dtype == "timestamp_ntz":
+        # read as UTC and rebuilt from the epoch: no session zone, so no lost hour in a DST gap
+        text, zoned = F.concat(c, F.lit(" +00:00")), f"{fmt} xxx"
+        at = F.to_timestamp(text, zoned) if strict else F.try_to_timestamp(text, F.lit(zoned))
+        return F.timestamp_add("MICROSECOND", F.unix_micros(at), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     if dtype.startswith("timestamp"):
-        parsed = F.to_timestamp(c, F.lit(fmt)) if strict else F.try_to_timestamp(c, F.lit(fmt))
+        parsed = F.to_timestamp(c, fmt) if strict else F.try_to_timestamp(c, F.lit(fmt))
         return parsed.cast(dtype)
     return c.cast(dtype) if strict else c.try_cast(dtype)
 

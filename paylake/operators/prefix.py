@@ -14,7 +14,8 @@ module computes the same sums without either problem:
    - incremental frames, linear in the group - for every frame edge o;
 4. a frame [t + lo, t + hi] of an owned point is C(t + hi) - C(t + lo - 1);
    both running sums start at the same history row, so the difference is
-   exact (measures are integers).
+   exact for integer measures.  Floating-point measures are summed in the
+   same row order on both sides, so a frame without such values gives exactly 0.
 
 Rows with a NULL time form one peer group per key (as Spark's RANGE frames
 treat them): every frame of such a row covers exactly the NULL-time rows of
@@ -54,12 +55,12 @@ def bucket_width(frames: dict[str, tuple[int, int]]) -> int:
 
 def frame_sums(df: DataFrame, key: str, t: str, measures: dict[str, Column],
                frames: dict[str, tuple[int, int]], bucket_seconds: int | None = None) -> DataFrame:
-    """Per distinct (key, t): sum of each measure over rows of the same key
-    with time in [t + lo, t + hi] for every frame ``name -> (lo, hi)``
+    """Per distinct (key, t): sum of each measure over the points of the same
+    key with time in [t + lo, t + hi] for every frame ``name -> (lo, hi)``
     (offsets in seconds, lo <= hi <= 0).
 
-    Returns JOIN_COLS plus ``{frame}__{measure}`` bigint columns.  Measures
-    must be non-null integer expressions (coalesce before passing).
+    A measure is an aggregate expression over the rows of one (key, second),
+    non-null and finite.  Returns JOIN_COLS plus ``{frame}__{measure}``.
     """
     names = list(measures)
     for lo, hi in frames.values():
@@ -70,8 +71,8 @@ def frame_sums(df: DataFrame, key: str, t: str, measures: dict[str, Column],
         raise ValueError("bucket narrower than the longest look-back")
 
     # 1. one point per (key, second); NULL-time rows collapse to one point per key.
-    pts = (df.select(*key_columns(key, t), *[measures[m].cast("bigint").alias(m) for m in names])
-           .groupBy(*JOIN_COLS).agg(*[F.sum(m).alias(m) for m in names]))
+    pts = (df.select(*key_columns(key, t), "*").groupBy(*JOIN_COLS)
+           .agg(*[measures[m].alias(m) for m in names]))
 
     # 2. owned copy in its bucket, history copy in the next one; a NULL-time
     #    point stays alone in a bucket of its own.
@@ -87,7 +88,7 @@ def frame_sums(df: DataFrame, key: str, t: str, measures: dict[str, Column],
     running = {(o, m): F.sum(m).over(base.rangeBetween(Window.unboundedPreceding, o)) for o in offsets for m in names}
 
     def c(o: int, m: str) -> Column:
-        return F.coalesce(running[(o, m)], F.lit(0).cast("bigint"))
+        return F.coalesce(running[(o, m)], F.lit(0))
 
     # 4. frame = C(t + hi) - C(t + lo - 1), kept for owned points only; a
     #    NULL-time point's frames are the point itself.

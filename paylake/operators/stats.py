@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.functions.time import to_minor_units
+from paylake.functions.time import is_whole_cents, to_minor_units
 
 
 def daily_stats(tx: DataFrame, day: str = "TX_TIME_DAYS") -> DataFrame:
@@ -39,27 +39,35 @@ def fraud_rate(tx: DataFrame) -> DataFrame:
                   F.avg("TX_FRAUD").alias("fraud_rate"))
 
 
-def customer_profile_estimate(tx: DataFrame, amount_scale: int = 2) -> DataFrame:
+def customer_profile_estimate(tx: DataFrame) -> DataFrame:
     """Per customer: mean and sample std of amounts, mean transactions per day.
 
-    Sums run on integer minor units (exact); mean and variance are formed
-    from the exact sums with one final division.  Days observed = the day
-    span of the whole table (scalar subquery, evaluated once).
+    Customers whose amounts are all whole cents get both from exact integer
+    sums with one final division; the others (sub-cent, very large, NaN or
+    infinite amounts) what ``avg`` and ``stddev_samp`` give.  Days observed =
+    the day span of the whole table (scalar subquery, evaluated once).
     """
-    unit = float(10 ** amount_scale)
-    u = to_minor_units("TX_AMOUNT", amount_scale).cast("decimal(38,0)")
+    a = F.col("TX_AMOUNT").cast("double")
+    u = F.when(is_whole_cents(a), to_minor_units(a)).cast("decimal(38,0)")
     span = tx.select((F.max("TX_TIME_DAYS") - F.min("TX_TIME_DAYS") + 1).alias("d")).scalar()
     g = tx.groupBy("CUSTOMER_ID").agg(
         F.count(F.lit(1)).alias("n_tx"),
-        F.count("TX_AMOUNT").alias("_n"),
+        F.count(a).alias("_n"),
+        F.count(u).alias("_nu"),
         F.sum(u).alias("_s"),
         F.sum(u * u).alias("_ss"),
+        F.avg(a).alias("_avg"),
+        F.stddev_samp(a).alias("_std"),
     )
     n = F.col("_n")
+    exact = n == F.col("_nu")
     var_num = (n * F.col("_ss") - F.col("_s") * F.col("_s")).cast("double")
+    mean = F.when(exact, F.col("_s").cast("double") / (F.lit(100.0) * n.cast("double"))).otherwise(F.col("_avg"))
+    std = (F.when(exact, F.sqrt(var_num / (n * (n - 1)).cast("double")) / F.lit(100.0))
+           .otherwise(F.col("_std")))
     return g.select(
         "CUSTOMER_ID",
-        F.when(n > 0, F.col("_s").cast("double") / (F.lit(unit) * n.cast("double"))).alias("mean_amount"),
-        F.when(n > 1, F.sqrt(var_num / (n * (n - 1)).cast("double")) / F.lit(unit)).alias("std_amount"),
+        F.when(n > 0, mean).alias("mean_amount"),
+        F.when(n > 1, std).alias("std_amount"),
         (F.col("n_tx").cast("double") / span.cast("double")).alias("mean_nb_tx_per_day"),
     )

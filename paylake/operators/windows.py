@@ -7,30 +7,29 @@ W3/W4  terminal risk with a label delay d: rows of the same terminal with
        time in [t - (d + n) days, t - d days - 1 s]: count(*) and
        sum(TX_FRAUD) / count(*), 0 when the frame is empty.
 
-Two engines compute the same features:
-
-``split``  (default) exact integer frame sums from
-           :mod:`paylake.operators.prefix`; bounded groups whatever the key
-           skew, one pass per frame edge, no sliding re-aggregation.
-``direct`` the textbook ``Window.partitionBy(key).orderBy(ts).rangeBetween``
-           form - simple, but one task per key and frame-size work per row;
-           kept as the semantic reference for tests and small data.
-
-The split engine takes means over amounts in integer minor units (cents by
-default) and divides once, so results are exact decimal means rounded once.
+Frame sums come from :mod:`paylake.operators.prefix`: bounded groups whatever
+the key skew, one pass per frame edge, no sliding re-aggregation.
+
+A mean equals ``avg`` over its frame.  Amounts of whole cents are summed as
+integers, so their means are exact quotients rounded once; other finite amounts
+are summed as doubles, those of 1e9 and more apart from the rest.  NaN and
+infinities are counted, and the mean is then what ``avg`` gives: NaN if the
+frame holds a NaN or both infinities, else the infinity it holds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.functions.time import (SECONDS_PER_DAY, epoch_seconds, night_flag,
+from paylake.functions.time import (SECONDS_PER_DAY, epoch_seconds, is_whole_cents, night_flag,
                                     to_minor_units, weekend_flag)
 from paylake.operators.prefix import JOIN_COLS, frame_sums, key_columns
 
 DEFAULT_WINDOWS = (1, 7, 30)
 DEFAULT_DELAY = 7
+LARGE_AMOUNT = 1e9
+WILD_BASE = 2 ** 31
 
 
 def add_calendar_flags(df: DataFrame, ts: str = "TX_DATETIME") -> DataFrame:
@@ -52,37 +51,57 @@ def terminal_frames(delay_days=DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS) -> d
     return {f"t{n}": (-(d + n * SECONDS_PER_DAY), -d - 1) for n in windows_days}
 
 
-def _mean(total_units: Column, n: Column, scale: int) -> Column:
-    return F.when(n > 0, total_units / (F.lit(float(10 ** scale)) * n))
+def _amount_measures(amount: str) -> dict[str, Column]:
+    """Aggregates of one (key, second) from which :func:`_mean` rebuilds ``avg``."""
+    a = F.col(amount).cast("double")
+    zero = F.lit(0).cast("bigint")
+    cents = is_whole_cents(a)
+    finite = ~F.isnan(a) & (F.abs(a) < F.lit(float("inf")))
+    small = F.abs(a) < F.lit(LARGE_AMOUNT)
+    up = F.isnan(a) | (a == F.lit(float("inf")))
+    down = F.isnan(a) | (a == F.lit(float("-inf")))
+    # one flag per second and direction, packed: a group holds fewer than 2^31 seconds
+    flags = F.when(up, 1).otherwise(0).cast("bigint"), F.when(down, WILD_BASE).otherwise(0).cast("bigint")
+    return {
+        "na": F.count(a),
+        "units": F.sum(F.when(cents, to_minor_units(a)).otherwise(zero)),
+        "fine": F.sum(F.when(finite & ~cents & small, a).otherwise(F.lit(0.0))),
+        "large": F.sum(F.when(finite & ~cents & ~small, a).otherwise(F.lit(0.0))),
+        "wild": F.max(flags[0]) + F.max(flags[1]),
+    }
+
+
+def _mean(frame: str) -> Column:
+    na, units, fine, large, wild = (F.col(f"{frame}__{m}") for m in ("na", "units", "fine", "large", "wild"))
+    rest = fine + large
+    up, down = wild % WILD_BASE > 0, wild >= WILD_BASE
+    finite = (F.when(rest == 0, units / (F.lit(100.0) * na))
+              .otherwise((units / F.lit(100.0) + rest) / na))
+    return F.when(na > 0, F.when(up & down, F.lit(float("nan"))).when(up, F.lit(float("inf")))
+                  .when(down, F.lit(float("-inf"))).otherwise(finite))
 
 
 def _risk(frauds: Column, n: Column) -> Column:
     return F.when(n > 0, frauds / n).otherwise(F.lit(0.0))
 
 
-# ---------------------------------------------------------------- split engine
-
-def customer_feature_table(df: DataFrame, windows_days=DEFAULT_WINDOWS, amount_scale: int = 2,
+def customer_feature_table(df: DataFrame, windows_days=DEFAULT_WINDOWS,
                            bucket_seconds: int | None = None) -> DataFrame:
     """(key columns) -> CUSTOMER_ID_{NB_TX,AVG_AMOUNT}_{n}DAY_WINDOW, one row per (customer, second)."""
-    measures = {
-        "n": F.lit(1),
-        "na": F.col("TX_AMOUNT").isNotNull().cast("bigint"),
-        "units": F.coalesce(to_minor_units("TX_AMOUNT", amount_scale), F.lit(0)),
-    }
+    measures = {"n": F.count(F.lit(1)), **_amount_measures("TX_AMOUNT")}
     sums = frame_sums(df, "CUSTOMER_ID", "TX_TS", measures, customer_frames(windows_days), bucket_seconds)
     cols = []
     for n in windows_days:
-        cnt, na, units = (F.col(f"c{n}__{m}") for m in ("n", "na", "units"))
-        cols += [cnt.alias(f"CUSTOMER_ID_NB_TX_{n}DAY_WINDOW"),
-                 _mean(units, na, amount_scale).alias(f"CUSTOMER_ID_AVG_AMOUNT_{n}DAY_WINDOW")]
+        cols += [F.col(f"c{n}__n").alias(f"CUSTOMER_ID_NB_TX_{n}DAY_WINDOW"),
+                 _mean(f"c{n}").alias(f"CUSTOMER_ID_AVG_AMOUNT_{n}DAY_WINDOW")]
     return sums.select(*JOIN_COLS, *cols)
 
 
 def terminal_feature_table(df: DataFrame, delay_days: int = DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS,
                            bucket_seconds: int | None = None) -> DataFrame:
     """(key columns) -> TERMINAL_ID_{NB_TX,RISK}_{n}DAY_WINDOW, one row per (terminal, second)."""
-    measures = {"n": F.lit(1), "fraud": F.coalesce(F.col("TX_FRAUD").cast("bigint"), F.lit(0))}
+    measures = {"n": F.count(F.lit(1)),
+                "fraud": F.sum(F.coalesce(F.col("TX_FRAUD").cast("bigint"), F.lit(0)))}
     sums = frame_sums(df, "TERMINAL_ID", "TX_TS", measures, terminal_frames(delay_days, windows_days),
                       bucket_seconds)
     cols = []
@@ -100,54 +119,24 @@ def _attach(df: DataFrame, key: str, feats: DataFrame) -> DataFrame:
     return out.drop(*JOIN_COLS)
 
 
-# --------------------------------------------------------------- direct engine
-
-def _direct_customer(df: DataFrame, windows_days) -> DataFrame:
-    for n in windows_days:
-        w = Window.partitionBy("CUSTOMER_ID").orderBy("TX_TS").rangeBetween(-n * SECONDS_PER_DAY, 0)
-        df = df.withColumns({f"CUSTOMER_ID_NB_TX_{n}DAY_WINDOW": F.count("*").over(w),
-                             f"CUSTOMER_ID_AVG_AMOUNT_{n}DAY_WINDOW": F.avg("TX_AMOUNT").over(w)})
-    return df
-
-
-def _direct_terminal(df: DataFrame, delay_days, windows_days) -> DataFrame:
-    for name, (lo, hi) in terminal_frames(delay_days, windows_days).items():
-        n = name[1:]
-        w = Window.partitionBy("TERMINAL_ID").orderBy("TX_TS").rangeBetween(lo, hi)
-        df = df.withColumns({
-            f"TERMINAL_ID_NB_TX_{n}DAY_WINDOW": F.count("*").over(w),
-            f"TERMINAL_ID_RISK_{n}DAY_WINDOW": F.coalesce(F.sum("TX_FRAUD").over(w) / F.count("*").over(w),
-                                                          F.lit(0.0)),
-        })
-    return df
-
-
-# ------------------------------------------------------------------ public API
-
-def add_customer_spending_features(df: DataFrame, windows_days=DEFAULT_WINDOWS, engine: str = "split",
-                                   amount_scale: int = 2, bucket_seconds: int | None = None) -> DataFrame:
+def with_customer_spending(df: DataFrame, windows_days=DEFAULT_WINDOWS,
+                           bucket_seconds: int | None = None) -> DataFrame:
     """Adds TX_TS and the 2 x len(windows_days) customer features."""
     df = add_epoch(df)
-    if engine == "direct":
-        return _direct_customer(df, windows_days)
-    feats = customer_feature_table(df.select("CUSTOMER_ID", "TX_TS", "TX_AMOUNT"), windows_days,
-                                   amount_scale, bucket_seconds)
+    feats = customer_feature_table(df.select("CUSTOMER_ID", "TX_TS", "TX_AMOUNT"), windows_days, bucket_seconds)
     return _attach(df, "CUSTOMER_ID", feats)
 
 
-def add_terminal_risk_features(df: DataFrame, delay_days: int = DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS,
-                               engine: str = "split", bucket_seconds: int | None = None) -> DataFrame:
+def with_terminal_risk(df: DataFrame, delay_days: int = DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS,
+                       bucket_seconds: int | None = None) -> DataFrame:
     """Adds TX_TS and the 2 x len(windows_days) delayed terminal features."""
     df = add_epoch(df)
-    if engine == "direct":
-        return _direct_terminal(df, delay_days, windows_days)
     feats = terminal_feature_table(df.select("TERMINAL_ID", "TX_TS", "TX_FRAUD"), delay_days, windows_days,
                                    bucket_seconds)
     return _attach(df, "TERMINAL_ID", feats)
 
 
-def gold_features(silver: DataFrame, engine: str = "split", windows_days=DEFAULT_WINDOWS,
-                  delay_days: int = DEFAULT_DELAY, amount_scale: int = 2,
+def gold_features(silver: DataFrame, windows_days=DEFAULT_WINDOWS, delay_days: int = DEFAULT_DELAY,
                   bucket_seconds: int | None = None) -> DataFrame:
     """Silver transactions -> the gold feature table (silver + 15 columns).
 
@@ -155,14 +144,10 @@ def gold_features(silver: DataFrame, engine: str = "split", windows_days=DEFAULT
     input and joined back to it, so neither family's plan contains the other.
     """
     df = add_epoch(add_calendar_flags(silver))
-    if engine == "direct":
-        df = _direct_terminal(_direct_customer(df, windows_days), delay_days, windows_days)
-    else:
-        cust = customer_feature_table(df.select("CUSTOMER_ID", "TX_TS", "TX_AMOUNT"), windows_days,
-                                      amount_scale, bucket_seconds)
-        term = terminal_feature_table(df.select("TERMINAL_ID", "TX_TS", "TX_FRAUD"), delay_days,
-                                      windows_days, bucket_seconds)
-        df = _attach(_attach(df, "CUSTOMER_ID", cust), "TERMINAL_ID", term)
+    cust = customer_feature_table(df.select("CUSTOMER_ID", "TX_TS", "TX_AMOUNT"), windows_days, bucket_seconds)
+    term = terminal_feature_table(df.select("TERMINAL_ID", "TX_TS", "TX_FRAUD"), delay_days, windows_days,
+                                  bucket_seconds)
+    df = _attach(_attach(df, "CUSTOMER_ID", cust), "TERMINAL_ID", term)
     ordered = list(silver.columns) + ["TX_DURING_WEEKEND", "TX_DURING_NIGHT", "TX_TS"]
     ordered += [f"CUSTOMER_ID_{m}_{n}DAY_WINDOW" for n in windows_days for m in ("NB_TX", "AVG_AMOUNT")]
     ordered += [f"TERMINAL_ID_{m}_{n}DAY_WINDOW" for n in windows_days for m in ("NB_TX", "RISK")]

@@ -32,7 +32,7 @@ def query(fn: Query) -> Query:
 @query
 def gold_customer_spending(spark, sf_dir):
     tx = adapters.events_transactions(spark, sf_dir)
-    out = windows.add_customer_spending_features(tx)
+    out = windows.with_customer_spending(tx)
     feats = [f"CUSTOMER_ID_{m}_{n}DAY_WINDOW" for n in (1, 7, 30) for m in ("NB_TX", "AVG_AMOUNT")]
     return out.select("TRANSACTION_ID", "CUSTOMER_ID", "TX_TS", *feats)
 
@@ -40,7 +40,7 @@ def gold_customer_spending(spark, sf_dir):
 @query
 def gold_terminal_risk(spark, sf_dir):
     tx = adapters.events_transactions(spark, sf_dir)
-    out = windows.add_terminal_risk_features(tx)
+    out = windows.with_terminal_risk(tx)
     feats = [f"TERMINAL_ID_{m}_{n}DAY_WINDOW" for n in (1, 7, 30) for m in ("NB_TX", "RISK")]
     return out.select("TRANSACTION_ID", "TERMINAL_ID", "TX_TS", *feats)
 
@@ -63,22 +63,43 @@ def gold_features_bulk(spark, sf_dir):
     return windows.gold_features(adapters.orders_transactions(spark, sf_dir))
 
 
+@query
+def gold_edge_amounts(spark, sf_dir):
+    """Customer means over sub-cent, NaN and infinite amounts (changed by key)."""
+    tx = adapters.events_transactions(spark, sf_dir)
+    i = F.col("TRANSACTION_ID")
+    amount = (F.when(i % 101 == 0, F.lit(float("nan"))).when(i % 103 == 0, F.lit(float("inf")))
+              .when(i % 107 == 0, F.lit(float("-inf"))).otherwise(F.floor(F.col("TX_AMOUNT") * 8) / F.lit(8.0)))
+    out = windows.with_customer_spending(tx.withColumn("TX_AMOUNT", amount))
+    cols = []
+    for n in windows.DEFAULT_WINDOWS:
+        avg = F.col(f"CUSTOMER_ID_AVG_AMOUNT_{n}DAY_WINDOW")
+        kind = (F.when(F.isnan(avg), "nan").when(avg == float("inf"), "inf")
+                .when(avg == float("-inf"), "-inf").otherwise("finite"))
+        cols += [kind.alias(f"kind_{n}"), F.when(kind == "finite", avg).alias(f"avg_{n}")]
+    return out.select("TRANSACTION_ID", *cols)
+
+
 LOOKUP_ID = 777
 
 
 @query
 def point_lookup(spark, sf_dir):
     """Terminal features of one transaction, computed only over its terminal's
-    rows inside the widest frame (the id filter cannot pass the window)."""
+    rows inside the widest frame (the id filter cannot pass the window).  Terminal
+    and times of the id are scalar subqueries, so rows are cut at the scan."""
     tx = windows.add_epoch(adapters.events_transactions(spark, sf_dir))
-    # one row per terminal of the id (the id filter reaches the parquet scan)
-    target = (tx.where(F.col("TRANSACTION_ID") == LOOKUP_ID).groupBy("TERMINAL_ID")
-              .agg(F.min("TX_TS").alias("_lo"), F.max("TX_TS").alias("_hi")))
-    reach = (windows.DEFAULT_DELAY + max(windows.DEFAULT_WINDOWS)) * 86400
-    nearby = (tx.join(target, "TERMINAL_ID", "inner")
-              .where(F.col("TX_TS").between(F.col("_lo") - reach, F.col("_hi")))
-              .drop("_lo", "_hi"))
-    feats = windows.add_terminal_risk_features(nearby)
+    target = tx.where(F.col("TRANSACTION_ID") == LOOKUP_ID)
+
+    def found(c):
+        return target.select(c).scalar()
+
+    reach = (windows.DEFAULT_DELAY + max(windows.DEFAULT_WINDOWS)) * windows.SECONDS_PER_DAY
+    near = (F.col("TERMINAL_ID").between(found(F.min("TERMINAL_ID")), found(F.max("TERMINAL_ID")))
+            | (F.col("TERMINAL_ID").isNull() & (found(F.count_if(F.col("TERMINAL_ID").isNull())) > 0)))
+    reached = (F.col("TX_TS").between(found(F.min("TX_TS")) - reach, found(F.max("TX_TS")))
+               | (F.col("TX_TS").isNull() & (found(F.count_if(F.col("TX_TS").isNull())) > 0)))
+    feats = windows.with_terminal_risk(tx.where(near & reached))
     return feats.where(F.col("TRANSACTION_ID") == LOOKUP_ID).select(
         "TRANSACTION_ID", "TX_DATETIME", "TX_FRAUD",
         *[f"TERMINAL_ID_{m}_{n}DAY_WINDOW" for n in (1, 7, 30) for m in ("NB_TX", "RISK")])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.config import scratch_dir
-from paylake.operators import audit, conform, labels, proximity, stats, windows
+from paylake.operators import audit, conform, proximity, stats, windows
 from paylake.sources import adapters, files, tables
 from paylake.sources.schemas import CUSTOMER_TYPES, TERMINAL_TYPES, TRANSACTION_TYPES
 
@@ -100,15 +100,9 @@ def silver_job(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str =
     return audits
 
 
-def gold_job(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet",
-             engine: str = "split") -> str:
+def gold_job(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet") -> str:
     """L3: silver transactions -> gold feature table (24 columns)."""
     silver = tables.read_table(spark, names.name("transactions", "silver"))
-    gold = windows.gold_features(silver, engine=engine)
+    gold = windows.gold_features(silver)
     return tables.save_table(gold, names.name("transactions", "gold"), fmt,
                              path=scratch_dir(spark, "gold-transactions"))
-
-
-def label_job(tx: DataFrame, terminals: DataFrame, customers: DataFrame) -> DataFrame:
-    """L0: unlabelled transactions -> labelled (scenarios 1-3)."""
-    return labels.labelled(tx, terminals, customers)

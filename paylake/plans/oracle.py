@@ -121,6 +121,32 @@ tx AS (
 
 SQL["gold_features_bulk"] = gold_sql(TXB)
 
+def _edge_cols() -> str:
+    out = []
+    for n in (1, 7, 30):
+        avg = f"AVG(amount) OVER w{n}"
+        out.append(f"CASE WHEN isnan({avg}) THEN 'nan' WHEN {avg} = CAST('inf' AS DOUBLE) THEN 'inf' "
+                   f"WHEN {avg} = CAST('-inf' AS DOUBLE) THEN '-inf' ELSE 'finite' END AS kind_{n}")
+        out.append(f"CASE WHEN isfinite({avg}) THEN {avg} END AS avg_{n}")
+    return ",\n  ".join(out)
+
+
+SQL["gold_edge_amounts"] = f"""
+WITH {TX},
+edge AS (
+  SELECT TRANSACTION_ID, CUSTOMER_ID, TX_TS,
+         CASE WHEN TRANSACTION_ID % 101 = 0 THEN CAST('nan' AS DOUBLE)
+              WHEN TRANSACTION_ID % 103 = 0 THEN CAST('inf' AS DOUBLE)
+              WHEN TRANSACTION_ID % 107 = 0 THEN CAST('-inf' AS DOUBLE)
+              ELSE floor(TX_AMOUNT * 8) / CAST(8 AS DOUBLE) END AS amount
+  FROM tx
+)
+SELECT TRANSACTION_ID,
+  {_edge_cols()}
+FROM edge
+{CUSTOMER_WINDOWS}
+"""
+
 SQL["point_lookup"] = f"""
 WITH {TX}
 SELECT * FROM (
@@ -299,8 +325,10 @@ SQL["null_audit_customers"] = f"""
 WITH {TX}, {GEO}, {ESTIMATE},
 prof AS (
   SELECT c.CUSTOMER_ID, c.x_customer_id, c.y_customer_id, e.mean_amount, e.std_amount, e.mean_nb_tx_per_day,
-         'list' AS available_terminals, 0 AS nb_terminals
+         '[' || COALESCE(p.ids, '') || ']' AS available_terminals, COALESCE(p.n, 0) AS nb_terminals
   FROM cust c LEFT JOIN est e ON c.CUSTOMER_ID = e.CUSTOMER_ID
+  LEFT JOIN (SELECT CUSTOMER_ID, string_agg(CAST(TERMINAL_ID AS VARCHAR), ', ') AS ids, COUNT(*) AS n
+             FROM pairs GROUP BY CUSTOMER_ID) p ON c.CUSTOMER_ID = p.CUSTOMER_ID
 )
 {_null_audit(_CUST_COLS, {}, "prof")}
 """

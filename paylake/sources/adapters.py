@@ -39,7 +39,7 @@ def transactions_from_events(events: DataFrame, origin: str = EVENTS_ORIGIN) ->
         F.col("event_id").cast("bigint").alias("TRANSACTION_ID"),
         F.col("ts").cast("timestamp_ntz").alias("TX_DATETIME"),
         F.col("user_id").cast("bigint").alias("CUSTOMER_ID"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("TERMINAL_ID"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("TERMINAL_ID"),
         F.col("value").cast("double").alias("TX_AMOUNT"),
         secs.cast("int").alias("TX_TIME_SECONDS"),
         day_index(secs).alias("TX_TIME_DAYS"),
@@ -52,7 +52,7 @@ def transactions_from_orders(orders: DataFrame, lineitem: DataFrame,
                              origin: str = ORDERS_ORIGIN) -> DataFrame:
     """orders x lineitem -> transactions; id = orderkey * 8 + linenumber.
 
-    TPC-H line numbers run 1..7, so the id is unique and dense per order.
+    Ids repeat where the source repeats an (order, line) pair.
     Shuffle join on the order key (both sides grow with the data).
     """
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")

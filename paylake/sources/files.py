@@ -14,11 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.config import scratch_dir
-from paylake.sources.schemas import LAYOUTS, string_schema
-
-# Fixed value: the text format of timestamps in the raw and bronze layers
-# (Spark pattern; no fractional seconds).
-TEXT_DATETIME = "yyyy-MM-dd HH:mm:ss"
+from paylake.sources.schemas import DATETIME_FORMAT, LAYOUTS, string_schema
 
 
 def list_text(arr: Column, numpy_style: Column | None = None) -> Column:
@@ -41,7 +37,7 @@ def to_text(df: DataFrame, overrides: dict[str, Column] | None = None) -> DataFr
         if f.name in overrides:
             c = overrides[f.name]
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, TEXT_DATETIME)
+            c = F.date_format(c, DATETIME_FORMAT)
         elif isinstance(f.dataType, T.ArrayType):
             c = list_text(c)
         else:

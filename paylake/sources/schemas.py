@@ -39,15 +39,6 @@ TRANSACTION_TYPES = [
     ("TX_FRAUD_SCENARIO", "int"),
 ]
 
-# Gold = silver transactions + these, in this order.
-GOLD_EXTRA_TYPES = (
-    [("TX_DURING_WEEKEND", "int"), ("TX_DURING_NIGHT", "int"), ("TX_TS", "bigint")]
-    + [(f"CUSTOMER_ID_{m}_{n}DAY_WINDOW", t) for n in (1, 7, 30)
-       for m, t in (("NB_TX", "bigint"), ("AVG_AMOUNT", "double"))]
-    + [(f"TERMINAL_ID_{m}_{n}DAY_WINDOW", t) for n in (1, 7, 30)
-       for m, t in (("NB_TX", "bigint"), ("RISK", "double"))]
-)
-
 # Timestamp text format of the raw and bronze layers.
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -58,11 +49,6 @@ LAYOUTS = {
 }
 
 
-def ddl(columns: list[tuple[str, str]]) -> str:
-    """DDL text (``a bigint, b double``) accepted by readers and ``try_cast``."""
-    return ", ".join(f"`{c}` {t}" for c, t in columns)
-
-
 def string_schema(columns: list[tuple[str, str]]) -> T.StructType:
     """The bronze (raw text) schema: same names, every column a string."""
     return T.StructType([T.StructField(c, T.StringType(), True) for c, _ in columns])

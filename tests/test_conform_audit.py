@@ -29,6 +29,25 @@ def test_strict_typing_raises(spark):
         conform.conform(df, LAYOUT, strict=True).collect()
 
 
+def test_strict_lists_raise_and_tolerant_lists_are_null(spark):
+    df = spark.createDataFrame([('[1, "x"]',)], "L string")
+    assert conform.conform(df, [("L", "array<bigint>")]).first().L is None
+    with pytest.raises(Exception):
+        conform.conform(df, [("L", "array<bigint>")], strict=True).collect()
+
+
+def test_timestamps_keep_the_hour_of_a_dst_gap(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-11-03 01:30:00",), ("0001-01-01 00:00:00",)], "T string")
+        for strict in (False, True):
+            got = [r.T for r in conform.conform(df, [("T", "timestamp_ntz")], strict).collect()]
+            assert got == [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 11, 3, 1, 30), dt.datetime(1, 1, 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_missing_column_raises(spark):
     df = spark.createDataFrame([("1",)], "A string")
     with pytest.raises(ValueError):

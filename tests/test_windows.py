@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from paylake.operators import windows
+from paylake.operators import stats, windows
 from tests.helpers import by_id, tx_df
 
 DAY = 86400
@@ -18,6 +18,21 @@ def close(a, b):
     return math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
 
 
+def sql_frames(spark, df):
+    """Every feature by plain SQL window frames over one temporary view."""
+    df.withColumn("s", F.unix_timestamp("TX_DATETIME")).createOrReplaceTempView("plain_tx")
+    cols = []
+    for n in (1, 7, 30):
+        c = f"OVER (PARTITION BY CUSTOMER_ID ORDER BY s RANGE BETWEEN {n * DAY} PRECEDING AND CURRENT ROW)"
+        t = (f"OVER (PARTITION BY TERMINAL_ID ORDER BY s RANGE BETWEEN {(7 + n) * DAY} PRECEDING "
+             f"AND {7 * DAY + 1} PRECEDING)")
+        cols += [f"COUNT(*) {c} AS CUSTOMER_ID_NB_TX_{n}DAY_WINDOW",
+                 f"AVG(TX_AMOUNT) {c} AS CUSTOMER_ID_AVG_AMOUNT_{n}DAY_WINDOW",
+                 f"COUNT(*) {t} AS TERMINAL_ID_NB_TX_{n}DAY_WINDOW",
+                 f"COALESCE(AVG(COALESCE(TX_FRAUD, 0)) {t}, 0) AS TERMINAL_ID_RISK_{n}DAY_WINDOW"]
+    return spark.sql(f"SELECT *, {', '.join(cols)} FROM plain_tx")
+
+
 def assert_same(x, y):
     assert x.keys() == y.keys()
     for k in x:
@@ -37,15 +52,15 @@ def test_customer_frame_edges(spark):
         (7, None, 7, 1, None, 0),
     ]
     df = tx_df(spark, spec)
-    got = by_id(windows.add_customer_spending_features(df), CUST[:2])
+    got = by_id(windows.with_customer_spending(df), CUST[:2])
     assert got[1] == (3, pytest.approx((10 + 20 + 30) / 3))
     assert got[4] == got[1]
     assert got[3] == (1, 40.0)
     assert got[2] == (2, 30.0)
     assert got[5] == (1, 5.0)
     assert got[6] == (2, 8.0) and got[7] == (2, 8.0)
-    direct = by_id(windows.add_customer_spending_features(df, engine="direct"), CUST)
-    assert_same(by_id(windows.add_customer_spending_features(df), CUST), direct)
+    plain = by_id(sql_frames(spark, df), CUST)
+    assert_same(by_id(windows.with_customer_spending(df), CUST), plain)
 
 
 def test_terminal_delay_edges(spark):
@@ -60,12 +75,12 @@ def test_terminal_delay_edges(spark):
         (7, 5, 1, 8, 1.0, 1),                 # no history: count 0, risk 0
     ]
     df = tx_df(spark, spec)
-    got = by_id(windows.add_terminal_risk_features(df), TERM)
+    got = by_id(windows.with_terminal_risk(df), TERM)
     assert got[1][:2] == (2, 0.5)
     assert got[1][2:4] == (3, pytest.approx(2 / 3))
     assert got[1][4:6] == (3, pytest.approx(2 / 3))
     assert got[7] == (0, 0.0, 0, 0.0, 0, 0.0)
-    assert_same(got, by_id(windows.add_terminal_risk_features(df, engine="direct"), TERM))
+    assert_same(got, by_id(sql_frames(spark, df), TERM))
 
 
 def random_spec(seed, n=400, keys=5, span_days=70, peers=True):
@@ -84,21 +99,21 @@ def random_spec(seed, n=400, keys=5, span_days=70, peers=True):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_split_engine_equals_direct_frames(spark, seed):
+def test_features_equal_sql_frames(spark, seed):
     df = tx_df(spark, random_spec(seed))
-    split = by_id(windows.gold_features(df), CUST + TERM)
-    direct = by_id(windows.gold_features(df, engine="direct"), CUST + TERM)
-    assert_same(split, direct)
+    got = by_id(windows.gold_features(df), CUST + TERM)
+    plain = by_id(sql_frames(spark, df), CUST + TERM)
+    assert_same(got, plain)
 
 
 def test_narrow_buckets_use_history(spark):
     """Bucket width equal to the look-back: every frame crosses a bucket edge."""
     df = tx_df(spark, random_spec(11, n=300, keys=2, span_days=120))
-    narrow = by_id(windows.add_customer_spending_features(df, bucket_seconds=30 * DAY + 1), CUST)
-    direct = by_id(windows.add_customer_spending_features(df, engine="direct"), CUST)
-    assert_same(narrow, direct)
+    narrow = by_id(windows.with_customer_spending(df, bucket_seconds=30 * DAY + 1), CUST)
+    plain = by_id(sql_frames(spark, df), CUST)
+    assert_same(narrow, plain)
     with pytest.raises(ValueError):
-        windows.add_customer_spending_features(df, bucket_seconds=DAY).count()
+        windows.with_customer_spending(df, bucket_seconds=DAY).count()
 
 
 def test_properties(spark):
@@ -134,5 +149,22 @@ def test_split_plan_has_no_key_only_window(spark):
     assert len(window_lines) == 2  # one per key family, all frames in one operator
     assert all("_b#" in line for line in window_lines)  # partitioned by (key, bucket)
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    direct = _plan(windows.gold_features(df, engine="direct"))
-    assert direct.count("Exchange hashpartitioning") == 2
+
+
+def test_amounts_beyond_cents(spark):
+    """Sub-cent, very large, NaN and infinite amounts give what ``avg`` gives."""
+    nan, inf = float("nan"), float("inf")
+    spec = [(1, 0, 1, 1, 0.004, 0), (2, 10, 1, 1, 0.004, 0),
+            (3, 0, 2, 1, 5.25, 0), (4, 5, 2, 1, inf, 0), (5, 2 * DAY, 2, 1, 7.125, 0),
+            (6, 0, 3, 1, inf, 0), (7, 1, 3, 1, -inf, 0), (8, 0, 4, 1, nan, 0), (9, 40 * DAY, 4, 1, 0.125, 0),
+            (10, 0, 5, 1, 1e300, 0), (11, 40 * DAY, 5, 1, 0.125, 0), (12, 0, 6, 1, None, 0),
+            (13, 0, 7, 1, -inf, 0), (14, 0, 7, 1, inf, 0)]
+    df = tx_df(spark, spec)
+    got = by_id(windows.with_customer_spending(df), CUST)
+    assert got[1][1] == 0.004 and got[2][1] == 0.004
+    want = by_id(sql_frames(spark, df), CUST)
+    for k in want:
+        for a, b in zip(got[k], want[k]):
+            assert (a is None and b is None) or a == b or (math.isnan(a) and math.isnan(b)), (k, got[k], want[k])
+    prof = {r.CUSTOMER_ID: r for r in stats.customer_profile_estimate(df).collect()}
+    assert prof[1].mean_amount == 0.004 and math.isnan(prof[3].mean_amount) and prof[6].mean_amount is None
