@@ -18,6 +18,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -42,6 +43,7 @@ def default_tokenizer() -> str:
 
 
 def _tokenizer(path: str):
+    """(tokenizer, byte-level alphabet, bytes of every id, cache of words)."""
     cache = process_cache("tokenizers")
     if path not in cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,61 +52,64 @@ def _tokenizer(path: str):
         # the byte-level alphabet: printable bytes stand for themselves, others for characters from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = iter(range(256, 512))
-        cache[path] = (Tokenizer.from_file(path), {b: b if b in plain else next(others) for b in range(256)}, {"": b""})
+        tokenizer = Tokenizer.from_file(path)
+        id_bytes = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        cache[path] = (tokenizer, {b: b if b in plain else next(others) for b in range(256)}, id_bytes, {"": b""})
     return cache[path]
 
 
-def _simple(word: str) -> bool:
-    """Letters up to U+00FF: the tokenizer's normalisation is then lower-casing, and the word one token run."""
-    return word.isalpha() and (word.isascii() or max(word) <= "\xff")
+def _learn(words: list[str], tokenizer, alphabet: dict, id_bytes: list, known: dict) -> None:
+    """Encode words that are not known yet; one mark after a simple word is encoded apart.
 
-
-def _learn(words: list[str], tokenizer, alphabet: dict, known: dict) -> None:
-    """Encode words that are not known yet; one mark after a simple word is encoded apart."""
+    Simple are letters up to U+00FF: the tokenizer's normalisation is then
+    lower-casing, and the word one run of tokens."""
     rest, marked, ids_of = [], [], tokenizer.model.tokenize
 
-    def simple(word: str) -> bytes:
+    def learn(word: str) -> None:
         low = word.lower()
-        found = known.get(low)
-        if found is None:
-            shown = low if low.isascii() else low.encode().decode("latin-1").translate(alphabet)
-            found = known[low] = np.array([x.id for x in ids_of(shown)], "<u4").tobytes()
-        return found
+        shown = low if low.isascii() else low.encode().decode("latin-1").translate(alphabet)
+        known[word] = b"".join([id_bytes[x.id] for x in ids_of(shown)])
 
     for w in words:
-        if _simple(w):
-            known[w] = simple(w)
-        elif w[-1] in ",.;:!?" and _simple(w[:-1]):
-            marked.append(w)
-        else:
+        stem = w[:-1] if w[-1] in ",.;:!?" else w
+        if not stem.isalpha() or not (stem.isascii() or max(stem) <= "\xff"):
             rest.append(w)
+            continue
+        if stem not in known:
+            learn(stem)
+        if stem is not w:
+            marked.append(w)
     rest += list({w[-1] for w in marked} - known.keys())
     for w, x in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-        known[w] = np.array(x.ids, dtype="<u4").tobytes()
+        known[w] = b"".join([id_bytes[i] for i in x.ids])
     for w in marked:
-        known[w] = simple(w[:-1]) + known[w[-1]]
+        known[w] = known[w[:-1]] + known[w[-1]]
 
 
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(first token of each document with the end appended, ids).
 
-    The tokenizer drops white space, so words are encoded on their own and each
-    distinct word once per worker."""
-    tokenizer, alphabet, known = _tokenizer(path)
-    starts, codes, vocab = word_codes(texts)
-    missing = [w for w in vocab if w not in known]
-    if missing and len(known) > CACHED_WORDS:
-        known.clear()
-        known[""] = b""
-        missing = [w for w in vocab if w]
+    The tokenizer drops white space and lower-cases, so words are encoded on
+    their own, A-Z in lower case, and each distinct word once per worker.  Texts
+    that may hold special tokens, which are matched by case, stay as they are."""
+    tokenizer, alphabet, id_bytes, known = _tokenizer(path)
+    texts = pc.fill_null(texts, "")
+    starts, codes, vocab = word_codes(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+    each = list(map(known.get, vocab))
+    missing = [w for w, x in zip(vocab, each) if x is None]
     if missing:
-        _learn(missing, tokenizer, alphabet, known)
-    each = [known[w] for w in vocab]
-    sizes = np.fromiter((len(x) for x in each), np.int64, len(each)) // 4
+        if len(known) > CACHED_WORDS:
+            known.clear()
+            known[""] = b""
+            missing = [w for w in vocab if w]
+        _learn(missing, tokenizer, alphabet, id_bytes, known)
+        each = list(map(known.__getitem__, vocab))
+    sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
     flat = np.frombuffer(b"".join(each), dtype="<u4")
     first = np.cumsum(sizes) - sizes
-    ids = flat[ranges(first[codes], sizes[codes])]
-    total = np.concatenate([[0], np.cumsum(sizes[codes])])
+    each_size = sizes[codes]
+    ids = flat[ranges(first[codes], each_size)]
+    total = np.concatenate([[0], np.cumsum(each_size)])
     return total[starts], ids
 
 

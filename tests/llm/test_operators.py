@@ -174,7 +174,8 @@ def test_tokens_of_odd_words():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(ga_packing.default_tokenizer())
-    texts = ["Hello, WORLD!! it's x.y. Σας ΣΑΣ, é́ A. 12, a1. <|endoftext|> ok", "", "İstanbul. ﬁne, 한국어. µ ª"]
+    texts = ["Hello, WORLD!! it's x.y. Σας ΣΑΣ, é́ A. 12, a1. <|endoftext|> ok", "", "İstanbul. ﬁne, 한국어. µ ª",
+             "A <|ENDOFTEXT|> B <|endoftext|> <|startoftext|>Cd", "É. É ÀÉ, K Å ǅ ß ẞ Ÿ. x\x1cY A\xa0B DON'T don'T 'S 9A."]
     starts, ids = ga_packing.token_ids(pa.array(texts), ga_packing.default_tokenizer())
     assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
