@@ -162,7 +162,8 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.fill_null(texts, "")))
     lengths = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = pc.dictionary_encode(parts.flatten())
-    codes, vocab = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    vocab = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     if "" in vocab:  # an empty text splits to one empty word
         keep = codes != vocab.index("")
         lengths = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[keep], minlength=len(lengths))

@@ -31,6 +31,7 @@ EPOCHS = 2         # each ends with a migration
 GENERATIONS = 2
 POPULATION = 4
 CACHED_WORDS = 1_000_000  # a worker's token cache is emptied beyond this
+SLICE_BYTES = 8 << 20   # text encoded at once
 END_ID = 1
 
 _PIECES = "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -96,14 +97,15 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     texts = pc.fill_null(texts, "")
     starts, codes, vocab = word_codes(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
     each = list(map(known.get, vocab))
-    missing = [w for w, x in zip(vocab, each) if x is None]
+    missing = [i for i, x in enumerate(each) if x is None]
     if missing:
         if len(known) > CACHED_WORDS:
             known.clear()
             known[""] = b""
-            missing = [w for w in vocab if w]
-        _learn(missing, tokenizer, alphabet, id_bytes, known)
-        each = list(map(known.__getitem__, vocab))
+            missing = [i for i, w in enumerate(vocab) if w]
+        _learn([vocab[i] for i in missing], tokenizer, alphabet, id_bytes, known)
+        for i in missing:
+            each[i] = known[vocab[i]]
     sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
     flat = np.frombuffer(b"".join(each), dtype="<u4")
     first = np.cumsum(sizes) - sizes
@@ -117,7 +119,7 @@ def _piece_pass(path: str, sequence: int):
     def run(batches):
         part, n = TaskContext.get().partitionId() << 40, 0
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 starts, ids = token_ids(batch.column("text"), path)
                 rows = []
                 for doc, a, b in zip(batch.column("doc_id").to_pylist(), starts[:-1].tolist(), starts[1:].tolist()):
