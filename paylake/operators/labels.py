@@ -12,10 +12,14 @@ A later scenario overrides an earlier one's label (3 > 2 > 1); scenario 1
 looks at the amount before any inflation.  Start days run over
 [0, max(TX_TIME_DAYS)), the last day starting nothing.
 
-The reference loops over start days with full-table masks.  Here each
-scenario is one equi-join on (entity, day): compromise intervals are
-expanded to their (entity, day) cells - at most k x length x days rows,
-independent of the transaction volume - and joined to the transactions.
+Compromise intervals are expanded to their (entity, day) cells - at most
+k x length x days rows, independent of the transaction volume.  That product
+is checked against MAX_BROADCAST_CELLS: within it the cells are shipped to the
+transactions, which are never shuffled; beyond it Spark joins by key.  The
+share of scenario 3 becomes one cut-off hash per start day, evaluated on each
+row by itself, so transaction ids may repeat or be NULL: a row is hashed by id,
+second and terminal, and rows equal in all three are drawn together (see
+``sampling.share_cut``).
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.operators.sampling import hash_rank, sample_k_per_seed, seed_hash
+from paylake.operators.sampling import sample_k_per_seed, seed_hash, share_cut
 
 # Fixed values of the three fraud scenarios.
 AMOUNT_THRESHOLD = 220.0
@@ -34,26 +38,38 @@ CUSTOMER_DAYS = 14
 CUSTOMER_SHARE_DIVISOR = 3
 INFLATION = 5.0
 
+MAX_BROADCAST_CELLS = 2_000_000  # rows of under 50 bytes: 100 MB at most
 
-def n_start_days(tx: DataFrame, day: str = "TX_TIME_DAYS") -> Column:
-    """max(day) as a scalar subquery: start days are [0, max)."""
-    return tx.select(F.max(day)).scalar()
+
+def n_start_days(tx: DataFrame, day: str = "TX_TIME_DAYS") -> int:
+    """max(day): start days are [0, max).  Runs one aggregate over the day
+    column, since the number bounds what may be broadcast."""
+    return max(0, tx.agg(F.max(day)).first()[0] or 0)
 
 
 def threshold_hits(tx: DataFrame, threshold: float = AMOUNT_THRESHOLD) -> Column:
     return F.coalesce(F.col("TX_AMOUNT") > F.lit(threshold), F.lit(False))
 
 
-def compromised_terminals(terminals: DataFrame, n_days: Column, k: int = TERMINALS_PER_DAY) -> DataFrame:
+def compromised_terminals(terminals: DataFrame, n_days: int, k: int = TERMINALS_PER_DAY) -> DataFrame:
     """(start_day, TERMINAL_ID), k per start day."""
     return sample_k_per_seed(terminals, "TERMINAL_ID", n_days, k)
 
 
-def compromised_customers(customers: DataFrame, n_days: Column, k: int = CUSTOMERS_PER_DAY) -> DataFrame:
+def compromised_customers(customers: DataFrame, n_days: int, k: int = CUSTOMERS_PER_DAY) -> DataFrame:
     """(start_day, CUSTOMER_ID), k per start day."""
     return sample_k_per_seed(customers, "CUSTOMER_ID", n_days, k)
 
 
+def _ship(cells: DataFrame, max_rows: int | None) -> DataFrame:
+    """Broadcast where a proven bound of the rows allows it."""
+    return F.broadcast(cells) if max_rows is not None and max_rows <= MAX_BROADCAST_CELLS else cells
+
+
+def _times(max_rows: int | None, length: int) -> int | None:
+    return None if max_rows is None else max_rows * length
+
+
 def _cells(compromises: DataFrame, key: str, length: int) -> DataFrame:
     """(start_day, key) -> (start_day, key, TX_TIME_DAYS) for the covered days."""
     return compromises.select(
@@ -66,21 +82,41 @@ def terminal_cells(compromises: DataFrame, length: int = TERMINAL_DAYS) -> DataF
     return _cells(compromises, "TERMINAL_ID", length).select("TERMINAL_ID", "TX_TIME_DAYS").distinct()
 
 
-def terminal_hits(tx: DataFrame, compromises: DataFrame, length: int = TERMINAL_DAYS) -> DataFrame:
-    """Transactions at a compromised terminal inside its window (semi join)."""
-    return tx.join(terminal_cells(compromises, length), ["TERMINAL_ID", "TX_TIME_DAYS"], "left_semi")
+def terminal_hits(tx: DataFrame, compromises: DataFrame, length: int = TERMINAL_DAYS,
+                  max_rows: int | None = None) -> DataFrame:
+    """Transactions at a compromised terminal inside its window (semi join).
+    ``max_rows`` is a proven bound of the compromises."""
+    cells = _ship(terminal_cells(compromises, length), _times(max_rows, length))
+    return tx.join(cells, ["TERMINAL_ID", "TX_TIME_DAYS"], "left_semi")
 
 
-def customer_hits(tx: DataFrame, compromises: DataFrame, length: int = CUSTOMER_DAYS,
-                  divisor: int = CUSTOMER_SHARE_DIVISOR) -> DataFrame:
-    """(TRANSACTION_ID, hits): how many start days chose each transaction."""
+def _draw(start_day: Column) -> Column:
+    """A row's place in the draw of a start day."""
+    return seed_hash(start_day, F.col("TRANSACTION_ID"), F.col("TX_TIME_SECONDS"), F.col("TERMINAL_ID"))
+
+
+def with_customer_hits(tx: DataFrame, compromises: DataFrame, length: int = CUSTOMER_DAYS,
+                       divisor: int = CUSTOMER_SHARE_DIVISOR, max_rows: int | None = None) -> DataFrame:
+    """Adds ``_hits3``: how many start days chose the row.  ``compromises`` are
+    distinct; ``max_rows`` is a proven bound of them."""
+    bound = _times(max_rows, length)
     cells = _cells(compromises, "CUSTOMER_ID", length)
-    pooled = tx.select("TRANSACTION_ID", "CUSTOMER_ID", "TX_TIME_DAYS").join(
-        cells, ["CUSTOMER_ID", "TX_TIME_DAYS"], "inner")
-    ranked = hash_rank(pooled, ["start_day"], seed_hash(F.col("start_day"), F.col("TRANSACTION_ID")),
-                       "TRANSACTION_ID")
-    chosen = ranked.where(F.col("_rank") < F.floor(F.col("_group_n") / F.lit(divisor)))
-    return chosen.groupBy("TRANSACTION_ID").agg(F.count(F.lit(1)).alias("hits"))
+    pool = (tx.select("TRANSACTION_ID", "CUSTOMER_ID", "TERMINAL_ID", "TX_TIME_DAYS", "TX_TIME_SECONDS")
+            .join(_ship(cells, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"])
+            .select("start_day", _draw(F.col("start_day")).alias("_h")))
+    cuts = share_cut(pool, "start_day", "_h", divisor)
+    by_cell = (cells.join(_ship(cuts, max_rows), "start_day").groupBy("CUSTOMER_ID", "TX_TIME_DAYS")
+               .agg(F.collect_list(F.struct("start_day", "cut")).alias("_cuts")))  # at most `length` start days
+    below = F.size(F.filter("_cuts", lambda c: _draw(c["start_day"]) < c["cut"]))
+    return (tx.join(_ship(by_cell, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"], "left")
+            .withColumn("_hits3", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below)).drop("_cuts"))
+
+
+def customer_hits(tx: DataFrame, compromises: DataFrame, length: int = CUSTOMER_DAYS,
+                  divisor: int = CUSTOMER_SHARE_DIVISOR, max_rows: int | None = None) -> DataFrame:
+    """(TRANSACTION_ID, hits) of every row that a start day chose."""
+    hit = with_customer_hits(tx, compromises, length, divisor, max_rows)
+    return hit.where("_hits3 > 0").select("TRANSACTION_ID", F.col("_hits3").cast("bigint").alias("hits"))
 
 
 def inflate(amount: Column, hits: Column, factor: float = INFLATION) -> Column:
@@ -97,13 +133,11 @@ def label_frauds(tx: DataFrame, terminals: DataFrame, customers: DataFrame,
     """
     n_days = n_start_days(tx)
     cells = terminal_cells(compromised_terminals(terminals, n_days)).withColumn("_hit2", F.lit(True))
-    c_hits = customer_hits(tx, compromised_customers(customers, n_days)).select(
-        "TRANSACTION_ID", F.col("hits").alias("_hits3"))
     base = tx.drop("TX_FRAUD", "TX_FRAUD_SCENARIO").withColumn("_hit1", threshold_hits(tx, threshold))
+    hit = with_customer_hits(base, compromised_customers(customers, n_days), max_rows=CUSTOMERS_PER_DAY * n_days)
     # cells are distinct, so the (terminal, day) join never multiplies rows
-    j = (base.join(cells, ["TERMINAL_ID", "TX_TIME_DAYS"], "left").join(c_hits, "TRANSACTION_ID", "left")
-         .withColumns({"_hit2": F.coalesce(F.col("_hit2"), F.lit(False)),
-                       "_hits3": F.coalesce(F.col("_hits3"), F.lit(0))}))
+    j = (hit.join(_ship(cells, TERMINALS_PER_DAY * TERMINAL_DAYS * n_days), ["TERMINAL_ID", "TX_TIME_DAYS"], "left")
+         .withColumn("_hit2", F.coalesce(F.col("_hit2"), F.lit(False))))
     hit3 = F.col("_hits3") > 0
     scenario = (F.when(hit3, 3).when(F.col("_hit2"), 2).when(F.col("_hit1"), 1).otherwise(0))
     return j.withColumns({
@@ -120,11 +154,11 @@ def labelled(tx: DataFrame, terminals: DataFrame, customers: DataFrame,
 
 
 def scenario_increment_counts(flagged: DataFrame) -> DataFrame:
-    """Frauds added by each rule in order: s1, then newly by s2, then newly by s3."""
+    """Frauds added by each rule in order: amount, then newly by terminals, then newly by customers."""
     h1, h2, h3 = F.col("_hit1"), F.col("_hit2"), F.col("_hits3") > 0
     return flagged.agg(
-        F.count_if(h1).alias("nb_frauds_scenario_1"),
-        F.count_if(h2 & ~h1).alias("nb_frauds_scenario_2"),
-        F.count_if(h3 & ~h1 & ~h2).alias("nb_frauds_scenario_3"),
-        F.count_if(h1 | h2 | h3).alias("nb_frauds_total"),
+        F.count_if(h1).alias("added_by_amount"),
+        F.count_if(h2 & ~h1).alias("added_by_terminal"),
+        F.count_if(h3 & ~h1 & ~h2).alias("added_by_customer"),
+        F.count_if(h1 | h2 | h3).alias("frauds"),
     )

@@ -1,20 +1,19 @@
 """Chronological order, dense ids and top-k.
 
-``dense_index`` numbers rows 0..n-1 in a total order without a
-single-partition window.  The order's leading part is described by integer
-*levels* (e.g. day, second, microsecond, customer), each a monotone
-function of the order prefix:
-
-* counts per level prefix -> per-parent prefix sums (small tables: days,
-  instants of a day, customers of an instant), composed top-down;
-* one window per leaf group numbers its rows (a leaf is one customer's
-  transactions at one instant - small however the data is skewed);
-* with ``group``, positions restart in every group (used for exact ranks
-  by hash inside large sampling pools).
-* id = composed offset of the leaf + row number - 1.
-
-The big table is shuffled once (by the leaf key); the offset join reuses
-that partitioning.
+``number_rows`` numbers all rows 0..n-1 in a total order by one range shuffle
+and a write that freezes the places.
+
+``dense_index`` numbers rows without a write, also within groups, when the
+order's leading part is given as integer *levels* that split it evenly (as
+``sampling.hash_rank`` does):
+
+* counts per level prefix, rolled up from one aggregate -> per-parent prefix
+  sums, composed top-down;
+* one window per leaf group numbers its rows;
+* position = composed offset of the leaf + row number - 1.
+
+A prefix-sum group holds the distinct values of a level below one parent, a
+leaf the rows equal in all levels: callers choose levels that bound both.
 """
 
 from __future__ import annotations
@@ -22,11 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylake.config import scratch_dir, shuffle_partitions
 from paylake.functions.time import (day_index, round_half_even, second_of_day, seconds_since,
                                     timestamp_from_offset)
 
 _MIN_LONG = -(2 ** 63)
-EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def _level(c: Column) -> Column:
@@ -72,9 +71,28 @@ def dense_index(df: DataFrame, levels: dict[str, Column], order: list[Column], o
             .drop("_base", "_rn", *names, *group))
 
 
-def micros_since_epoch(ts: str | Column) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), c.cast("timestamp_ntz"))
+def number_rows(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """Adds ``out``: 0-based position in ``order``, by one range shuffle.
+
+    Rows are range-partitioned on the whole order, so only rows equal in all of
+    it must share a partition; each partition is sorted and its rows numbered.
+    That is written to the shared scratch folder, which freezes partition and
+    place against recomputation; partition sizes (a row per shuffle partition)
+    then give every partition its first number.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, "numbered")
+    placed = (df.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+              .withColumn("_at", F.monotonically_increasing_id()))
+    placed.write.parquet(path)
+    # an id holds the partition above 33 bits of the place in it
+    back = (spark.read.schema(placed.schema).parquet(path)
+            .withColumns({"_part": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (back.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
+    return (back.join(F.broadcast(firsts), "_part")
+            .withColumn(out, F.col("_base") + F.col("_at")).drop("_part", "_at", "_base"))
 
 
 def chronological_ids(tx: DataFrame, out: str = "TRANSACTION_ID") -> DataFrame:
@@ -82,15 +100,9 @@ def chronological_ids(tx: DataFrame, out: str = "TRANSACTION_ID") -> DataFrame:
 
     The old id column is replaced; pass ``out`` to keep it.
     """
-    us = micros_since_epoch("TX_DATETIME")
-    # day -> second -> microsecond -> customer: every prefix-sum group is
-    # bounded (86,400 seconds a day, 10^6 instants a second), and a leaf is
-    # one customer's transactions at one instant.
-    levels = {"_lday": F.floor(us / F.lit(86400 * 10 ** 6)), "_lsec": F.floor(us / F.lit(10 ** 6)),
-              "_lus": us, "_lcust": F.col("CUSTOMER_ID")}
-    order = [F.col("TERMINAL_ID").asc_nulls_first(), F.col("TX_AMOUNT").asc_nulls_first(),
-             F.col("TRANSACTION_ID").asc_nulls_first()]
-    indexed = dense_index(tx, levels, order, "_new_id")
+    order = [F.col(c).asc_nulls_first()
+             for c in ("TX_DATETIME", "CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT", "TRANSACTION_ID")]
+    indexed = number_rows(tx, order, "_new_id")
     if out in tx.columns:
         indexed = indexed.drop(out)
     return indexed.withColumnRenamed("_new_id", out)
@@ -116,5 +128,5 @@ def time_offsets(tx: DataFrame, origin: str, ts: str = "TX_DATETIME") -> DataFra
 
 
 def within_day(offsets: DataFrame, col: str = "TX_SECOND_OF_DAY") -> DataFrame:
-    """Keep events strictly inside their day: 0 < second of day < 86400."""
-    return offsets.where((F.col(col) > 0) & (F.col(col) < 86400))
+    """Keep events strictly inside their day (the second of day is below 86400 by itself)."""
+    return offsets.where(F.col(col) > 0)

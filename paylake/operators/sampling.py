@@ -1,16 +1,17 @@
-"""Seeded, reproducible sampling by hash order (M1, M2).
+"""Seeded, reproducible sampling by hash (M1, M2).
 
-A seeded random draw is replaced by ordering on ``md5("<seed>:<key>")``:
-deterministic, identical in any SQL engine, and computable in parallel.
+Seeded random draws are replaced by digits of ``md5``: deterministic,
+identical in any SQL engine, and computable in parallel.
 
-``sample_k_per_seed``  k entities per seed (day): row_number <= k over a
-                       window per seed; Spark plans a partial
-                       WindowGroupLimit before the shuffle, so each seed
-                       moves at most k rows per task.
+``sample_k_per_seed``  k entities per seed (day): entities get dense ranks in
+                       hash order once, every seed draws k distinct ranks, and
+                       the two are joined.  Linear in entities plus seeds x k.
 ``hash_rank``          exact 0-based rank by hash inside arbitrarily large
                        groups: two 16-bit levels of the hash split every group
                        into near-equal sub-buckets whose counts are
                        prefix-summed (see ``ordering.dense_index``).
+``share_cut``          per group, the hash below which a share of its rows
+                       lies; equal hashes are counted, never ranked.
 """
 
 from __future__ import annotations
@@ -21,28 +22,47 @@ from pyspark.sql import functions as F
 from paylake.operators.ordering import dense_index
 
 
-def seed_hash(seed: Column, key: Column) -> Column:
-    """md5 of ``"<seed>:<key>"`` as 32 hex characters."""
-    return F.md5(F.concat(seed.cast("string"), F.lit(":"), key.cast("string")))
+def seed_hash(*parts: Column) -> Column:
+    """md5 of the parts joined by ``:`` as 32 hex characters (null part: empty)."""
+    texts = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
+    return F.md5(F.concat_ws(":", *texts))
 
 
-def seed_range(n_seeds: Column) -> Column:
-    """Array [0, n) - empty when n <= 0."""
-    return F.when(n_seeds > 0, F.sequence(F.lit(0), (n_seeds - 1).cast("int"))).otherwise(
-        F.array().cast("array<int>"))
+def entity_ranks(entities: DataFrame, key: str) -> DataFrame:
+    """Distinct non-null keys with their 0-based ``_rank`` in hash order."""
+    ids = entities.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    return hash_rank(ids, [], seed_hash(F.lit("entity"), F.col(key)), key).select(key, "_rank")
 
 
-def sample_k_per_seed(entities: DataFrame, key: str, n_seeds: Column, k: int,
+def draw_ranks(seed: Column, n: Column, k: int) -> Column:
+    """Array of min(k, n) distinct ranks in [0, n), drawn by Floyd's method:
+    step i draws from [0, n - k + i] and takes the end itself on a repeat."""
+    n = n.cast("bigint")
+
+    def step(chosen: Column, i: Column) -> Column:
+        top = n - F.lit(k) + i
+        number = F.conv(F.substring(seed_hash(seed, i), 1, 15), 16, 10).cast("bigint")
+        r = F.pmod(number, F.greatest(top + 1, F.lit(1).cast("bigint")))
+        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, r), top).otherwise(r)))
+
+    none = F.array().cast("array<bigint>")
+    drawn = F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), none, step)
+    every = F.sequence(F.lit(0).cast("bigint"), F.greatest(n - 1, F.lit(0).cast("bigint")))
+    return F.when(n >= k, drawn).when(n > 0, every).otherwise(none)
+
+
+def sample_k_per_seed(entities: DataFrame, key: str, n_seeds: int, k: int,
                       seed_col: str = "start_day") -> DataFrame:
-    """For each seed in [0, n_seeds): the k entities with the smallest hash.
+    """For each seed in [0, n_seeds): k distinct entities (all of them if fewer).
 
-    ``n_seeds`` may be a scalar-subquery column.  Output (seed, key).
+    Repeated and null keys of ``entities`` count once and not at all.  Output
+    (seed, key), at most n_seeds x k rows.
     """
-    per_seed = (entities.select(F.col(key)).where(F.col(key).isNotNull())
-                .select(F.explode(seed_range(n_seeds)).alias(seed_col), F.col(key)))
-    w = Window.partitionBy(seed_col).orderBy(seed_hash(F.col(seed_col), F.col(key)), F.col(key))
-    return (per_seed.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= k).select(seed_col, key))
+    n = entities.select(F.count_distinct(F.col(key))).scalar()
+    draws = (entities.sparkSession.range(n_seeds)
+             .select(F.col("id").cast("int").alias(seed_col), n.alias("_n"))
+             .select(seed_col, F.explode(draw_ranks(F.col(seed_col), F.col("_n"), k)).alias("_rank")))
+    return draws.join(entity_ranks(entities, key), "_rank").select(seed_col, key)
 
 
 def hash_rank(df: DataFrame, group: list[str], h: Column, tie: str) -> DataFrame:
@@ -57,3 +77,24 @@ def hash_rank(df: DataFrame, group: list[str], h: Column, tie: str) -> DataFrame
               "_h2": F.conv(F.substring("_h", 5, 4), 16, 10).cast("bigint")}
     ranked = dense_index(keyed, levels, [F.col("_h"), F.col(tie)], "_rank", group=group, group_size="_group_n")
     return ranked.drop("_h")
+
+
+def share_cut(df: DataFrame, group: str, h: str, divisor: int) -> DataFrame:
+    """(group, cut): exactly floor(n / divisor) of a group's n rows have a hash
+    below ``cut`` when hashes are distinct.  Rows of equal hash fall on the same
+    side; such a run that would exceed the share stays above the cut.
+
+    Rows are counted per hash before any shuffle; a first level of four hex
+    digits finds the part of the group in which the cut lies, so a window holds
+    65,536 counts or a 65,536th of the group's hashes.
+    """
+    sizes = df.groupBy(group, h).agg(F.count(F.lit(1)).alias("_n")).withColumn("_part", F.substring(h, 1, 4))
+    w = Window.partitionBy(group)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = (sizes.groupBy(group, "_part").agg(F.sum("_n").alias("_n"))
+             .select(group, "_part", "_n", (F.sum("_n").over(upto.orderBy("_part")) - F.col("_n")).alias("_before"),
+                     F.floor(F.sum("_n").over(w) / F.lit(divisor)).alias("_share"))
+             .where("_before <= _share AND _share < _before + _n").drop("_n"))
+    near = (sizes.join(parts, [group, "_part"])
+            .withColumn("_upto", F.col("_before") + F.sum("_n").over(upto.orderBy(h))))
+    return near.where("_upto - _n <= _share AND _share < _upto").select(group, F.col(h).alias("cut"))

@@ -216,10 +216,9 @@ def customer_terminal_counts(spark, sf_dir):
 # ----------------------------------------------------------------- labels
 
 def _label_inputs(spark, sf_dir):
-    tx = adapters.events_transactions(spark, sf_dir)
-    terms = tx.select("TERMINAL_ID").distinct()
-    custs = tx.select("CUSTOMER_ID").distinct()
-    return tx, terms, custs
+    """Transactions and the profile tables from which entities are drawn."""
+    return (adapters.events_transactions(spark, sf_dir), adapters.terminals(spark, sf_dir),
+            adapters.customers(spark, sf_dir))
 
 
 @query
@@ -244,14 +243,16 @@ def sample_k_per_day(spark, sf_dir):
 @query
 def label_compromised_terminals(spark, sf_dir):
     tx, terms, _ = _label_inputs(spark, sf_dir)
-    comp = labels.compromised_terminals(terms, labels.n_start_days(tx))
-    return labels.terminal_hits(tx, comp).select("TRANSACTION_ID", "TERMINAL_ID", "TX_TIME_DAYS")
+    n = labels.n_start_days(tx)
+    comp = labels.compromised_terminals(terms, n)
+    return labels.terminal_hits(tx, comp, max_rows=labels.TERMINALS_PER_DAY * n).select("TRANSACTION_ID", "TERMINAL_ID", "TX_TIME_DAYS")
 
 
 @query
 def label_compromised_customers(spark, sf_dir):
     tx, _, custs = _label_inputs(spark, sf_dir)
-    return labels.customer_hits(tx, labels.compromised_customers(custs, labels.n_start_days(tx)))
+    n = labels.n_start_days(tx)
+    return labels.customer_hits(tx, labels.compromised_customers(custs, n), max_rows=labels.CUSTOMERS_PER_DAY * n)
 
 
 @query
@@ -259,6 +260,13 @@ def label_fraud_scenarios(spark, sf_dir):
     return labels.labelled(*_label_inputs(spark, sf_dir))
 
 
+@query
+def label_fraud_scenarios_bulk(spark, sf_dir):
+    """Labels over orders x lineitem: repeated ids, many rows at one second."""
+    return labels.labelled(adapters.orders_transactions(spark, sf_dir), adapters.terminals(spark, sf_dir),
+                           adapters.customers(spark, sf_dir))
+
+
 @query
 def scenario_increment_counts(spark, sf_dir):
     return labels.scenario_increment_counts(labels.label_frauds(*_label_inputs(spark, sf_dir)))
@@ -294,6 +302,13 @@ def chronological_ids(spark, sf_dir):
     return ordering.chronological_ids(tx, out="CHRONO_ID").select("TRANSACTION_ID", "CHRONO_ID")
 
 
+@query
+def chronological_ids_bulk(spark, sf_dir):
+    """Date-only times: many customers share an instant."""
+    tx = adapters.orders_transactions(spark, sf_dir)
+    return ordering.chronological_ids(tx, out="CHRONO_ID").select("TRANSACTION_ID", "CHRONO_ID")
+
+
 @query
 def tx_time_offsets(spark, sf_dir):
     tx = adapters.events_transactions(spark, sf_dir)

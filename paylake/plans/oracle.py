@@ -340,48 +340,56 @@ WITH {GEO}
 
 # ----------------------------------------------------------------- labels
 
-SAMPLES = """
+def _ranks(prefix: str, key: str, source: str) -> str:
+    return f"""{prefix}rank AS (
+  SELECT {key}, row_number() OVER (ORDER BY md5('entity:' || CAST({key} AS VARCHAR)), {key}) - 1 AS rnk
+  FROM (SELECT DISTINCT {source} AS {key} FROM {"supplier" if prefix == "t" else "customer"} WHERE {source} IS NOT NULL)
+),
+{prefix}n AS (SELECT COUNT(*) AS n FROM {prefix}rank)"""
+
+
+def _digits(i: int) -> str:
+    return f"CAST('0x' || substr(md5(CAST(start_day AS VARCHAR) || ':{i}'), 1, 15) AS BIGINT)"
+
+
+# Distinct ranks by Floyd's method; the tables hold at least k entities.
+SAMPLES = f"""
 nd AS (SELECT max(TX_TIME_DAYS) AS n FROM tx),
 days AS (SELECT CAST(unnest(range(0, (SELECT n FROM nd))) AS INTEGER) AS start_day),
-tsample AS (
-  SELECT start_day, TERMINAL_ID FROM (
-    SELECT d.start_day, t.TERMINAL_ID,
-           row_number() OVER (PARTITION BY d.start_day
-             ORDER BY md5(CAST(d.start_day AS VARCHAR) || ':' || CAST(t.TERMINAL_ID AS VARCHAR)), t.TERMINAL_ID) AS rn
-    FROM days d, (SELECT DISTINCT TERMINAL_ID FROM tx WHERE TERMINAL_ID IS NOT NULL) t
-  ) WHERE rn <= 2
-),
-csample AS (
-  SELECT start_day, CUSTOMER_ID FROM (
-    SELECT d.start_day, c.CUSTOMER_ID,
-           row_number() OVER (PARTITION BY d.start_day
-             ORDER BY md5(CAST(d.start_day AS VARCHAR) || ':' || CAST(c.CUSTOMER_ID AS VARCHAR)), c.CUSTOMER_ID) AS rn
-    FROM days d, (SELECT DISTINCT CUSTOMER_ID FROM tx WHERE CUSTOMER_ID IS NOT NULL) c
-  ) WHERE rn <= 3
-),
+{_ranks("t", "TERMINAL_ID", "s_suppkey")},
+{_ranks("c", "CUSTOMER_ID", "c_custkey")},
+tdraw1 AS (SELECT start_day, n, {_digits(0)} % (n - 1) AS r0, {_digits(1)} % n AS r1 FROM days, tn),
+tdraw AS (SELECT start_day, unnest([r0, CASE WHEN r1 = r0 THEN n - 1 ELSE r1 END]) AS rnk FROM tdraw1),
+tsample AS (SELECT start_day, TERMINAL_ID FROM tdraw JOIN trank USING (rnk)),
+cdraw1 AS (SELECT start_day, n, {_digits(0)} % (n - 2) AS r0, {_digits(1)} % (n - 1) AS r1, {_digits(2)} % n AS r2
+           FROM days, cn),
+cdraw2 AS (SELECT start_day, n, r0, CASE WHEN r1 = r0 THEN n - 2 ELSE r1 END AS r1, r2 FROM cdraw1),
+cdraw AS (SELECT start_day, unnest([r0, r1, CASE WHEN r2 IN (r0, r1) THEN n - 1 ELSE r2 END]) AS rnk FROM cdraw2),
+csample AS (SELECT start_day, CUSTOMER_ID FROM cdraw JOIN crank USING (rnk)),
+txr AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM tx),
 thit AS (
-  SELECT TRANSACTION_ID FROM tx
-  WHERE EXISTS (SELECT 1 FROM tsample s WHERE s.TERMINAL_ID = tx.TERMINAL_ID
-                AND tx.TX_TIME_DAYS >= s.start_day AND tx.TX_TIME_DAYS < s.start_day + 28)
+  SELECT rid FROM txr
+  WHERE EXISTS (SELECT 1 FROM tsample s WHERE s.TERMINAL_ID = txr.TERMINAL_ID
+                AND txr.TX_TIME_DAYS >= s.start_day AND txr.TX_TIME_DAYS < s.start_day + 28)
 ),
-pooled AS (
-  SELECT s.start_day, tx.TRANSACTION_ID,
-         row_number() OVER (PARTITION BY s.start_day
-           ORDER BY md5(CAST(s.start_day AS VARCHAR) || ':' || CAST(tx.TRANSACTION_ID AS VARCHAR)), tx.TRANSACTION_ID) - 1
-           AS rnk,
-         COUNT(*) OVER (PARTITION BY s.start_day) AS n
-  FROM tx JOIN csample s ON s.CUSTOMER_ID = tx.CUSTOMER_ID
-   AND tx.TX_TIME_DAYS >= s.start_day AND tx.TX_TIME_DAYS < s.start_day + 14
+drawn AS (
+  SELECT s.start_day, txr.rid,
+         md5(concat(s.start_day, ':', TRANSACTION_ID, ':', TX_TIME_SECONDS, ':', TERMINAL_ID)) AS h
+  FROM txr JOIN csample s ON s.CUSTOMER_ID = txr.CUSTOMER_ID
+   AND txr.TX_TIME_DAYS >= s.start_day AND txr.TX_TIME_DAYS < s.start_day + 14
 ),
-chit AS (
-  SELECT TRANSACTION_ID, COUNT(*) AS hits FROM pooled WHERE rnk < n // 3 GROUP BY TRANSACTION_ID
+pooled AS (
+  SELECT start_day, rid, COUNT(*) OVER (PARTITION BY start_day ORDER BY h) AS upto,
+         COUNT(*) OVER (PARTITION BY start_day) AS n
+  FROM drawn
 ),
+chit AS (SELECT rid, COUNT(*) AS hits FROM pooled WHERE upto <= n // 3 GROUP BY rid),
 flags AS (
-  SELECT tx.*,
-         COALESCE(tx.TX_AMOUNT > 220, FALSE) AS h1,
-         thit.TRANSACTION_ID IS NOT NULL AS h2,
+  SELECT txr.*,
+         COALESCE(txr.TX_AMOUNT > 220, FALSE) AS h1,
+         thit.rid IS NOT NULL AS h2,
          COALESCE(chit.hits, 0) AS h3
-  FROM tx LEFT JOIN thit USING (TRANSACTION_ID) LEFT JOIN chit USING (TRANSACTION_ID)
+  FROM txr LEFT JOIN thit USING (rid) LEFT JOIN chit USING (rid)
 ),
 labelled AS (
   SELECT TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TERMINAL_ID,
@@ -412,24 +420,26 @@ SELECT start_day, 'customer' AS entity_kind, CUSTOMER_ID AS entity_id FROM csamp
 
 SQL["label_compromised_terminals"] = f"""
 WITH {TX}, {SAMPLES}
-SELECT tx.TRANSACTION_ID, tx.TERMINAL_ID, tx.TX_TIME_DAYS FROM tx JOIN thit USING (TRANSACTION_ID)
+SELECT TRANSACTION_ID, TERMINAL_ID, TX_TIME_DAYS FROM txr JOIN thit USING (rid)
 """
 
-SQL["label_compromised_customers"] = f"WITH {TX}, {SAMPLES} SELECT TRANSACTION_ID, hits FROM chit"
+SQL["label_compromised_customers"] = f"WITH {TX}, {SAMPLES} SELECT TRANSACTION_ID, hits FROM txr JOIN chit USING (rid)"
 
-SQL["label_fraud_scenarios"] = f"""
-WITH {TX}, {SAMPLES}
+_LABELLED = f"""{SAMPLES}
 SELECT TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TERMINAL_ID, TX_AMOUNT, TX_TIME_SECONDS, TX_TIME_DAYS,
        TX_FRAUD, TX_FRAUD_SCENARIO
 FROM labelled
 """
 
+SQL["label_fraud_scenarios"] = f"WITH {TX}, {_LABELLED}"
+SQL["label_fraud_scenarios_bulk"] = f"WITH {TXB}, {_LABELLED}"
+
 SQL["scenario_increment_counts"] = f"""
 WITH {TX}, {SAMPLES}
-SELECT COUNT(*) FILTER (WHERE h1) AS nb_frauds_scenario_1,
-       COUNT(*) FILTER (WHERE h2 AND NOT h1) AS nb_frauds_scenario_2,
-       COUNT(*) FILTER (WHERE h3 > 0 AND NOT h1 AND NOT h2) AS nb_frauds_scenario_3,
-       COUNT(*) FILTER (WHERE h1 OR h2 OR h3 > 0) AS nb_frauds_total
+SELECT COUNT(*) FILTER (WHERE h1) AS added_by_amount,
+       COUNT(*) FILTER (WHERE h2 AND NOT h1) AS added_by_terminal,
+       COUNT(*) FILTER (WHERE h3 > 0 AND NOT h1 AND NOT h2) AS added_by_customer,
+       COUNT(*) FILTER (WHERE h1 OR h2 OR h3 > 0) AS frauds
 FROM labelled
 """
 
@@ -460,14 +470,16 @@ FROM labelled
 
 # --------------------------------------------------------------- ordering
 
-SQL["chronological_ids"] = f"""
-WITH {TX}
+_CHRONO = """
 SELECT TRANSACTION_ID,
        row_number() OVER (ORDER BY TX_DATETIME NULLS FIRST, CUSTOMER_ID NULLS FIRST, TERMINAL_ID NULLS FIRST,
                           TX_AMOUNT NULLS FIRST, TRANSACTION_ID NULLS FIRST) - 1 AS CHRONO_ID
 FROM tx
 """
 
+SQL["chronological_ids"] = f"WITH {TX} {_CHRONO}"
+SQL["chronological_ids_bulk"] = f"WITH {TXB} {_CHRONO}"
+
 SQL["tx_time_offsets"] = f"""
 WITH {TX},
 o AS (

@@ -27,10 +27,13 @@ def test_time_offsets_within_day(spark):
 
 
 def test_dense_index_keeps_null_groups(spark):
-    from pyspark.sql import functions as F
-
-    from paylake.operators.ordering import dense_index
-
     df = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "g int, x int")
-    got = dense_index(df, {"_l": F.col("x")}, [F.col("x")], "i", ["g"])
+    got = ordering.dense_index(df, {"_l": F.col("x")}, [F.col("x")], "i", ["g"])
     assert sorted((r.x, r.i) for r in got.collect()) == [(1, 0), (2, 1), (5, 0)]
+
+
+def test_number_rows_of_one_instant(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit(None).cast("int").alias("t")).repartition(5)
+    out = ordering.number_rows(df, [F.col("t").asc_nulls_first(), F.col("k")], "n")
+    assert out.where("k = n").count() == 5000 and out.columns == ["k", "t", "n"]
+    assert ordering.number_rows(df.where("false"), [F.col("k")], "n").count() == 0
