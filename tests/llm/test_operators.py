@@ -267,3 +267,61 @@ def test_empty_tables(spark, docs):
     assert warc_index.warc_round_trip(pages).count() == 0
     assert url_redirects.redirect_verdicts(pages, url_redirects.rules_table(spark)).count() == 0
     assert chat_bytes.chat_round_trip(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
+
+
+def test_pipeline_against_brute_force(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rng, schema = random.Random(8), "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    toxic, texts = {i for i in range(500) if i % 4 == 0}, {}
+    for i in range(500):
+        w = prose(1000 + i, 40 + i % 90, 3000).split()
+        if i in toxic:
+            w[rng.randrange(len(w))] = rng.choice(["moron", "scum", "trash"])
+        texts[i] = " ".join(w)
+    item = prose(77, 40, 5000)
+    texts |= {600 + i: texts[4 * i + 1].replace(" ", "  \n", 2) for i in range(10)}  # equal after normalising
+    texts |= {700 + i: texts[40 * i + 39] * 2 for i in range(10)}
+    texts |= {720 + i: edit(texts[700 + i], 60, i) for i in range(10)}
+    texts |= {800: prose(78, 60, 3000) + " " + item, 801: prose(79, 30, 3000) + " " + edit(item, 8, 1), 802: None, 803: "", 804: "x y"}
+    tables = {"documents": ([(i, t, "en", "s", len(t or "")) for i, t in texts.items()], schema),
+              "labels": ([(i, int(i in toxic)) for i in range(500)], "doc_id bigint, toxic int"),
+              "benchmark": ([(1, item), (2, prose(80, 30, 5000))], "item_id bigint, text string")}
+    for name, (rows, ddl) in tables.items():
+        spark.createDataFrame(rows, ddl).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    seen = {}
+
+    def watched(name, stage):
+        def call(spark, docs, sf_dir):
+            assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+            seen[name] = {r.doc_id: r.text for r in docs.collect()}
+            return stage(spark, docs, sf_dir)
+        return name, call
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [watched(*s) for s in corpus_pipeline.STAGES])
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert seen["toxicity"] == texts
+    gone = set(texts) - set(seen["exact"])
+    assert len(gone & toxic) > 0.95 * len(toxic) and len(gone - toxic) <= 3
+    first = {}
+    for i in sorted(seen["exact"]):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", seen["exact"][i] or ""), i)
+    assert set(seen["near"]) == set(first.values())
+    sets = {i: shingles(t) for i, t in seen["near"].items()}
+    low, order = {}, sorted(sets)
+    for b in order:  # an earlier text that is near, through any chain
+        low[b] = b
+        for a in order[:order.index(b)]:
+            both = sum((sets[a] & sets[b]).values())
+            if both >= 0.8 * (sum(sets[a].values()) + sum(sets[b].values()) - both):
+                x, y = sorted((low[a], low[b]))
+                low = {k: x if v == y else v for k, v in low.items()}
+    assert set(seen["decontamination"]) == set(low.values()) and len(set(low.values())) < len(sets)
+    assert set(seen["decontamination"]) - set(seen["packing"]) == {800, 801} & set(seen["decontamination"]) != set()
+    tokenizer, want = Tokenizer.from_file(ga_packing.default_tokenizer()), {}
+    for i, t in seen["packing"].items():
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+        want |= {(i, k): zlib.crc32(np.array(ids[a:a + 4096], "<u4").tobytes()) for k, a in enumerate(range(0, len(ids), 4096))}
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in packed} == want and len(packed) == len(want)
+    assert len({r.sequence_id for r in packed}) <= -(-sum(r.length for r in packed) // 4096) + 1
