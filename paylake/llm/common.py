@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 
@@ -45,9 +46,21 @@ def n_partitions(spark: SparkSession) -> int:
 
 
 def process_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker process."""
+    """A dict that the Python worker process keeps until another one is asked for:
+    a reused worker doesn't carry the caches of one operator through the next."""
     holder = sys.modules.setdefault("_llm_process_cache", types.ModuleType("_llm_process_cache"))
-    return holder.__dict__.setdefault(name, {})
+    caches = holder.__dict__.setdefault("caches", {})
+    if name not in caches:
+        caches.clear()
+    return caches.setdefault(name, {})
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: a reused worker would hold it through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
@@ -60,6 +73,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
         if end > start:
             yield batch.slice(start, end - start)
         start = end
+    release_memory()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

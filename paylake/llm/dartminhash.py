@@ -31,6 +31,7 @@ GRAM = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5   # a pair at 0.8 shares a band with probability 0.99995
 BLOCK = 400           # members of a bucket that meet those of another block in one group
+SLICE_BYTES = 1 << 20  # text hashed at once; its arrays take about 60 times that
 _LOW = 44             # bits of a gram's hash that are kept beside its document's number
 _SIGNED = ("row bigint, doc_id bigint, tkey bigint, c1 bigint, c2 bigint, weight bigint, "
            "bands array<bigint>, text string")
@@ -112,7 +113,7 @@ def _sign_pass(bands: int, rows: int):
     def run(batches):
         part, done = TaskContext.get().partitionId() << 40, 0
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 n = batch.num_rows
                 doc, gram, count, c1, c2 = elements(batch.column("text"))
                 sign = signatures(n, doc, gram, count, bands * rows).reshape(n, bands, rows)
@@ -146,7 +147,7 @@ def weighted_jaccard(a: pa.Array, b: pa.Array) -> np.ndarray:
 def _verify_pass(similarity: float):
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text_u"):
+            for batch in slices(whole, "text_u", SLICE_BYTES):
                 good = weighted_jaccard(batch.column("text_u"), batch.column("text_v")) >= similarity - 1e-12
                 yield batch.select(["u", "v"]).append_column("linked", pa.array(good))
     return run

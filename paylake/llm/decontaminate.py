@@ -22,6 +22,7 @@ SEED_WORDS = 3
 MIN_ITEM_WORDS = 8      # shorter items are no evidence: any prose contains them
 SIMILARITY = 0.5        # alignment score over that of an exact copy
 BLOCK_WORDS = 200_000   # words of benchmark items per block
+SLICE_BYTES = 2 << 20   # text hashed at once
 FREQUENT = 4            # a seed may occur in this many times the documents of the item's median n-gram
 MATCH, MISMATCH, GAP = 2, -1, -1
 _MATCHES = "doc_id bigint, item_id bigint, similarity double, first_word bigint, end_word bigint"
@@ -164,7 +165,7 @@ def _count_pass(block: Block):
     def run(batches):
         for whole in batches:
             total = np.zeros(len(block.grams), np.int64)
-            for batch in slices(whole, "text", 8 << 20):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 starts, words = word_hashes(batch.column("text"), folded=True)
                 doc, _, gram = block.hits(starts, words)
                 each = np.unique(doc * len(block.grams) + gram)
@@ -188,7 +189,7 @@ def rare_blocks(docs: DataFrame, items: DataFrame, block_words: int = BLOCK_WORD
 def _match_pass(block: Block, similarity: float):
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 8 << 20):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 starts, words = word_hashes(batch.column("text"), folded=True)
                 ids = batch.column("doc_id")
                 found = find_copies(block, starts, words, similarity)
@@ -203,7 +204,7 @@ def _match_pass(block: Block, similarity: float):
 def _filter_pass(block: Block, similarity: float):
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 8 << 20):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 starts, words = word_hashes(batch.column("text"), folded=True)
                 clean = np.ones(batch.num_rows, bool)
                 clean[[d for d, _ in find_copies(block, starts, words, similarity)]] = False
