@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import sys
 import types
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -101,9 +102,52 @@ def _powers(n: int, base: int) -> np.ndarray:
     return have[:n]
 
 
+#: Scripts written without spaces: every character of theirs is a word.
+_UNSPACED = ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x19E0), (0x1A20, 0x1AB0), (0x1B00, 0x1B80),
+             (0x3005, 0x3008), (0x3040, 0x3130), (0x31A0, 0x31C0), (0x31F0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA4D0),
+             (0xA980, 0xAA00), (0xAA60, 0xAAE0), (0xF900, 0xFB00), (0x16FE0, 0x18D80), (0x1AFF0, 0x1B300), (0x20000, 0x40000))
+
+
+def _char_kinds() -> np.ndarray:
+    """Per code point the characters it becomes: 0 ignorable, 1 part of a word,
+    3 a word of its own between blanks; -1 a blank in its place."""
+    cache = process_cache("powers")  # used along with them
+    if "kinds" not in cache:
+        of = {"L": 1, "M": 1, "N": 1, "S": 3, "Sk": -1, "Cf": 0}  # Sk: accents that stand alone
+        names = [unicodedata.category(chr(c)) for c in range(0x110000)]
+        kinds = np.array([of.get(x, of.get(x[0], -1)) for x in names], np.int8)
+        kinds[[*range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)]] = 0  # variation selectors
+        for a, b in _UNSPACED:
+            kinds[a:b][kinds[a:b] == 1] = 3
+        kinds[:128] = [1 if chr(c).isalnum() else -1 for c in range(128)]
+        cache["kinds"] = kinds
+    return cache["kinds"]
+
+
+def fold(text: bytes) -> bytes:
+    """Text with blanks for what is not part of a word and around each symbol and
+    character of a script written without spaces."""
+    if text.isascii():  # folded by the byte table
+        return text
+    codes = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    kind = _char_kinds()[codes]
+    room = np.abs(kind).astype(np.int64)
+    out = np.full(int(room.sum()), 0x20, np.uint32)
+    kept = kind > 0
+    out[(np.cumsum(room) - room + (kind == 3))[kept]] = codes[kept]
+    return out.tobytes().decode("utf-32-le").encode()
+
+
+def fold_texts(texts: pa.Array) -> pa.Array:
+    if pc.all(pc.string_is_ascii(texts), min_count=0).as_py() is not False:
+        return texts
+    return pa.array([x if x is None else fold(x) for x in texts.cast(pa.large_binary()).to_pylist()],
+                    pa.large_binary()).cast(pa.large_string())
+
+
 def _byte_tables(folded: bool) -> tuple[np.ndarray, np.ndarray]:
     """(random value per byte, is-word-byte).  folded: words are runs of ASCII
-    letters (case folded), digits and non-ASCII bytes; else runs of non-space."""
+    letters (case folded), digits and the non-ASCII bytes that ``fold`` leaves; else runs of non-space."""
     values = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
     word = np.ones(256, dtype=bool)
     word[[0x20, *range(0x09, 0x0E)]] = False
@@ -132,8 +176,10 @@ def word_hashes(texts: pa.Array, folded: bool = False) -> tuple[np.ndarray, np.n
     """(first word of each document with the end appended, 64-bit hash of every word).
 
     A polynomial hash over random byte values, taken from prefix sums, so a
-    whole batch is hashed without a Python loop.
+    whole batch is hashed without a Python loop (folded: one per text that isn't ASCII).
     """
+    if folded:
+        texts = fold_texts(texts)
     offsets, data = raw_buffers(texts)
     values, word = _byte_tables(folded)
     n = len(data)

@@ -6,8 +6,9 @@ n-gram occurs; an item's seeds are its n-grams that are not far more frequent
 than its typical one.  A second pass finds the seeds in every document, joins
 them to items by diagonal and aligns item and passage word by word
 (Smith-Waterman with linear gaps, vectorised over candidates).  A passage whose
-alignment reaches the threshold is a copy, edited or not.  Nothing is shuffled
-but the n-gram counts.
+alignment reaches the threshold is a copy, edited or not.  Items of few words are
+looked up whole instead: only all their words in a row are a copy.  Nothing is
+shuffled but the n-gram counts.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import doc_of, ngram_hashes, pick, ranges, slices, word_hashes
+from .common import doc_of, fold, ngram_hashes, pick, ranges, slices, word_hashes
 
 SEED_WORDS = 3
-MIN_ITEM_WORDS = 8      # shorter items are no evidence: any prose contains them
+MIN_ITEM_WORDS = 8      # a part of a shorter item is no evidence, only the whole of it
 SIMILARITY = 0.5        # alignment score over that of an exact copy
 BLOCK_WORDS = 200_000   # words of benchmark items per block
 SLICE_BYTES = 2 << 20   # text hashed at once
@@ -33,8 +34,17 @@ class Block:
 
     def __init__(self, ids: list, texts: list):
         starts, words = word_hashes(pa.array(texts, pa.string()), folded=True)
-        good = np.flatnonzero(np.diff(starts) >= MIN_ITEM_WORDS)
-        self.ids = [ids[i] for i in good]
+        count = np.diff(starts)
+        few = np.flatnonzero((count > 0) & (count < MIN_ITEM_WORDS))
+        good = np.flatnonzero(count >= MIN_ITEM_WORDS)
+        self.ids = [ids[i] for i in [*good, *few]]
+        self.short = {}  # words of an item -> (distinct hashes of whole items, their first place in items, items)
+        for n in np.unique(count[few]).tolist():
+            mine = np.flatnonzero(count[few] == n)
+            whole = ngram_hashes(words, n)[starts[few[mine]]]
+            order = np.argsort(whole, kind="stable")
+            keys, first = np.unique(whole[order], return_index=True)
+            self.short[n] = keys, np.append(first, len(order)), len(good) + mine[order]
         self.length = np.diff(starts)[good]
         self.words = words[ranges(starts[good], self.length)]
         self.start = np.concatenate([[0], np.cumsum(self.length)])
@@ -78,6 +88,23 @@ class Block:
         return doc[inside], near[inside], which[inside]
 
 
+    def whole_hits(self, starts: np.ndarray, words: np.ndarray) -> dict:
+        """First place of every short item in each document that holds all its words in a row."""
+        found = {}
+        for n, (keys, first, items) in self.short.items():
+            grams = ngram_hashes(words, n)
+            which = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+            at = np.flatnonzero(keys[which] == grams)
+            doc = np.searchsorted(starts, at, side="right") - 1
+            inside = at + n <= starts[1:][doc]
+            at, doc, which = at[inside], doc[inside], which[at[inside]]
+            _, once = np.unique(doc * len(keys) + which, return_index=True)
+            for i in once.tolist():
+                d, k, a = int(doc[i]), int(which[i]), int(at[i] - starts[doc[i]])
+                found.update({(d, item): (1.0, a, a + n) for item in items[first[k]:first[k + 1]].tolist()})
+        return found
+
+
 def smith_waterman(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(best local score, column after its last word) for every pair of rows.
 
@@ -117,7 +144,7 @@ def find_copies(block: Block, starts: np.ndarray, words: np.ndarray, similarity:
     item = block.item[posting]
     slack = np.maximum(4, block.length[item] // 4)
     lane = (word - starts[doc] - block.at[posting]) // slack
-    found = {}
+    found = block.whole_hits(starts, words)
     if not len(doc):
         return found
     pairs = np.unique(np.stack([block.length[item], item, doc, lane], axis=1), axis=0)
@@ -153,7 +180,7 @@ def blocks(items: DataFrame, block_words: int = BLOCK_WORDS):
         if x["text"] is not None:
             ids.append(x["item_id"])
             texts.append(x["text"])
-            size += len(x["text"]) // 4
+            size += 1 + max(len(x["text"]) // 4, len(fold(x["text"].encode("utf-8", "replace")).split()))
         if size >= block_words:
             yield Block(ids, texts)
             ids, texts, size = [], [], 0
@@ -178,6 +205,9 @@ def _count_pass(block: Block):
 def rare_blocks(docs: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS):
     """Blocks with their seeds chosen by document counts over all documents."""
     for block in blocks(items, block_words):
+        if not len(block.grams):
+            yield block
+            continue
         documents = np.zeros(len(block.grams), np.int64)
         counted = docs.select("text").mapInArrow(_count_pass(block), "gram bigint, documents bigint")
         for gram, n in counted.groupBy("gram").agg(F.sum("documents")).toLocalIterator():  # at most a block's n-grams
@@ -222,9 +252,10 @@ def benchmark_copies(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     """(doc_id, item_id, similarity, first_word, end_word): a row per document row and
     test item of which it holds a copy; the words are those of the best passage.
 
-    Words are runs of letters and digits, ASCII letters case folded.  Null texts
-    hold nothing, items of under 8 words match nothing, null ids are passed on,
-    repeated rows are each reported; empty tables give no rows.
+    Words are runs of letters, marks and digits, ASCII letters case folded; a symbol beyond ASCII and a character of a script without spaces
+    (Chinese, Japanese, Thai, ..) is a word of its own.  Items of under 8 words
+    match as a whole only.  Null texts and items without a word hold and match nothing, null ids
+    are passed on, repeated rows are each reported; empty tables give no rows.
     """
     mine, items = _named(docs, items, doc_id, text)
     out = docs.sparkSession.createDataFrame([], _MATCHES)

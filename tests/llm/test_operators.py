@@ -138,6 +138,25 @@ def test_decontaminate(spark, docs):
     assert clean.columns == both.columns and clean.count() == both.count() - 2
 
 
+def copies(spark, texts, items):
+    docs = spark.createDataFrame([(i, t, "", "", "", 0) for i, t in texts], DOCS)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = [(r.doc_id, r.item_id) for r in decontaminate.benchmark_copies(docs, bench).collect()]
+    assert decontaminate.drop_contaminated(docs, bench).count() == len(texts) - len({d for d, _ in got})
+    return sorted(got)
+
+
+def test_decontaminate_short_items_and_scripts_without_spaces(spark):
+    chinese, thai = "\u571f\u661f\u6700\u5927\u7684\u536b\u661f\u662f\u4ec0\u4e48\uff1f\u571f\u536b\u516d\u3002", "\u0e01\u0e23\u0e38\u0e07\u0e40\u0e17\u0e1e\u0e21\u0e2b\u0e32\u0e19\u0e04\u0e23"
+    items = [(1, "Name Saturn's largest moon."), (2, "Titan!"), (3, "two words"), (4, chinese), (5, thai), (6, "\u5730\u7403"), (7, "..."),
+             (8, "name saturn s LARGEST moon")]
+    texts = [(10, prose(1, 30) + " name Saturn's largest moon " + prose(2, 9)), (11, "name saturn's moon, the largest"), (12, "A titan."),
+             (13, "two, and words two"), (14, "\u95ee" + chinese.replace("\uff1f", "?") + "\u7b54"), (15, "\u0e02" + thai + "\u0e02"), (16, "\u5927\u5730\u7403\u4f53"), (17, "two"),
+             (18, "words"), (19, "Two\u00a0words")]
+    assert copies(spark, texts, items) == [(10, 1), (10, 8), (12, 2), (14, 4), (15, 5), (16, 6), (19, 3)]
+
+
+
 def test_smith_waterman_against_plain_loops():
     rng = np.random.default_rng(1)
     items, passages = rng.integers(2, 6, (20, 7)).astype(np.uint64), rng.integers(2, 6, (20, 11)).astype(np.uint64)
