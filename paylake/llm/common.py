@@ -125,11 +125,12 @@ def _char_kinds() -> np.ndarray:
 
 
 def fold(text: bytes) -> bytes:
-    """Text with blanks for what is not part of a word and around each symbol and
-    character of a script written without spaces."""
+    """Text in compatibility form (NFKC) and full case folding, with blanks for what is not part
+    of a word and around each symbol and character of a script written without spaces."""
     if text.isascii():  # folded by the byte table
         return text
-    codes = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    whole = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text.decode("utf-8", "replace")).casefold())
+    codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
     kind = _char_kinds()[codes]
     room = np.abs(kind).astype(np.int64)
     out = np.full(int(room.sum()), 0x20, np.uint32)

@@ -252,7 +252,8 @@ def benchmark_copies(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     """(doc_id, item_id, similarity, first_word, end_word): a row per document row and
     test item of which it holds a copy; the words are those of the best passage.
 
-    Words are runs of letters, marks and digits, ASCII letters case folded; a symbol beyond ASCII and a character of a script without spaces
+    Words are runs of letters, marks and digits, in compatibility form (NFKC) and
+    case folded; a symbol beyond ASCII and a character of a script without spaces
     (Chinese, Japanese, Thai, ..) is a word of its own.  Items of under 8 words
     match as a whole only.  Null texts and items without a word hold and match nothing, null ids
     are passed on, repeated rows are each reported; empty tables give no rows.

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import duckdb
@@ -156,6 +157,16 @@ def test_decontaminate_short_items_and_scripts_without_spaces(spark):
     assert copies(spark, texts, items) == [(10, 1), (10, 8), (12, 2), (14, 4), (15, 5), (16, 6), (19, 3)]
 
 
+def test_decontaminate_folds_beyond_ascii(spark):
+    item = "Où était l'élève très âgé, près du fleuve où la Straße à côté s'élève déjà"
+    upper = "«\u00a0" + item.replace("'", "\u2019").upper().replace(",", "\u00a0\u2014\u2026") + "\u00a0»"
+    apart = unicodedata.normalize("NFD", item).replace(" ", "\u2003")
+    wide = "".join(chr(ord(c) + 0xFEE0) if c.isalnum() and c.isascii() else c for c in prose(7, 12))
+    assert copies(spark, [(1, upper), (2, apart), (3, prose(3, 40)), (4, wide)], [(1, item), (2, "ÉTÉ déjà"), (3, prose(7, 12))]) == [
+        (1, 1), (2, 1), (4, 3)]
+    assert copies(spark, [(1, "“été—DÉJÀ”")], [(2, "ÉTÉ déjà")]) == [(1, 2)]
+
+
 
 def test_smith_waterman_against_plain_loops():
     rng = np.random.default_rng(1)
