@@ -8,18 +8,23 @@ allowed, else blocked if any alias is blocked, else allowed.
 
 from __future__ import annotations
 
+import html as entities
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialize, pick
+from .common import materialize, pick, slices
 from .components import connected_components
 
 #: Fixed rules of the query: (host, path, verdict).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
-_REFRESH = r"(?is)<meta\b[^>]*?http-equiv\s*=\s*[\"']?refresh[^>]*?url\s*=\s*[\"']?([^\"'>\s]+)"
-_LINK = r"(?is)<link\b[^>]*>"
-_HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)"
-_CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
+_TAG = re.compile(r"<(link|meta|base)\b([^>]*)>", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![^\s"'/])([^\s"'<>/=]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"']\S*))""")
+_REFRESH = re.compile(r"(?is)\s*[\d.]+\s*[;,\s]\s*(?:url\s*=\s*)?(.*)")
+_REFRESH_URL = re.compile(r"(?is)\burl\s*=\s*(.*)")
+_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
 
 
 def rules_table(spark: SparkSession, rules=None) -> DataFrame:
@@ -43,19 +48,77 @@ def url_node(url):
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), rest))
 
 
+def resolve(url: str, target: str) -> str | None:
+    """The URL that a target on the page names (RFC 3986); none for the page itself and for other kinds of link."""
+    target = re.sub(r"[\t\r\n]", "", target).strip()
+    scheme = _SCHEME.match(target)
+    if scheme:
+        return target if target.startswith("//", scheme.end()) else None
+    if target.startswith("//"):
+        return "http:" + target
+    if not target or target.startswith("#"):
+        return None
+    top, path = re.match(r"(?s)(.*?://[^/?#]*)([^?#]*)", url).groups()
+    if target.startswith("?"):
+        return top + (path or "/") + target
+    asked, rest = re.match(r"(?s)([^?#]*)(.*)", target).groups()
+    parts = (asked if asked.startswith("/") else (path[:path.rfind("/") + 1] or "/") + asked).split("/")
+    out = []
+    for i, part in enumerate(parts[1:], 2):
+        if part == "..":
+            del out[-1:]
+        elif part != ".":
+            out.append(part)
+            continue
+        if i == len(parts):
+            out.append("")
+    return top + "/" + "/".join(out) + rest
+
+
+def page_targets(url: str, page: str) -> list[str]:
+    """All canonical links and refresh targets of a page, resolved."""
+    found, base = [], None
+    for tag in _TAG.finditer(page):
+        have = {}
+        for name, *values in _ATTRIBUTE.findall(tag[2]):
+            have.setdefault(name.lower(), entities.unescape("".join(values)))
+        kind = tag[1].lower()
+        if kind == "base" and base is None:
+            base = have.get("href")
+        elif kind == "link" and "canonical" in [x.strip("/") for x in have.get("rel", "").lower().split()]:
+            found.append(have.get("href", ""))
+        elif kind == "meta" and have.get("http-equiv", "").strip(" \t\r\n/").lower() == "refresh":
+            content = have.get("content", "")
+            asked = _REFRESH.match(content) or _REFRESH_URL.search(content)
+            if asked:
+                to = asked[1].strip()
+                found.append(to[1:].split(to[0])[0] if to[:1] in ("'", '"') else to)
+    if base is not None:
+        url = resolve(url, base) or url
+    return [x for x in (resolve(url, to) for to in found) if x]
+
+
+def _target_pass(batches):
+    for whole in batches:
+        for batch in slices(whole, "html"):
+            urls, pages = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("url", "html"))
+            rows = [(url, to) for url, page in zip(urls, pages)
+                    for to in page_targets(url.decode("utf-8", "replace"), page.decode("utf-8", "replace"))]
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in rows], pa.binary()).cast(pa.string()),
+                                              pa.array([t for _, t in rows], pa.string())], ["url", "to"])
+
+
 def page_edges(pages: DataFrame) -> DataFrame:
-    """(a, b) nodes: from a page to its canonical link and to its refresh target.
+    """(a, b) nodes: from a page to all its canonical links and refresh targets.
 
-    Targets are absolute, relative to the scheme (//host/...) or to the host (/...).
+    Targets are absolute or relative to the scheme, the host, the page's path or
+    the page's base element; attributes come in any order.
     """
     low = F.lower(F.col("html"))
     some = pages.where(F.col("url").contains("://") & (low.contains("canonical") | low.contains("refresh")))
-    some = some.select("url", F.explode(F.array(F.try_element_at(F.transform(
-        F.filter(F.regexp_extract_all("html", F.lit(_LINK), F.lit(0)), lambda x: F.rlike(x, F.lit(_CANONICAL))),
-        lambda x: F.regexp_extract(x, _HREF, 1)), F.lit(1)), F.regexp_extract("html", _REFRESH, 1))).alias("to"))
-    to = (F.when(F.col("to").contains("://"), F.col("to")).when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to"))
-          .when(F.col("to").startswith("/"), F.concat(F.lit("http://"), host_of(F.col("url")), "to")))
-    return some.select(url_node(F.col("url")).alias("a"), url_node(to).alias("b")).where("a is not null and b is not null and a <> b")
+    some = some.select("url", "html").mapInArrow(_target_pass, "url string, to string")
+    return (some.select(url_node(F.col("url")).alias("a"), url_node(F.col("to")).alias("b"))
+            .where("a is not null and b is not null and a <> b"))
 
 
 def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:

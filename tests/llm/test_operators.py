@@ -244,6 +244,27 @@ def test_url_redirects(spark):
     assert got[6][2:] == ("example.net/en/", "allow")
 
 
+def test_url_redirects_take_every_edge(spark):
+    rows = [("http://a.net/p", ""), ("http://a.net/q?id=3", ""), ("http://b.com/d/e/f", '<link href="../../up" rel="alternate Canonical">'),
+            ("http://b.com/up", "<meta content=\"0;URL='http://a.net/p'\" http-equiv=Refresh>"),
+            ("http://c.com/x/y", '<link rel=canonical href=http://c.com/none><link title="a href=/no" rel="canonical" href="z">'),
+            ("http://c.com/x/z", '<meta http-equiv=refresh content="5"><meta http-equiv="refresh" content="1; http://a.net/p">'),
+            ("http://d.com/s?x", '<base href="//a.net/r/s"><link rel="canonical" href="../q?id=3">'),
+            ("http://e.com/s", '<link rel="canonical" href="?a=1&amp;b=2">'), ("http://e.com/s?a=1&b=2", '<link rel="canonical" href="//a.net/p">'),
+            ("http://f.com/", '<link rel="canonical" href="/go?u=http://a.net/p"><link rel="stylesheet" href="http://a.net/p">'),
+            ("http://g.com/", '<link rel="canonical" href="mailto:a@a.net"><link rel="canonical" href="#http://a.net/">')]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.verdict for r in url_redirects.redirect_verdicts(pages, url_redirects.rules_table(spark)).collect()}
+    assert [i for i in range(len(rows)) if got[i] == "allow"] == [9, 10]
+
+
+@pytest.mark.parametrize("target, want", [
+    ("g", "/b/c/g"), ("./g/.", "/b/c/g/"), ("g/", "/b/c/g/"), ("/g", "/g"), ("?y", "/b/c/d;p?y"), ("g?y#s", "/b/c/g?y#s"), (";x", "/b/c/;x"),
+    (".", "/b/c/"), ("..", "/b/"), ("../g", "/b/g"), ("../../../g", "/g"), ("/./g", "/g"), ("g;x=1/../y", "/b/c/y"), ("g?y/../x", "/b/c/g?y/../x")])
+def test_relative_targets(target, want):
+    assert url_redirects.resolve("http://a/b/c/d;p?q", target) == "http://a" + want
+
+
 def test_personal_data(spark):
     text = "Äa x.y@mail.example.com, 10.0.0.256 10.2.3.4\n4111 1111 1111 1111 call +1 (988) 555-2485 now"
     docs = spark.createDataFrame([(1, text, 0), (2, None, 0), (None, "", 0), (4, "none here", 0)], "doc_id bigint, text string, found int")
