@@ -18,8 +18,9 @@ is checked against MAX_BROADCAST_CELLS: within it the cells are shipped to the
 transactions, which are never shuffled; beyond it Spark joins by key.  The
 share of scenario 3 becomes one cut-off hash per start day, evaluated on each
 row by itself, so transaction ids may repeat or be NULL: a row is hashed by id,
-second and terminal, and rows equal in all three are drawn together (see
-``sampling.share_cut``).
+second and terminal.  Of rows equal in all three that lie across the share, those
+first by a hash of the whole row are drawn, and of rows equal in everything as many
+copies as the share lacks (see ``sampling.share_cuts``); only such copies are shuffled.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.operators.sampling import sample_k_per_seed, seed_hash, share_cut
+from paylake.operators.sampling import frozen, sample_k_per_seed, seed_hash, share_cuts
 
 # Fixed values of the three fraud scenarios.
 AMOUNT_THRESHOLD = 220.0
@@ -38,7 +39,9 @@ CUSTOMER_DAYS = 14
 CUSTOMER_SHARE_DIVISOR = 3
 INFLATION = 5.0
 
+_DRAWN = "array<struct<start_day int, cut string, tie_cut string, copies bigint, h string>>"
 MAX_BROADCAST_CELLS = 2_000_000  # rows of under 50 bytes: 100 MB at most
+COPIES_CHUNK = 4096  # copies of one row written out at a time
 
 
 def n_start_days(tx: DataFrame, day: str = "TX_TIME_DAYS") -> int:
@@ -95,21 +98,52 @@ def _draw(start_day: Column) -> Column:
     return seed_hash(start_day, F.col("TRANSACTION_ID"), F.col("TX_TIME_SECONDS"), F.col("TERMINAL_ID"))
 
 
+def _among_copies(run: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with ``_sure`` hits and ``_open`` days, whose ``copies`` of all equal rows are chosen:
+    equal rows are counted and written out again with a number each."""
+    counted = run.groupBy(F.md5(F.to_json(F.struct("_whole", "_sure", "_open"))).alias("_key")).agg(
+        F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("_row"), F.first("_sure").alias("_sure"),
+        F.first("_open").alias("_open"), F.count(F.lit(1)).alias("_n"))
+    chunk = F.lit(COPIES_CHUNK).cast("bigint")
+    chunks = (counted.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, chunk)))
+              .repartition("_key", "_from"))
+    each = chunks.withColumn("_at", F.explode(F.sequence("_from", F.least(F.col("_from") + chunk, F.col("_n")) - 1)))
+
+    def chosen(day: Column) -> Column:  # each day starts at another copy
+        turn = F.conv(F.substring(seed_hash(day["start_day"], F.col("_key")), 1, 15), 16, 10).cast("bigint")
+        return F.pmod(F.col("_at") + turn, F.col("_n")) < day["copies"]
+
+    return each.select(*[F.col("_row")[c].alias(c) for c in columns],
+                       (F.col("_sure") + F.size(F.filter("_open", chosen))).alias("_hits3"))
+
+
 def with_customer_hits(tx: DataFrame, compromises: DataFrame, length: int = CUSTOMER_DAYS,
                        divisor: int = CUSTOMER_SHARE_DIVISOR, max_rows: int | None = None) -> DataFrame:
-    """Adds ``_hits3``: how many start days chose the row.  ``compromises`` are
-    distinct; ``max_rows`` is a proven bound of them."""
+    """Adds ``_hits3``: how many start days chose the row, floor(n / divisor) of a day's
+    n rows each.  ``compromises`` are distinct; ``max_rows`` is a proven bound of them."""
     bound = _times(max_rows, length)
     cells = _cells(compromises, "CUSTOMER_ID", length)
-    pool = (tx.select("TRANSACTION_ID", "CUSTOMER_ID", "TERMINAL_ID", "TX_TIME_DAYS", "TX_TIME_SECONDS")
-            .join(_ship(cells, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"])
-            .select("start_day", _draw(F.col("start_day")).alias("_h")))
-    cuts = share_cut(pool, "start_day", "_h", divisor)
+    whole = seed_hash(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string") for c in tx.columns])))
+    pool = (tx.withColumn("_whole", whole).join(_ship(cells, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"])
+            .select("start_day", _draw(F.col("start_day")).alias("_h"), "_whole"))
+    cuts = share_cuts(pool, "start_day", "_h", "_whole", divisor)
     by_cell = (cells.join(_ship(cuts, max_rows), "start_day").groupBy("CUSTOMER_ID", "TX_TIME_DAYS")
-               .agg(F.collect_list(F.struct("start_day", "cut")).alias("_cuts")))  # at most `length` start days
-    below = F.size(F.filter("_cuts", lambda c: _draw(c["start_day"]) < c["cut"]))
-    return (tx.join(_ship(by_cell, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"], "left")
-            .withColumn("_hits3", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below)).drop("_cuts"))
+               .agg(F.sort_array(F.collect_list(F.struct("start_day", "cut", "tie_cut", "copies"))).alias("_cuts")))  # at most `length` start days
+    by_cell = frozen(by_cell, "cell-cuts")
+    some_open = not by_cell.where(F.exists("_cuts", lambda c: c["copies"] > 0)).isEmpty()
+    drawn = F.transform("_cuts", lambda c: F.struct(*[c[x].alias(x) for x in ("start_day", "cut", "tie_cut", "copies")],
+                                                    _draw(c["start_day"]).alias("h")))
+    tied = lambda c: (c["h"] == c["cut"]) & c["tie_cut"].isNotNull()
+    hit = (tx.join(_ship(by_cell, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"], "left")
+           .withColumn("_drawn", F.coalesce(drawn, F.array().cast(_DRAWN)))
+           .withColumn("_whole", F.when(F.exists("_drawn", tied), whole)))
+    hit = hit.withColumns({
+        "_sure": F.size(F.filter("_drawn", lambda c: (c["h"] < c["cut"]) | (tied(c) & (F.col("_whole") < c["tie_cut"])))),
+        "_open": F.filter("_drawn", lambda c: tied(c) & (F.col("_whole") == c["tie_cut"]) & (c["copies"] > 0))})
+    alone = hit.where(F.size("_open") == 0).select(*[F.col(f"`{c}`") for c in tx.columns], F.col("_sure").alias("_hits3"))
+    if not some_open:
+        return alone
+    return alone.unionByName(_among_copies(hit.where(F.size("_open") > 0), tx.columns))
 
 
 def customer_hits(tx: DataFrame, compromises: DataFrame, length: int = CUSTOMER_DAYS,

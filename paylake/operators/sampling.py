@@ -11,7 +11,10 @@ identical in any SQL engine, and computable in parallel.
                        into near-equal sub-buckets whose counts are
                        prefix-summed (see ``ordering.dense_index``).
 ``share_cut``          per group, the hash below which a share of its rows
-                       lies; equal hashes are counted, never ranked.
+                       lies, and how many of the rows at it the share lacks;
+                       equal hashes are counted, never ranked.
+``share_cuts``         the same by two hashes, the second for rows equal in the
+                       first.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylake.config import scratch_dir
 from paylake.operators.ordering import dense_index
 
 
@@ -80,21 +84,54 @@ def hash_rank(df: DataFrame, group: list[str], h: Column, tie: str) -> DataFrame
 
 
 def share_cut(df: DataFrame, group: str, h: str, divisor: int) -> DataFrame:
-    """(group, cut): exactly floor(n / divisor) of a group's n rows have a hash
-    below ``cut`` when hashes are distinct.  Rows of equal hash fall on the same
-    side; such a run that would exceed the share stays above the cut.
+    """(group, cut, more): of a group's n rows, floor(n / divisor) have a hash below
+    ``cut`` or are ``more`` of the rows at it.  Rows of equal hash fall on the same
+    side; such a run that would exceed the share stays at the cut, and ``more`` is 0
+    when hashes are distinct.
 
     Rows are counted per hash before any shuffle; a first level of four hex
     digits finds the part of the group in which the cut lies, so a window holds
     65,536 counts or a 65,536th of the group's hashes.
     """
-    sizes = df.groupBy(group, h).agg(F.count(F.lit(1)).alias("_n")).withColumn("_part", F.substring(h, 1, 4))
+    sizes = df.groupBy(group, h).agg(F.count(F.lit(1)).alias("_n"))
+    return _cut_of(sizes, group, h, lambda n: F.floor(n / F.lit(divisor)))
+
+
+def _cut_of(sizes: DataFrame, group: str, h: str, share, *given: str) -> DataFrame:
+    """share_cut over counts ``_n`` per hash; ``share`` makes a group's share of its rows
+    and of the columns ``given``, which are constant in a group."""
+    sizes = sizes.withColumn("_part", F.substring(h, 1, 4))
     w = Window.partitionBy(group)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = (sizes.groupBy(group, "_part").agg(F.sum("_n").alias("_n"))
+    parts = (sizes.groupBy(group, "_part").agg(F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in given])
              .select(group, "_part", "_n", (F.sum("_n").over(upto.orderBy("_part")) - F.col("_n")).alias("_before"),
-                     F.floor(F.sum("_n").over(w) / F.lit(divisor)).alias("_share"))
+                     share(F.sum("_n").over(w)).alias("_share"))
              .where("_before <= _share AND _share < _before + _n").drop("_n"))
     near = (sizes.join(parts, [group, "_part"])
             .withColumn("_upto", F.col("_before") + F.sum("_n").over(upto.orderBy(h))))
-    return near.where("_upto - _n <= _share AND _share < _upto").select(group, F.col(h).alias("cut"))
+    return near.where("_upto - _n <= _share AND _share < _upto").select(
+        group, F.col(h).alias("cut"), (F.col("_share") - F.col("_upto") + F.col("_n")).alias("more"))
+
+
+def frozen(df: DataFrame, name: str) -> DataFrame:
+    """A small table written to the shared scratch folder and read back: plans stay small."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def share_cuts(df: DataFrame, group: str, h: str, tie: str, divisor: int) -> DataFrame:
+    """(group, cut, tie_cut, copies): exactly floor(n / divisor) of a group's n rows are
+    below ``cut`` by h, or at it and below ``tie_cut`` by tie, or any ``copies`` of the
+    rows at both.  Where h leaves nothing open, ``tie_cut`` is null and ``copies`` 0.
+    The cuts by h, a row per group, are computed and written at once; rows are only
+    looked at by tie if a run of equal h lies across a share.
+    """
+    sizes = df.groupBy(group, h, tie).agg(F.count(F.lit(1)).alias("_n"))
+    first = frozen(share_cut(df, group, h, divisor), "share-cuts")
+    if first.where("more > 0").isEmpty():
+        return first.select(group, "cut", F.lit(None).cast("string").alias("tie_cut"), F.lit(0).cast("bigint").alias("copies"))
+    run = sizes.join(first.where("more > 0").withColumnRenamed("cut", h), [group, h])
+    second = _cut_of(run, group, tie, lambda n: F.col("more"), "more")
+    second = second.select(group, F.col("cut").alias("tie_cut"), F.col("more").alias("copies"))
+    return first.drop("more").join(second, group, "left").fillna(0, ["copies"])

@@ -99,6 +99,19 @@ def test_share_cut_keeps_equal_hashes_together(spark):
     assert cuts == {1: "aaaa1", 2: "00030"}
 
 
+def test_share_is_exact_among_copies(spark):
+    # nine equal rows; NULL ids at one second with other amounts; a run that several start days cut
+    spec = [(7, 100, 1, 1, 10.0, 0)] * 9 + [(None, DAY, 2, 1, float(i % 5), 0) for i in range(40)]
+    spec += [(5, 2 * DAY, 3, 1, 1.0, 0)] * 5000 + [(i, 2 * DAY, 3, 1, 1.0, 0) for i in range(100, 110)]
+    tx = tx_df(spark, spec).repartition(5)
+    comp = spark.createDataFrame([(0, 1), (1, 2), (2, 3), (-1, 3), (-2, 3)], "start_day int, CUSTOMER_ID bigint")
+    hit = labels.with_customer_hits(tx, comp, max_rows=5)
+    assert hit.count() == len(spec) and hit.drop("_hits3").exceptAll(tx.select(*hit.drop("_hits3").columns)).count() == 0
+    got = {r.CUSTOMER_ID: r.n for r in hit.groupBy("CUSTOMER_ID").agg(F.sum("_hits3").alias("n")).collect()}
+    assert got == {1: 9 // 3, 2: 40 // 3, 3: 3 * (5010 // 3)}
+    assert hit.agg(F.max("_hits3")).first()[0] <= 3
+
+
 def test_labelling_does_not_shuffle_transactions(spark):
     tx = tx_df(spark, [(i, (i % 20) * DAY + i, i % 4, i % 5, 20.0, 0) for i in range(400)])
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
