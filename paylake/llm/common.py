@@ -173,13 +173,14 @@ def raw_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], data
 
 
-def word_hashes(texts: pa.Array, folded: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, folded: bool = False, compat: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(first word of each document with the end appended, 64-bit hash of every word).
 
     A polynomial hash over random byte values, taken from prefix sums, so a
     whole batch is hashed without a Python loop (folded: one per text that isn't ASCII).
+    Without ``compat`` only A-Z are folded and every other non-ASCII byte belongs to a word as it is.
     """
-    if folded:
+    if folded and compat:
         texts = fold_texts(texts)
     offsets, data = raw_buffers(texts)
     values, word = _byte_tables(folded)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (chat_bytes, dartminhash, decontaminate, exact_dedup, ga_packing, pii_crf, substring, text_cnn,
-               url_redirects, warc_index)
+from . import (chat_bytes, dartminhash, decontaminate, exact_dedup, feast_whitening, ga_packing, ngram_jaccard, pii_crf,
+               substring, taat_search, text_cnn, url_redirects, warc_index)
 from .common import table
 
 
@@ -56,6 +56,21 @@ def op10_substring(spark, sf_dir):
     return substring.substring_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_feast_whitening(spark, sf_dir):
+    """A row per vector and leading component."""
+    return feast_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ngram_jaccard(spark, sf_dir):
+    """A row per document with its component."""
+    return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op13_taat_search(spark, sf_dir):
+    """The ten best documents of each test item."""
+    return taat_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -64,7 +79,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_exact_dedup, op3_pii_crf, op4_url_redirects, op5_ga_packing,
                                    op6_warc_index, op7_dartminhash, op8_toxicity_cnn, op9_chat_bytes, op10_substring,
-                                   pipeline)}
+                                   op11_feast_whitening, op12_ngram_jaccard, op13_taat_search, pipeline)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
@@ -161,4 +176,45 @@ SELECT doc_id, len(words) AS n_words, len(ks) AS n_removed,
 FROM parts LEFT JOIN runs USING (doc_id)
 """
 
-SQL = {"op2_exact_dedup": OP2, "op4_url_redirects": OP4, "op6_warc_index": OP6, "op9_chat_bytes": OP9, "op10_substring": OP10}
+_FOLD = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array({_FOLD.format(t="coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+s AS (SELECT r, doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS grams FROM w),
+g AS (SELECT r, len(grams) AS n, unnest(grams) AS gram FROM s),
+both_ways AS (
+  SELECT a.r AS a, b.r AS b FROM g a JOIN g b ON a.gram = b.gram AND a.r <> b.r
+  WHERE 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT r, r FROM s UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a)
+SELECT s.doc_id, len(s.grams) AS n_shingles, min(o.doc_id) AS component_id
+FROM s JOIN reach ON reach.a = s.r JOIN s o ON o.r = reach.b GROUP BY s.r, s.doc_id, s.grams
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_FOLD.format(t="text")}, '{_TERM}') AS terms
+           FROM documents WHERE text IS NOT NULL),
+size AS (SELECT r, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM size),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM tf, totals GROUP BY term, docs),
+q AS (SELECT i, item_id, term, count(*) AS times FROM (
+        SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all({_FOLD.format(t="text")}, '{_TERM}')) AS term FROM benchmark)
+      GROUP BY i, item_id, term),
+scored AS (
+  SELECT i, item_id, r, size.doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS BIGINT) AS score
+  FROM q JOIN weights USING (term) JOIN tf USING (term) JOIN size USING (r), totals GROUP BY i, item_id, r, size.doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+SQL = {"op12_ngram_jaccard": OP12, "op13_taat_search": OP13, "op2_exact_dedup": OP2, "op4_url_redirects": OP4, "op6_warc_index": OP6, "op9_chat_bytes": OP9, "op10_substring": OP10}
