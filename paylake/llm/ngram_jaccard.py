@@ -33,7 +33,9 @@ BLOCK = 512               # sets of a block
 BLOCK_HASHES = 1 << 21    # hashes of a block, about
 BUCKET_HASHES = 1 << 20   # hashes of the documents whose segments share a bucket, about
 MEET_ENTRIES = 1 << 21    # segments that a task looks at in one step
-ROUNDS = 3                # further tests against one set for segments of more than a block
+LARGE = 1 << 13           # sets of a segment that is not compared whole at once: first
+ROUNDS = 3                # so many further tests against one set
+PAIRS = 8                 # possible pairs a set that a tile gives at first, beyond a forest of them
 SLICE_BYTES = 3 << 20
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 _ENTRY = np.dtype([("key", "<u8"), ("sid", "<i8")])
@@ -272,20 +274,53 @@ def _star_pass(key, group):
     return pa.table({"u": pa.array(np.full(len(linked), lead[0])), "v": pa.array(sid[linked] if linked else np.zeros(0, np.int64))})
 
 
-def _block_pass(key, group):
-    """Pairs of different components in a tile that the bitmaps leave possible: of two blocks between them, of one within."""
-    side, sid, comp, size = (group.column(c).to_numpy() for c in ("side", "sid", "comp", "n"))
-    bits = bitmaps(group.column("bits").to_pylist())
-    u, v = [], []
-    right = np.flatnonzero(side == 1)
-    for i in np.flatnonzero(side == 0).tolist():
-        others = right if len(right) else np.arange(i + 1, len(sid))
-        others = others[comp[others] != comp[i]]
-        others = possible(bits, size, i, others) if len(others) else others
-        u.append(np.full(len(others), sid[i]))
-        v.append(sid[others])
-    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (u, v))
-    return pa.table({"u": pa.array(np.minimum(u, v)), "v": pa.array(np.maximum(u, v))})
+def _forest(u: np.ndarray, v: np.ndarray, count: int) -> np.ndarray:
+    """Places of pairs that join all that the pairs join, without a circle."""
+    root = np.arange(count)
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    kept = []
+    for at, (i, j) in enumerate(zip(u.tolist(), v.tolist())):
+        i, j = find(i), find(j)
+        if i != j:
+            root[i] = j
+            kept.append(at)
+    return np.array(kept, np.int64)
+
+
+def _block_pass(limit: int | None):
+    """Pairs of different components in a tile that the bitmaps leave possible: of two blocks between
+    them, of one within.  Of more than ``limit`` pairs a set, those of a forest over the
+    components, marked as not all."""
+    def run(key, group):
+        side, sid, comp, size = (group.column(c).to_numpy() for c in ("side", "sid", "comp", "n"))
+        bits = bitmaps(group.column("bits").to_pylist())
+        u, v = [], []
+        right = np.flatnonzero(side == 1)
+        for i in np.flatnonzero(side == 0).tolist():
+            others = right if len(right) else np.arange(i + 1, len(sid))
+            others = others[comp[others] != comp[i]]
+            others = possible(bits, size, i, others) if len(others) else others
+            u.append(np.full(len(others), i))
+            v.append(others)
+        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (u, v))
+        whole = limit is None or len(u) <= limit * len(sid)
+        if not whole:
+            apart = np.bitwise_count(bits[u] ^ bits[v]).sum(axis=1)  # those first that differ least
+            order = np.argsort(apart, kind="stable")
+            u, v = u[order], v[order]
+            names, own = np.unique(comp, return_inverse=True)
+            kept = _forest(own[u], own[v], len(names))
+            u, v = u[kept], v[kept]
+        a, b = sid[u], sid[v]
+        return pa.table({"u": pa.array(np.minimum(a, b)), "v": pa.array(np.maximum(a, b)),
+                         "whole": pa.array(np.full(len(a), whole))})
+    return run
 
 
 def _array_pass():
@@ -350,9 +385,9 @@ def _by_lead(members: DataFrame, salt: int) -> DataFrame:
             .select(F.col("lead.sid").alias("u"), F.col("sid").alias("v")).distinct())
 
 
-def _by_block(members: DataFrame, arrays: DataFrame) -> DataFrame:
-    """Pairs of different components that the bitmaps leave possible: every block of a key's
-    sets with every other and itself."""
+def _by_block(members: DataFrame, arrays: DataFrame, limit: int | None) -> DataFrame:
+    """Pairs (u, v, whole) of different components that the bitmaps leave possible: every block
+    of a key's sets with every other and itself."""
     parts = F.ceil(F.col("m") / _room(F.col("size"))).cast("bigint")
     # a band's sets are nearly of one size; the largest bounds the block
     most = members.groupBy("key").agg(F.max("n").alias("size"))
@@ -361,7 +396,7 @@ def _by_block(members: DataFrame, arrays: DataFrame) -> DataFrame:
     tiles = dealt.select("key", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"),
                          (F.col("a") > F.col("b")).cast("int").alias("side"), "sid", "comp")
     rows = tiles.join(arrays.select("sid", "n", "bits"), "sid")
-    return rows.groupBy("key", "i", "j").applyInArrow(_block_pass, "u bigint, v bigint").distinct()
+    return rows.groupBy("key", "i", "j").applyInArrow(_block_pass(limit), "u bigint, v bigint, whole boolean").distinct()
 
 
 def _links(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
@@ -383,20 +418,24 @@ def _links(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
 
     nearest = pairs.groupBy("sid").agg(F.max_by("lead", F.struct("shared", "lead")).alias("u")).select("u", F.col("sid").alias("v"))
     links = [materialize(verified(nearest, arrays), "links")]
-    for turn in range(ROUNDS + 1):
+    steps, limit = ROUNDS, PAIRS
+    while True:
         comps = _components(links)
         members = _unsettled(met, pairs, comps, arrays)
         most = members.agg(F.max("m")).first()[0]
         if most is None:
             return comps
-        if turn == ROUNDS or most <= BLOCK:
-            break
-        more = materialize(verified(_by_lead(members.where(F.col("m") > BLOCK), turn), arrays), "links")
-        if more.isEmpty():
-            break
-        links.append(more)
-    links.append(materialize(verified(_by_block(members, arrays), arrays), "links"))
-    return _components(links)
+        if steps and most > LARGE:
+            steps -= 1
+            wanted = _by_lead(members.where(F.col("m") > LARGE), steps)
+            links.append(materialize(verified(wanted, arrays), "links"))
+            continue
+        # first a bounded number of pairs a set, whose links leave few components; then what is still apart
+        left = materialize(_by_block(members, arrays, limit), "possible")
+        links.append(materialize(verified(left.select("u", "v").distinct(), arrays), "links"))
+        if limit is None or left.where("not whole").isEmpty():
+            return _components(links)
+        steps, limit = 0, None
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

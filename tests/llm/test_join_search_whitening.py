@@ -93,9 +93,11 @@ def as_rows(df, *columns):
     return sorted(map(str, (tuple(r[c] for c in columns) for r in df.collect())))
 
 
-@pytest.mark.parametrize("block,entries", [(512, 1 << 21), (4, 64)])
-def test_jaccard_against_brute_force(spark, monkeypatch, block, entries):
+@pytest.mark.parametrize("block,large,entries", [(512, 1 << 13, 1 << 21), (4, 8, 64), (16, 1 << 13, 64)])
+def test_jaccard_against_brute_force(spark, monkeypatch, block, large, entries):
     monkeypatch.setattr(ngram_jaccard, "BLOCK", block)  # small: several blocks, rounds of leaders, buckets in steps
+    monkeypatch.setattr(ngram_jaccard, "LARGE", large)
+    monkeypatch.setattr(ngram_jaccard, "PAIRS", 8 if large > 8 else 0)  # none: forests first
     monkeypatch.setattr(ngram_jaccard, "MEET_ENTRIES", entries)
     rows = jaccard_rows()
     got = ngram_jaccard.jaccard_components(frame(spark, rows, "doc_id bigint, text string"))
