@@ -7,8 +7,9 @@ W3/W4  terminal risk with a label delay d: rows of the same terminal with
        time in [t - (d + n) days, t - d days - 1 s]: count(*) and
        sum(TX_FRAUD) / count(*), 0 when the frame is empty.
 
-Frame sums come from :mod:`paylake.operators.prefix`: bounded groups whatever
-the key skew, one pass per frame edge, no sliding re-aggregation.
+Frame sums come from :mod:`paylake.operators.prefix`: rows pass through one
+shuffle per key family, groups are bounded whatever the key skew, and there is
+one pass per frame edge instead of a sliding re-aggregation.
 
 A mean equals ``avg`` over its frame.  Amounts of whole cents are summed as
 integers, so their means are exact quotients rounded once; other finite amounts
@@ -24,12 +25,11 @@ from pyspark.sql import functions as F
 
 from paylake.functions.time import (SECONDS_PER_DAY, epoch_seconds, is_whole_cents, night_flag,
                                     to_minor_units, weekend_flag)
-from paylake.operators.prefix import JOIN_COLS, frame_sums, key_columns
+from paylake.operators.prefix import hot_groups, with_frames
 
 DEFAULT_WINDOWS = (1, 7, 30)
 DEFAULT_DELAY = 7
 LARGE_AMOUNT = 1e9
-WILD_BASE = 2 ** 31
 
 
 def add_calendar_flags(df: DataFrame, ts: str = "TX_DATETIME") -> DataFrame:
@@ -52,102 +52,97 @@ def terminal_frames(delay_days=DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS) -> d
 
 
 def _amount_measures(amount: str) -> dict[str, Column]:
-    """Aggregates of one (key, second) from which :func:`_mean` rebuilds ``avg``."""
+    """Row measures from whose sums :func:`_mean` rebuilds ``avg``."""
     a = F.col(amount).cast("double")
     zero = F.lit(0).cast("bigint")
     cents = is_whole_cents(a)
-    finite = ~F.isnan(a) & (F.abs(a) < F.lit(float("inf")))
+    finite = F.coalesce(~F.isnan(a) & (F.abs(a) < F.lit(float("inf"))), F.lit(False))
     small = F.abs(a) < F.lit(LARGE_AMOUNT)
-    up = F.isnan(a) | (a == F.lit(float("inf")))
-    down = F.isnan(a) | (a == F.lit(float("-inf")))
-    # one flag per second and direction, packed: a group holds fewer than 2^31 seconds
-    flags = F.when(up, 1).otherwise(0).cast("bigint"), F.when(down, WILD_BASE).otherwise(0).cast("bigint")
+
+    def flag(condition):
+        return F.when(F.coalesce(condition, F.lit(False)), 1).otherwise(0).cast("bigint")
+
     return {
-        "na": F.count(a),
-        "units": F.sum(F.when(cents, to_minor_units(a)).otherwise(zero)),
-        "fine": F.sum(F.when(finite & ~cents & small, a).otherwise(F.lit(0.0))),
-        "large": F.sum(F.when(finite & ~cents & ~small, a).otherwise(F.lit(0.0))),
-        "wild": F.max(flags[0]) + F.max(flags[1]),
+        "na": flag(a.isNotNull()),
+        "units": F.when(cents, to_minor_units(a)).otherwise(zero),
+        "fine": F.when(finite & ~cents & small, a).otherwise(F.lit(0.0)),
+        "large": F.when(finite & ~cents & ~small, a).otherwise(F.lit(0.0)),
+        "up": flag(F.isnan(a) | (a == F.lit(float("inf")))),
+        "down": flag(F.isnan(a) | (a == F.lit(float("-inf")))),
     }
 
 
 def _mean(frame: str) -> Column:
-    na, units, fine, large, wild = (F.col(f"{frame}__{m}") for m in ("na", "units", "fine", "large", "wild"))
+    na, units, fine, large, up, down = (F.col(f"{frame}__{m}") for m in ("na", "units", "fine", "large", "up", "down"))
     rest = fine + large
-    up, down = wild % WILD_BASE > 0, wild >= WILD_BASE
     finite = (F.when(rest == 0, units / (F.lit(100.0) * na))
               .otherwise((units / F.lit(100.0) + rest) / na))
-    return F.when(na > 0, F.when(up & down, F.lit(float("nan"))).when(up, F.lit(float("inf")))
-                  .when(down, F.lit(float("-inf"))).otherwise(finite))
+    return F.when(na > 0, F.when((up > 0) & (down > 0), F.lit(float("nan"))).when(up > 0, F.lit(float("inf")))
+                  .when(down > 0, F.lit(float("-inf"))).otherwise(finite))
 
 
 def _risk(frauds: Column, n: Column) -> Column:
     return F.when(n > 0, frauds / n).otherwise(F.lit(0.0))
 
 
-def customer_feature_table(df: DataFrame, windows_days=DEFAULT_WINDOWS,
-                           bucket_seconds: int | None = None) -> DataFrame:
-    """(key columns) -> CUSTOMER_ID_{NB_TX,AVG_AMOUNT}_{n}DAY_WINDOW, one row per (customer, second)."""
-    measures = {"n": F.count(F.lit(1)), **_amount_measures("TX_AMOUNT")}
-    sums = frame_sums(df, "CUSTOMER_ID", "TX_TS", measures, customer_frames(windows_days), bucket_seconds)
+def _one() -> Column:
+    return F.lit(1).cast("bigint")
+
+
+def _add_customer(df: DataFrame, windows_days, bucket_seconds: int | None, hot: DataFrame | None) -> DataFrame:
+    measures = {"n": _one(), **_amount_measures("TX_AMOUNT")}
+    out = with_frames(df, "CUSTOMER_ID", "TX_TS", ["TX_AMOUNT"], measures, customer_frames(windows_days), bucket_seconds, hot,
+                      ("n", "na", "up", "down"))
     cols = []
     for n in windows_days:
         cols += [F.col(f"c{n}__n").alias(f"CUSTOMER_ID_NB_TX_{n}DAY_WINDOW"),
                  _mean(f"c{n}").alias(f"CUSTOMER_ID_AVG_AMOUNT_{n}DAY_WINDOW")]
-    return sums.select(*JOIN_COLS, *cols)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *cols)
 
 
-def terminal_feature_table(df: DataFrame, delay_days: int = DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS,
-                           bucket_seconds: int | None = None) -> DataFrame:
-    """(key columns) -> TERMINAL_ID_{NB_TX,RISK}_{n}DAY_WINDOW, one row per (terminal, second)."""
-    measures = {"n": F.count(F.lit(1)),
-                "fraud": F.sum(F.coalesce(F.col("TX_FRAUD").cast("bigint"), F.lit(0)))}
-    sums = frame_sums(df, "TERMINAL_ID", "TX_TS", measures, terminal_frames(delay_days, windows_days),
-                      bucket_seconds)
+def _add_terminal(df: DataFrame, delay_days: int, windows_days, bucket_seconds: int | None, hot: DataFrame | None) -> DataFrame:
+    measures = {"n": _one(), "fraud": F.coalesce(F.col("TX_FRAUD").cast("bigint"), F.lit(0).cast("bigint"))}
+    out = with_frames(df, "TERMINAL_ID", "TX_TS", ["TX_FRAUD"], measures, terminal_frames(delay_days, windows_days),
+                      bucket_seconds, hot)
     cols = []
     for n in windows_days:
         cnt, fraud = F.col(f"t{n}__n"), F.col(f"t{n}__fraud")
         cols += [cnt.alias(f"TERMINAL_ID_NB_TX_{n}DAY_WINDOW"),
                  _risk(fraud, cnt).alias(f"TERMINAL_ID_RISK_{n}DAY_WINDOW")]
-    return sums.select(*JOIN_COLS, *cols)
-
-
-def _attach(df: DataFrame, key: str, feats: DataFrame) -> DataFrame:
-    """Left-join a (key, second) feature table back onto the rows."""
-    keyed = df.select("*", *key_columns(key, "TX_TS"))
-    out = keyed.join(feats, JOIN_COLS, "left")
-    return out.drop(*JOIN_COLS)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *cols)
 
 
 def with_customer_spending(df: DataFrame, windows_days=DEFAULT_WINDOWS,
-                           bucket_seconds: int | None = None) -> DataFrame:
+                           bucket_seconds: int | None = None, group_rows: int | None = None) -> DataFrame:
     """Adds TX_TS and the 2 x len(windows_days) customer features."""
     df = add_epoch(df)
-    feats = customer_feature_table(df.select("CUSTOMER_ID", "TX_TS", "TX_AMOUNT"), windows_days, bucket_seconds)
-    return _attach(df, "CUSTOMER_ID", feats)
+    families = {"CUSTOMER_ID": customer_frames(windows_days)}
+    hot = hot_groups(df, "TX_TS", families, bucket_seconds, group_rows)
+    return _add_customer(df, windows_days, bucket_seconds, hot["CUSTOMER_ID"])
 
 
 def with_terminal_risk(df: DataFrame, delay_days: int = DEFAULT_DELAY, windows_days=DEFAULT_WINDOWS,
-                       bucket_seconds: int | None = None) -> DataFrame:
+                       bucket_seconds: int | None = None, group_rows: int | None = None) -> DataFrame:
     """Adds TX_TS and the 2 x len(windows_days) delayed terminal features."""
     df = add_epoch(df)
-    feats = terminal_feature_table(df.select("TERMINAL_ID", "TX_TS", "TX_FRAUD"), delay_days, windows_days,
-                                   bucket_seconds)
-    return _attach(df, "TERMINAL_ID", feats)
+    families = {"TERMINAL_ID": terminal_frames(delay_days, windows_days)}
+    hot = hot_groups(df, "TX_TS", families, bucket_seconds, group_rows)
+    return _add_terminal(df, delay_days, windows_days, bucket_seconds, hot["TERMINAL_ID"])
 
 
 def gold_features(silver: DataFrame, windows_days=DEFAULT_WINDOWS, delay_days: int = DEFAULT_DELAY,
-                  bucket_seconds: int | None = None) -> DataFrame:
+                  bucket_seconds: int | None = None, group_rows: int | None = None) -> DataFrame:
     """Silver transactions -> the gold feature table (silver + 15 columns).
 
-    Both feature tables are computed from narrow projections of the same
-    input and joined back to it, so neither family's plan contains the other.
+    The rows go through one shuffle per key family, on (customer, bucket) and on
+    (terminal, bucket).  Groups too large for a task, counted beforehand in one
+    pass over keys and times, are pre-aggregated and joined back.
     """
     df = add_epoch(add_calendar_flags(silver))
-    cust = customer_feature_table(df.select("CUSTOMER_ID", "TX_TS", "TX_AMOUNT"), windows_days, bucket_seconds)
-    term = terminal_feature_table(df.select("TERMINAL_ID", "TX_TS", "TX_FRAUD"), delay_days, windows_days,
-                                  bucket_seconds)
-    df = _attach(_attach(df, "CUSTOMER_ID", cust), "TERMINAL_ID", term)
+    families = {"CUSTOMER_ID": customer_frames(windows_days), "TERMINAL_ID": terminal_frames(delay_days, windows_days)}
+    hot = hot_groups(df, "TX_TS", families, bucket_seconds, group_rows)
+    df = _add_customer(df, windows_days, bucket_seconds, hot["CUSTOMER_ID"])
+    df = _add_terminal(df, delay_days, windows_days, bucket_seconds, hot["TERMINAL_ID"])
     ordered = list(silver.columns) + ["TX_DURING_WEEKEND", "TX_DURING_NIGHT", "TX_TS"]
     ordered += [f"CUSTOMER_ID_{m}_{n}DAY_WINDOW" for n in windows_days for m in ("NB_TX", "AVG_AMOUNT")]
     ordered += [f"TERMINAL_ID_{m}_{n}DAY_WINDOW" for n in windows_days for m in ("NB_TX", "RISK")]

@@ -142,29 +142,46 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_split_plan_has_no_key_only_window(spark):
+def _shuffles(plan):
+    return [line for line in plan.split("\n") if "Exchange" in line and "hashpartitioning" in line]
+
+
+def test_gold_plan_has_one_shuffle_per_key_family(spark):
+    """Also at scale: with broadcasts off the plan is that of large tables."""
     df = tx_df(spark, random_spec(7, n=50))
-    plan = _plan(windows.gold_features(df))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(windows.gold_features(df))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(_shuffles(plan)) == 2 and "Join" not in plan
     window_lines = [line for line in plan.split("\n") if "Window [" in line]
     assert len(window_lines) == 2  # one per key family, all frames in one operator
     assert all("_b#" in line for line in window_lines)  # partitioned by (key, bucket)
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
-def test_amounts_beyond_cents(spark):
-    """Sub-cent, very large, NaN and infinite amounts give what ``avg`` gives."""
-    nan, inf = float("nan"), float("inf")
-    spec = [(1, 0, 1, 1, 0.004, 0), (2, 10, 1, 1, 0.004, 0),
-            (3, 0, 2, 1, 5.25, 0), (4, 5, 2, 1, inf, 0), (5, 2 * DAY, 2, 1, 7.125, 0),
-            (6, 0, 3, 1, inf, 0), (7, 1, 3, 1, -inf, 0), (8, 0, 4, 1, nan, 0), (9, 40 * DAY, 4, 1, 0.125, 0),
-            (10, 0, 5, 1, 1e300, 0), (11, 40 * DAY, 5, 1, 0.125, 0), (12, 0, 6, 1, None, 0),
-            (13, 0, 7, 1, -inf, 0), (14, 0, 7, 1, inf, 0)]
-    df = tx_df(spark, spec)
-    got = by_id(windows.with_customer_spending(df), CUST)
-    assert got[1][1] == 0.004 and got[2][1] == 0.004
-    want = by_id(sql_frames(spark, df), CUST)
-    for k in want:
-        for a, b in zip(got[k], want[k]):
-            assert (a is None and b is None) or a == b or (math.isnan(a) and math.isnan(b)), (k, got[k], want[k])
-    prof = {r.CUSTOMER_ID: r for r in stats.customer_profile_estimate(df).collect()}
-    assert prof[1].mean_amount == 0.004 and math.isnan(prof[3].mean_amount) and prof[6].mean_amount is None
+@pytest.mark.parametrize("group_rows", [0, 25, 60])
+def test_hot_groups_equal_sql_frames(spark, group_rows):
+    """Groups above the bound are pre-aggregated; some, all and null keys and times among them."""
+    df = tx_df(spark, random_spec(21, n=500, keys=3, span_days=200) + [(900 + i, 5, None, 1, 1.0, 1) for i in range(80)])
+    got = by_id(windows.gold_features(df, group_rows=group_rows), CUST + TERM)
+    assert_same(got, by_id(sql_frames(spark, df), CUST + TERM))
+
+
+def test_hot_group_is_bounded(spark):
+    """Half of a million rows share a customer, a terminal and an hour: no window gets them row by row."""
+    from paylake.operators import prefix
+    tx = spark.range(200_000).select(
+        F.col("id").alias("TRANSACTION_ID"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("CUSTOMER_ID"),
+        F.timestamp_seconds(F.lit(10**9) + F.col("id") % 3600).cast("timestamp_ntz").alias("TX_DATETIME"),
+        F.lit(1).cast("bigint").alias("TERMINAL_ID"), F.lit(2.5).alias("TX_AMOUNT"), F.lit(1).alias("TX_FRAUD"))
+    df = windows.add_epoch(tx)
+    frames = {"CUSTOMER_ID": windows.customer_frames(), "TERMINAL_ID": windows.terminal_frames()}
+    hot = prefix.hot_groups(df, "TX_TS", frames, group_rows=50_000)
+    # the bucket and the next one, whose history it may be
+    assert {k: v.count() for k, v in hot.items()} == {"CUSTOMER_ID": 2, "TERMINAL_ID": 2}
+    out = windows.with_customer_spending(tx, group_rows=50_000)
+    assert "HashAggregate" in _plan(out) and "Join" in _plan(out)
+    r = out.agg(F.max("CUSTOMER_ID_NB_TX_1DAY_WINDOW").alias("n"), F.count("*").alias("rows")).first()
+    assert (r["n"], r["rows"]) == (100_001, 200_000)  # id 7 is one of the others
