@@ -18,17 +18,18 @@ is checked against MAX_BROADCAST_CELLS: within it the cells are shipped to the
 transactions, which are never shuffled; beyond it Spark joins by key.  The
 share of scenario 3 becomes one cut-off hash per start day, evaluated on each
 row by itself, so transaction ids may repeat or be NULL: a row is hashed by id,
-second and terminal.  Of rows equal in all three that lie across the share, those
-first by a hash of the whole row are drawn, and of rows equal in everything as many
-copies as the share lacks (see ``sampling.share_cuts``); only such copies are shuffled.
+second and terminal, then by its whole numbers (those and customer and cents), then by
+all its columns.  Of rows equal in everything that lie across the share, as many
+copies are drawn as the share lacks; only such copies are shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from paylake.operators.sampling import frozen, sample_k_per_seed, seed_hash, share_cuts
+from paylake.functions.time import is_whole_cents, to_minor_units
+from paylake.operators.sampling import frozen, sample_k_of_kinds, sample_k_per_seed, seed_hash, share_cut
 
 # Fixed values of the three fraud scenarios.
 AMOUNT_THRESHOLD = 220.0
@@ -39,7 +40,7 @@ CUSTOMER_DAYS = 14
 CUSTOMER_SHARE_DIVISOR = 3
 INFLATION = 5.0
 
-_DRAWN = "array<struct<start_day int, cut string, tie_cut string, copies bigint, h string>>"
+_DRAWN = "array<struct<start_day int, cut string, copies bigint, h string>>"
 MAX_BROADCAST_CELLS = 2_000_000  # rows of under 50 bytes: 100 MB at most
 COPIES_CHUNK = 4096  # copies of one row written out at a time
 
@@ -98,20 +99,28 @@ def _draw(start_day: Column) -> Column:
     return seed_hash(start_day, F.col("TRANSACTION_ID"), F.col("TX_TIME_SECONDS"), F.col("TERMINAL_ID"))
 
 
+def _tie(columns: list[str]) -> Column:
+    """Orders rows of equal draw: by a hash of their whole numbers (id, customer, terminal, second,
+    cents), then by one of all columns.  Rows equal in both are copies."""
+    cents = F.when(is_whole_cents("TX_AMOUNT"), to_minor_units("TX_AMOUNT"))
+    numbers = seed_hash(*[F.col(c) for c in ("TRANSACTION_ID", "CUSTOMER_ID", "TERMINAL_ID", "TX_TIME_SECONDS")], cents)
+    return F.concat(numbers, F.md5(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string") for c in columns]))))
+
+
 def _among_copies(run: DataFrame, columns: list[str]) -> DataFrame:
     """Rows with ``_sure`` hits and ``_open`` days, whose ``copies`` of all equal rows are chosen:
-    equal rows are counted and written out again with a number each."""
-    counted = run.groupBy(F.md5(F.to_json(F.struct("_whole", "_sure", "_open"))).alias("_key")).agg(
+    equal rows are counted and written out again with a number each.  A start day chooses
+    the copies of least (number + start day) mod n."""
+    counted = run.groupBy("_tie").agg(
         F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("_row"), F.first("_sure").alias("_sure"),
         F.first("_open").alias("_open"), F.count(F.lit(1)).alias("_n"))
     chunk = F.lit(COPIES_CHUNK).cast("bigint")
     chunks = (counted.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, chunk)))
-              .repartition("_key", "_from"))
+              .repartition("_tie", "_from"))
     each = chunks.withColumn("_at", F.explode(F.sequence("_from", F.least(F.col("_from") + chunk, F.col("_n")) - 1)))
 
-    def chosen(day: Column) -> Column:  # each day starts at another copy
-        turn = F.conv(F.substring(seed_hash(day["start_day"], F.col("_key")), 1, 15), 16, 10).cast("bigint")
-        return F.pmod(F.col("_at") + turn, F.col("_n")) < day["copies"]
+    def chosen(day: Column) -> Column:
+        return F.pmod(F.col("_at") + day["start_day"], F.col("_n")) < day["copies"]
 
     return each.select(*[F.col("_row")[c].alias(c) for c in columns],
                        (F.col("_sure") + F.size(F.filter("_open", chosen))).alias("_hits3"))
@@ -123,25 +132,24 @@ def with_customer_hits(tx: DataFrame, compromises: DataFrame, length: int = CUST
     n rows each.  ``compromises`` are distinct; ``max_rows`` is a proven bound of them."""
     bound = _times(max_rows, length)
     cells = _cells(compromises, "CUSTOMER_ID", length)
-    whole = seed_hash(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string") for c in tx.columns])))
-    pool = (tx.withColumn("_whole", whole).join(_ship(cells, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"])
-            .select("start_day", _draw(F.col("start_day")).alias("_h"), "_whole"))
-    cuts = share_cuts(pool, "start_day", "_h", "_whole", divisor)
+    tie = _tie(tx.columns)
+    pool = (tx.join(_ship(cells, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"])
+            .select("start_day", F.concat(_draw(F.col("start_day")), tie).alias("_h")))
+    cuts = share_cut(pool, "start_day", "_h", divisor)
     by_cell = (cells.join(_ship(cuts, max_rows), "start_day").groupBy("CUSTOMER_ID", "TX_TIME_DAYS")
-               .agg(F.sort_array(F.collect_list(F.struct("start_day", "cut", "tie_cut", "copies"))).alias("_cuts")))  # at most `length` start days
-    by_cell = frozen(by_cell, "cell-cuts")
-    some_open = not by_cell.where(F.exists("_cuts", lambda c: c["copies"] > 0)).isEmpty()
-    drawn = F.transform("_cuts", lambda c: F.struct(*[c[x].alias(x) for x in ("start_day", "cut", "tie_cut", "copies")],
-                                                    _draw(c["start_day"]).alias("h")))
-    tied = lambda c: (c["h"] == c["cut"]) & c["tie_cut"].isNotNull()
+               .agg(F.sort_array(F.collect_list(F.struct("start_day", "cut", F.col("more").alias("copies")))).alias("_cuts")))  # at most `length` start days
+    seen = Observation()
+    by_cell = frozen(by_cell.observe(seen, F.count_if(F.exists("_cuts", lambda c: c["copies"] > 0)).alias("open")), "cell-cuts")
+    none = F.array().cast(_DRAWN)
     hit = (tx.join(_ship(by_cell, bound), ["CUSTOMER_ID", "TX_TIME_DAYS"], "left")
-           .withColumn("_drawn", F.coalesce(drawn, F.array().cast(_DRAWN)))
-           .withColumn("_whole", F.when(F.exists("_drawn", tied), whole)))
-    hit = hit.withColumns({
-        "_sure": F.size(F.filter("_drawn", lambda c: (c["h"] < c["cut"]) | (tied(c) & (F.col("_whole") < c["tie_cut"])))),
-        "_open": F.filter("_drawn", lambda c: tied(c) & (F.col("_whole") == c["tie_cut"]) & (c["copies"] > 0))})
+           .withColumn("_tie", F.when(F.col("_cuts").isNotNull(), tie)))
+    drawn = F.transform("_cuts", lambda c: F.struct(*[c[x].alias(x) for x in ("start_day", "cut", "copies")],
+                                                    F.concat(_draw(c["start_day"]), F.col("_tie")).alias("h")))
+    hit = hit.withColumn("_drawn", F.coalesce(drawn, none)).withColumns({
+        "_sure": F.size(F.filter("_drawn", lambda c: c["h"] < c["cut"])),
+        "_open": F.filter("_drawn", lambda c: (c["h"] == c["cut"]) & (c["copies"] > 0))})
     alone = hit.where(F.size("_open") == 0).select(*[F.col(f"`{c}`") for c in tx.columns], F.col("_sure").alias("_hits3"))
-    if not some_open:
+    if not seen.get["open"]:
         return alone
     return alone.unionByName(_among_copies(hit.where(F.size("_open") > 0), tx.columns))
 
@@ -158,6 +166,17 @@ def inflate(amount: Column, hits: Column, factor: float = INFLATION) -> Column:
     return F.aggregate(F.array_repeat(F.lit(float(factor)), hits.cast("int")), amount, lambda acc, f: acc * f)
 
 
+def _compromises(tx: DataFrame, terminals: DataFrame, customers: DataFrame) -> tuple[DataFrame, int]:
+    """(kind, start_day, id) of the terminals and customers compromised per start day, written
+    once, and the number of its rows."""
+    days = tx.select(F.greatest(F.max("TX_TIME_DAYS"), F.lit(0))).scalar()
+    both = sample_k_of_kinds({"t": (terminals, "TERMINAL_ID", TERMINALS_PER_DAY),
+                              "c": (customers, "CUSTOMER_ID", CUSTOMERS_PER_DAY)}, days)
+    seen = Observation()
+    written = frozen(both.observe(seen, F.count(F.lit(1)).alias("rows")), "compromises")
+    return written, seen.get["rows"]
+
+
 def label_frauds(tx: DataFrame, terminals: DataFrame, customers: DataFrame,
                  threshold: float = AMOUNT_THRESHOLD) -> DataFrame:
     """Transactions -> TX_AMOUNT (inflated), TX_FRAUD, TX_FRAUD_SCENARIO, and hit flags.
@@ -165,12 +184,14 @@ def label_frauds(tx: DataFrame, terminals: DataFrame, customers: DataFrame,
     Adds ``_hit1``/``_hit2``/``_hits3`` helper columns (dropped by
     :func:`labelled`), used by :func:`scenario_increment_counts`.
     """
-    n_days = n_start_days(tx)
-    cells = terminal_cells(compromised_terminals(terminals, n_days)).withColumn("_hit2", F.lit(True))
+    chosen, rows = _compromises(tx, terminals, customers)
+    by_terminal = chosen.where("kind = 't'").select("start_day", F.col("id").alias("TERMINAL_ID"))
+    by_customer = chosen.where("kind = 'c'").select("start_day", F.col("id").alias("CUSTOMER_ID"))
+    cells = terminal_cells(by_terminal).withColumn("_hit2", F.lit(True))
     base = tx.drop("TX_FRAUD", "TX_FRAUD_SCENARIO").withColumn("_hit1", threshold_hits(tx, threshold))
-    hit = with_customer_hits(base, compromised_customers(customers, n_days), max_rows=CUSTOMERS_PER_DAY * n_days)
+    hit = with_customer_hits(base, by_customer, max_rows=rows)
     # cells are distinct, so the (terminal, day) join never multiplies rows
-    j = (hit.join(_ship(cells, TERMINALS_PER_DAY * TERMINAL_DAYS * n_days), ["TERMINAL_ID", "TX_TIME_DAYS"], "left")
+    j = (hit.join(_ship(cells, rows * TERMINAL_DAYS), ["TERMINAL_ID", "TX_TIME_DAYS"], "left")
          .withColumn("_hit2", F.coalesce(F.col("_hit2"), F.lit(False))))
     hit3 = F.col("_hits3") > 0
     scenario = (F.when(hit3, 3).when(F.col("_hit2"), 2).when(F.col("_hit1"), 1).otherwise(0))

@@ -13,8 +13,6 @@ identical in any SQL engine, and computable in parallel.
 ``share_cut``          per group, the hash below which a share of its rows
                        lies, and how many of the rows at it the share lacks;
                        equal hashes are counted, never ranked.
-``share_cuts``         the same by two hashes, the second for rows equal in the
-                       first.
 """
 
 from __future__ import annotations
@@ -32,12 +30,6 @@ def seed_hash(*parts: Column) -> Column:
     return F.md5(F.concat_ws(":", *texts))
 
 
-def entity_ranks(entities: DataFrame, key: str) -> DataFrame:
-    """Distinct non-null keys with their 0-based ``_rank`` in hash order."""
-    ids = entities.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    return hash_rank(ids, [], seed_hash(F.lit("entity"), F.col(key)), key).select(key, "_rank")
-
-
 def draw_ranks(seed: Column, n: Column, k: int) -> Column:
     """Array of min(k, n) distinct ranks in [0, n), drawn by Floyd's method:
     step i draws from [0, n - k + i] and takes the end itself on a repeat."""
@@ -55,18 +47,37 @@ def draw_ranks(seed: Column, n: Column, k: int) -> Column:
     return F.when(n >= k, drawn).when(n > 0, every).otherwise(none)
 
 
-def sample_k_per_seed(entities: DataFrame, key: str, n_seeds: int, k: int,
+def sample_k_of_kinds(kinds: dict[str, tuple[DataFrame, str, int]], n_seeds: int | Column,
                       seed_col: str = "start_day") -> DataFrame:
-    """For each seed in [0, n_seeds): k distinct entities (all of them if fewer).
+    """For each kind ``name -> (entities, key, k)`` and each seed in [0, n_seeds): k distinct
+    entities (all of them if fewer).  All kinds are ranked in one pass.
 
-    Repeated and null keys of ``entities`` count once and not at all.  Output
-    (seed, key), at most n_seeds x k rows.
+    Repeated and null keys of the entities count once and not at all.  ``n_seeds`` may be a
+    scalar subquery.  Output (kind, seed, id), at most n_seeds x k rows of a kind.
     """
-    n = entities.select(F.count_distinct(F.col(key))).scalar()
-    draws = (entities.sparkSession.range(n_seeds)
-             .select(F.col("id").cast("int").alias(seed_col), n.alias("_n"))
-             .select(seed_col, F.explode(draw_ranks(F.col(seed_col), F.col("_n"), k)).alias("_rank")))
-    return draws.join(entity_ranks(entities, key), "_rank").select(seed_col, key)
+    ids = draws = None
+    for kind, (entities, key, k) in kinds.items():
+        spark = entities.sparkSession
+        own = entities.select(F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("id")).where("id is not null").distinct()
+        if isinstance(n_seeds, Column):
+            last = n_seeds.cast("bigint") - 1
+            seeds = spark.range(1).select(F.explode(F.when(last >= 0, F.sequence(F.lit(0).cast("bigint"), last))).alias("id"))
+        else:
+            seeds = spark.range(n_seeds)
+        n = entities.select(F.count_distinct(F.col(key))).scalar()
+        drawn = (seeds.select(F.lit(kind).alias("kind"), F.col("id").cast("int").alias(seed_col), n.alias("_n"))
+                 .select("kind", seed_col, F.explode(draw_ranks(F.col(seed_col), F.col("_n"), k)).alias("_rank")))
+        ids = own if ids is None else ids.unionAll(own)
+        draws = drawn if draws is None else draws.unionAll(drawn)
+    ranked = hash_rank(ids, ["kind"], seed_hash(F.lit("entity"), F.col("id")), "id").select("kind", "id", "_rank")
+    return draws.join(ranked, ["kind", "_rank"]).select("kind", seed_col, "id")
+
+
+def sample_k_per_seed(entities: DataFrame, key: str, n_seeds: int, k: int,
+                      seed_col: str = "start_day") -> DataFrame:
+    """The sample of one kind: (seed, key)."""
+    return sample_k_of_kinds({"": (entities, key, k)}, n_seeds, seed_col).select(
+        seed_col, F.col("id").cast(entities.schema[key].dataType).alias(key))
 
 
 def hash_rank(df: DataFrame, group: list[str], h: Column, tie: str) -> DataFrame:
@@ -93,19 +104,12 @@ def share_cut(df: DataFrame, group: str, h: str, divisor: int) -> DataFrame:
     digits finds the part of the group in which the cut lies, so a window holds
     65,536 counts or a 65,536th of the group's hashes.
     """
-    sizes = df.groupBy(group, h).agg(F.count(F.lit(1)).alias("_n"))
-    return _cut_of(sizes, group, h, lambda n: F.floor(n / F.lit(divisor)))
-
-
-def _cut_of(sizes: DataFrame, group: str, h: str, share, *given: str) -> DataFrame:
-    """share_cut over counts ``_n`` per hash; ``share`` makes a group's share of its rows
-    and of the columns ``given``, which are constant in a group."""
-    sizes = sizes.withColumn("_part", F.substring(h, 1, 4))
+    sizes = df.groupBy(group, h).agg(F.count(F.lit(1)).alias("_n")).withColumn("_part", F.substring(h, 1, 4))
     w = Window.partitionBy(group)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = (sizes.groupBy(group, "_part").agg(F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in given])
+    parts = (sizes.groupBy(group, "_part").agg(F.sum("_n").alias("_n"))
              .select(group, "_part", "_n", (F.sum("_n").over(upto.orderBy("_part")) - F.col("_n")).alias("_before"),
-                     share(F.sum("_n").over(w)).alias("_share"))
+                     F.floor(F.sum("_n").over(w) / F.lit(divisor)).alias("_share"))
              .where("_before <= _share AND _share < _before + _n").drop("_n"))
     near = (sizes.join(parts, [group, "_part"])
             .withColumn("_upto", F.col("_before") + F.sum("_n").over(upto.orderBy(h))))
@@ -118,20 +122,3 @@ def frozen(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def share_cuts(df: DataFrame, group: str, h: str, tie: str, divisor: int) -> DataFrame:
-    """(group, cut, tie_cut, copies): exactly floor(n / divisor) of a group's n rows are
-    below ``cut`` by h, or at it and below ``tie_cut`` by tie, or any ``copies`` of the
-    rows at both.  Where h leaves nothing open, ``tie_cut`` is null and ``copies`` 0.
-    The cuts by h, a row per group, are computed and written at once; rows are only
-    looked at by tie if a run of equal h lies across a share.
-    """
-    sizes = df.groupBy(group, h, tie).agg(F.count(F.lit(1)).alias("_n"))
-    first = frozen(share_cut(df, group, h, divisor), "share-cuts")
-    if first.where("more > 0").isEmpty():
-        return first.select(group, "cut", F.lit(None).cast("string").alias("tie_cut"), F.lit(0).cast("bigint").alias("copies"))
-    run = sizes.join(first.where("more > 0").withColumnRenamed("cut", h), [group, h])
-    second = _cut_of(run, group, tie, lambda n: F.col("more"), "more")
-    second = second.select(group, F.col("cut").alias("tie_cut"), F.col("more").alias("copies"))
-    return first.drop("more").join(second, group, "left").fillna(0, ["copies"])

@@ -366,20 +366,24 @@ cdraw1 AS (SELECT start_day, n, {_digits(0)} % (n - 2) AS r0, {_digits(1)} % (n
 cdraw2 AS (SELECT start_day, n, r0, CASE WHEN r1 = r0 THEN n - 2 ELSE r1 END AS r1, r2 FROM cdraw1),
 cdraw AS (SELECT start_day, unnest([r0, r1, CASE WHEN r2 IN (r0, r1) THEN n - 1 ELSE r2 END]) AS rnk FROM cdraw2),
 csample AS (SELECT start_day, CUSTOMER_ID FROM cdraw JOIN crank USING (rnk)),
-txr AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM tx),
+txr AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS rid, row_number() OVER copies - 1 AS copy, COUNT(*) OVER copies AS same
+  FROM tx WINDOW copies AS (PARTITION BY TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TERMINAL_ID, TX_AMOUNT)
+),
 thit AS (
   SELECT rid FROM txr
   WHERE EXISTS (SELECT 1 FROM tsample s WHERE s.TERMINAL_ID = txr.TERMINAL_ID
                 AND txr.TX_TIME_DAYS >= s.start_day AND txr.TX_TIME_DAYS < s.start_day + 28)
 ),
 drawn AS (
-  SELECT s.start_day, txr.rid,
-         md5(concat(s.start_day, ':', TRANSACTION_ID, ':', TX_TIME_SECONDS, ':', TERMINAL_ID)) AS h
+  SELECT s.start_day, txr.rid, (copy + s.start_day) % same AS place,
+         md5(concat(s.start_day, ':', TRANSACTION_ID, ':', TX_TIME_SECONDS, ':', TERMINAL_ID)) AS h,
+         md5(concat(TRANSACTION_ID, ':', txr.CUSTOMER_ID, ':', TERMINAL_ID, ':', TX_TIME_SECONDS, ':', units)) AS tie
   FROM txr JOIN csample s ON s.CUSTOMER_ID = txr.CUSTOMER_ID
    AND txr.TX_TIME_DAYS >= s.start_day AND txr.TX_TIME_DAYS < s.start_day + 14
 ),
 pooled AS (
-  SELECT start_day, rid, COUNT(*) OVER (PARTITION BY start_day ORDER BY h) AS upto,
+  SELECT start_day, rid, row_number() OVER (PARTITION BY start_day ORDER BY h, tie, place) AS upto,
          COUNT(*) OVER (PARTITION BY start_day) AS n
   FROM drawn
 ),

@@ -123,3 +123,43 @@ def test_labelling_does_not_shuffle_transactions(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     joins = [line for line in plan.splitlines() if "Join" in line and "TX_TIME_DAYS" in line]
     assert joins and all("BroadcastHashJoin" in line for line in joins)
+
+
+def test_labels_of_copies_match_sql(spark, tmp_path):
+    """Every event six times (a third of them at one id): the SQL asks exactly floor(n / 3) a start day."""
+    import duckdb
+
+    from paylake.plans import catalog, oracle
+    from tools.oracle_check import compare
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    same = events.where("event_id = 1").drop("event_id")
+    many = events.withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(6)))).drop("_c")
+    hot = events.where("event_id % 3 = 0").select("event_id").crossJoin(same).select(*events.columns)
+    many.unionByName(hot.withColumn("event_id", F.lit(1).cast("bigint"))).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    for t in ("customer", "supplier"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    df = catalog.QUERIES["label_fraud_scenarios"](spark, str(tmp_path))
+    asked = con.execute(oracle.SQL["label_fraud_scenarios"])
+    columns = [d[0] for d in asked.description]
+    assert compare([tuple(r) for r in df.collect()], df.columns, asked.fetchall(), columns) == "exact"
+
+
+def test_labelling_writes_two_small_tables_beforehand(spark, monkeypatch):
+    """Compromises and cuts; nothing else runs while the plan is built."""
+    tx = tx_df(spark, [(i, (i % 20) * DAY + i, i % 4, i % 5, 20.0, 0) for i in range(400)])
+    ids = lambda c, k: spark.range(50).select((F.col("id") % k).alias(c))
+    writes = []
+    real = labels.frozen
+
+    def frozen(df, name):
+        writes.append(name)
+        return real(df, name)
+
+    monkeypatch.setattr(labels, "frozen", frozen)
+    for method in ("first", "collect", "isEmpty", "count"):
+        monkeypatch.setattr(type(tx), method, lambda *a, m=method: writes.append(m))
+    labels.labelled(tx, ids("TERMINAL_ID", 5), ids("CUSTOMER_ID", 4))
+    assert writes == ["compromises", "cell-cuts"]
