@@ -1,58 +1,210 @@
 """Customers and the terminals within a radius of them.
 
-A grid-bucket equi-join replaces the all-pairs distance scan: both sides get
-the grid cell of width ~r that holds them, customers are replicated into
-their 3x3 neighbourhood of cells, and the join on the cell is followed by
-the exact residual ``distance < r`` (strict, as the reference).  A terminal
-within r of a customer always lies in one of those 9 cells, and each
-terminal has exactly one cell, so no pair is produced twice.
-
-Plan: one equi hash/sort-merge join on (cell_x, cell_y).  A crowded cell is
-a skewed join key; AQE's skew-join split handles it, and the candidate
-pairs per true pair stay bounded by the 9-cell/circle area ratio (~2.9).
+Both sides are cut by one quadtree over a grid of cells of width ~r.  A cell of
+more than ``CELL_POINTS`` points of a side is cut in four, and so on; points that
+lie too close together to be told apart by cells are dealt into parts by their
+id.  The crowded cells, counted per finest cell with map-side combine, are
+written once; where there are none, the plan is a plain grid join.
+
+A terminal belongs to one leaf of the terminals' tree.  A customer descends that
+tree from the 3x3 cells around it, into crowded cells only and only into
+children that its circle touches, and joins the leaves it reaches.  Customers of
+a crowded cell belong to a leaf of their own tree, and terminals are copied to
+the customer leaves that touch their circle, so a join key holds a bounded
+number of customers and of terminals.  Each pair meets under one key, followed by
+the exact test ``distance < r`` (strict, as the reference).
+
+Counting stops at cells wholly within the circle and takes their number of
+terminals; pairs are expanded only in leaves that the circle cuts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from paylake.functions.geo import distance, grid_cell
+from paylake.functions.geo import distance
+from paylake.operators.sampling import frozen
 
 # Cells are a hair wider than r so float rounding in x / r can never put two
 # points closer than r into cells two apart.
 _CELL_SLACK = 1.0 + 1e-9
+_EDGE = 1e-6            # part of r by which boxes count as larger, and inner ones as smaller
+LEVELS = 12             # a finest cell is r / 2^LEVELS wide
+CELL_POINTS = 50_000    # points of a cell that one task joins
+COUNT_POINTS = 256      # points of a cell that a count may test one by one
+_ANY = -1               # level of the customer leaf that stands for all uncrowded cells
+
+
+def _points(df: DataFrame, cols, r: float, prefix: str) -> DataFrame:
+    """(id, x, y, fx, fy): points with both coordinates and their finest cell."""
+    key, x, y = cols
+    width = float(r) * _CELL_SLACK / (1 << LEVELS)
+    # the shifts that give coarser cells keep cells nested exactly
+    out = df.select(F.col(key).alias(f"{prefix}k"), F.col(x).cast("double").alias(f"{prefix}x"), F.col(y).cast("double").alias(f"{prefix}y"))
+    near = [F.abs(F.col(f"{prefix}{c}")) < F.lit(width * 2.0 ** 62) for c in "xy"]  # also drops NULL, NaN and infinity
+    return out.where(near[0] & near[1]).select("*", *[F.floor(F.col(f"{prefix}{c}") / F.lit(width)).cast("bigint").alias(f"{prefix}f{c}") for c in "xy"])
+
+
+def _at(finest: str, level) -> Column:
+    """A finest cell's index at a coarser level."""
+    return F.expr(f"shiftright({finest}, {LEVELS} - ({level}))")
+
+
+def _crowds(sides: dict[str, tuple[DataFrame, str, int]]) -> tuple[DataFrame | None, dict[str, int]]:
+    """(side, level, ix, iy, n) of the cells of more than a side's bound, written once, and per side
+    the number of levels at which there are some; no table if there are none."""
+    every, bound = None, F.lit(0)
+    for side, (points, prefix, most) in sides.items():
+        own = points.select(F.lit(side).alias("side"), F.col(f"{prefix}fx").alias("fx"), F.col(f"{prefix}fy").alias("fy"))
+        every = own if every is None else every.unionAll(own)
+        bound = F.when(F.col("side") == side, F.lit(most)).otherwise(bound)
+    top = [_at("fx", 0).alias("ix"), _at("fy", 0).alias("iy")]
+    widest = every.groupBy("side", *top).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound).drop("n")
+    if widest.isEmpty():
+        return None, dict.fromkeys(sides, 0)
+    finest = every.groupBy("side", "fx", "fy").agg(F.count(F.lit(1)).alias("n")).select("side", "fx", "fy", *top, "n")
+    cells = (finest.join(widest, ["side", "ix", "iy"], "left_semi").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+             .groupBy("side", "level", _at("fx", "level").alias("ix"), _at("fy", "level").alias("iy")).agg(F.sum("n").alias("n")))
+    seen = Observation()
+    depth = [F.coalesce(F.max(F.when(F.col("side") == side, F.col("level"))) + 1, F.lit(0)).alias(side) for side in sides]
+    written = frozen(cells.where(F.col("n") > bound).observe(seen, *depth), "crowded-cells")
+    return written, {side: int(seen.get[side]) for side in sides}
+
+
+def _level(crowd: DataFrame, side: str, level: int) -> DataFrame:
+    return crowd.where((F.col("side") == side) & (F.col("level") == level)).select(F.col("ix").alias("_cx"), F.col("iy").alias("_cy"), F.col("n").alias("_cn"))
+
+
+def _leaf(points: DataFrame, prefix: str, name: str, crowd: DataFrame | None, side: str, depth: int, most: int) -> DataFrame:
+    """Adds the leaf that holds each point: {name}l (level), {name}i, {name}j, {name}p (part)."""
+    out = points.withColumns({f"{name}l": F.lit(0), f"{name}p": F.lit(0).cast("bigint")})
+    for level in range(depth):
+        here = _level(crowd, side, level)
+        out = out.join(here, (F.col(f"{name}l") == level) & (_at(f"{prefix}fx", level) == F.col("_cx"))
+                       & (_at(f"{prefix}fy", level) == F.col("_cy")), "left")
+        crowded = F.col("_cx").isNotNull()
+        if level < LEVELS:
+            out = out.withColumn(f"{name}l", F.when(crowded, level + 1).otherwise(F.col(f"{name}l")))
+        else:
+            parts = F.ceil(F.col("_cn") / F.lit(most)).cast("bigint")
+            out = out.withColumn(f"{name}p", F.when(crowded, F.pmod(F.xxhash64(f"{prefix}k"), parts)).otherwise(F.lit(0)))
+        out = out.drop("_cx", "_cy", "_cn")
+    return out.withColumns({f"{name}i": _at(f"{prefix}fx", f"{name}l"), f"{name}j": _at(f"{prefix}fy", f"{name}l")})
+
+
+def _gap(v: Column, i: Column, width: Column, far: bool) -> Column:
+    low, high = v - i * width, v - (i + 1) * width
+    if far:
+        return F.greatest(F.abs(low), F.abs(high))
+    return F.greatest(-low, high, F.lit(0.0))
+
 
+def _box_distance(x: Column, y: Column, level: Column, i: Column, j: Column, r: float, far: bool = False) -> Column:
+    """Distance from a point to the nearest (or farthest) place of a cell."""
+    width = F.lit(float(r) * _CELL_SLACK) / F.pow(F.lit(2.0), level)
+    dx, dy = _gap(x, i, width, far), _gap(y, j, width, far)
+    return F.sqrt(dx * dx + dy * dy)
 
-def terminals_within_radius(customers: DataFrame, terminals: DataFrame, r: float,
-                            customer_cols=("CUSTOMER_ID", "x_customer_id", "y_customer_id"),
-                            terminal_cols=("TERMINAL_ID", "x_terminal_id", "y_terminal_id")) -> DataFrame:
-    """All (customer, terminal) pairs with Euclidean distance strictly below r."""
-    ck, cx, cy = customer_cols
-    tk, tx, ty = terminal_cols
-    cell = float(r) * _CELL_SLACK
+
+def _reach(points: DataFrame, prefix: str, name: str, r: float, crowd: DataFrame | None, side: str, depth: int, most: int,
+           whole: bool = False) -> DataFrame:
+    """A row per point and leaf of the side's tree that its circle touches: {name}l, {name}i, {name}j,
+    {name}p.  With ``whole`` a point stops at cells within its circle: {name}n is their number of
+    points, NULL where the leaf's points are to be tested."""
     steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    c = (customers.select(F.col(ck).alias("_ck"), F.col(cx).alias("_cx"), F.col(cy).alias("_cy"))
-         .where(F.col("_cx").isNotNull() & F.col("_cy").isNotNull())
-         .withColumn("_di", F.explode(steps)).withColumn("_dj", F.explode(steps))
-         .select("_ck", "_cx", "_cy",
-                 (grid_cell(F.col("_cx"), cell) + F.col("_di")).alias("_gx"),
-                 (grid_cell(F.col("_cy"), cell) + F.col("_dj")).alias("_gy")))
-    t = (terminals.select(F.col(tk).alias("_tk"), F.col(tx).alias("_tx"), F.col(ty).alias("_ty"))
-         .where(F.col("_tx").isNotNull() & F.col("_ty").isNotNull())
-         .select("_tk", "_tx", "_ty", grid_cell(F.col("_tx"), cell).alias("_gx"),
-                 grid_cell(F.col("_ty"), cell).alias("_gy")))
-    d = distance(F.col("_cx"), F.col("_cy"), F.col("_tx"), F.col("_ty"))
-    return (c.join(t, ["_gx", "_gy"], "inner")
-            .where(d < F.lit(float(r)))
-            .select(F.col("_ck").alias(ck), F.col("_tk").alias(tk), d.alias("distance")))
-
-
-def terminal_counts(customers: DataFrame, pairs: DataFrame, key: str = "CUSTOMER_ID") -> DataFrame:
-    """Per customer, number of terminals in range (0 for none)."""
-    counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("nb_terminals"))
-    return (customers.select(key).join(counts, key, "left")
-            .select(key, F.coalesce(F.col("nb_terminals"), F.lit(0)).cast("int").alias("nb_terminals")))
+    x, y = F.col(f"{prefix}x"), F.col(f"{prefix}y")
+    out = (points.withColumn("_di", F.explode(steps)).withColumn("_dj", F.explode(steps))
+           .withColumns({f"{name}l": F.lit(0), f"{name}i": _at(f"{prefix}fx", 0) + F.col("_di"),
+                         f"{name}j": _at(f"{prefix}fy", 0) + F.col("_dj"), f"{name}p": F.lit(0).cast("bigint"),
+                         f"{name}n": F.lit(None).cast("bigint")}).drop("_di", "_dj"))
+
+    def box(far=False):
+        return _box_distance(x, y, F.col(f"{name}l"), F.col(f"{name}i"), F.col(f"{name}j"), r, far)
+
+    touched = F.lit(float(r) * (1 + _EDGE))
+    for level in range(depth):
+        out = out.join(_level(crowd, side, level), (F.col(f"{name}l") == level) & (F.col(f"{name}i") == F.col("_cx"))
+                       & (F.col(f"{name}j") == F.col("_cy")) & F.col(f"{name}n").isNull(), "left")
+        crowded = F.col("_cx").isNotNull()
+        if whole:
+            out = out.withColumn(f"{name}n", F.when(crowded & (box(True) < F.lit(float(r) * (1 - _EDGE))), F.col("_cn")).otherwise(F.col(f"{name}n")))
+            crowded = crowded & F.col(f"{name}n").isNull()
+        if level < LEVELS:
+            four = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)])
+            none = F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))
+            out = out.withColumn("_cut", crowded).withColumn("_four", F.explode(F.when(crowded, four).otherwise(none)))
+            out = out.withColumns({f"{name}l": F.when(F.col("_cut"), level + 1).otherwise(F.col(f"{name}l")),
+                                   f"{name}i": F.when(F.col("_cut"), F.col(f"{name}i") * 2 + F.col("_four.a")).otherwise(F.col(f"{name}i")),
+                                   f"{name}j": F.when(F.col("_cut"), F.col(f"{name}j") * 2 + F.col("_four.b")).otherwise(F.col(f"{name}j"))})
+            out = out.drop("_cut", "_four").where(box() < touched)
+        else:
+            last = F.when(crowded, F.ceil(F.col("_cn") / F.lit(most)).cast("bigint") - 1).otherwise(F.lit(0).cast("bigint"))
+            out = out.withColumn(f"{name}p", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        out = out.drop("_cx", "_cy", "_cn")
+    return out if whole else out.drop(f"{name}n")
+
+
+_LEAF = ["tl", "ti", "tj", "tp"]
+_OWN = ["ul", "ui", "uj", "up"]
+
+
+def _met(customers: DataFrame, terminals: DataFrame, r: float, crowd: DataFrame | None, depth: dict[str, int], points: int,
+         whole: bool = False) -> DataFrame:
+    """Customers joined with the terminals of every leaf they reach, under bounded keys."""
+    t = _leaf(terminals, "t", "t", crowd, "terminal", depth["terminal"], points)
+    c = _reach(customers, "c", "t", r, crowd, "terminal", depth["terminal"], points, whole)
+    c = c.where("tn is null").drop("tn") if whole else c
+    keys = list(_LEAF)
+    if depth["customer"]:
+        keys += _OWN
+        c = _leaf(c, "c", "u", crowd, "customer", depth["customer"], CELL_POINTS)
+        # customers of uncrowded cells share one name; terminals have a copy for it
+        plain = F.col("ul") == 0
+        c = c.withColumns({k: F.when(plain, F.lit(_ANY if k == "ul" else 0)).otherwise(F.col(k)).cast("bigint") for k in _OWN})
+        far = _reach(t, "t", "u", r, crowd, "customer", depth["customer"], CELL_POINTS).where("ul > 0")
+        near = t.withColumns({k: F.lit(_ANY if k == "ul" else 0) for k in _OWN})
+        t = near.select(*t.columns, *[F.col(k).cast("bigint").alias(k) for k in _OWN]).unionByName(
+            far.select(*t.columns, *[F.col(k).cast("bigint").alias(k) for k in _OWN]))
+    return c.join(t.drop("tfx", "tfy"), keys)
+
+
+def _within(r: float) -> tuple[Column, Column]:
+    d = distance(F.col("cx"), F.col("cy"), F.col("tx"), F.col("ty"))
+    return d, d < F.lit(float(r))
+
+
+CUSTOMER = ("CUSTOMER_ID", "x_customer_id", "y_customer_id")
+TERMINAL = ("TERMINAL_ID", "x_terminal_id", "y_terminal_id")
+
+
+def terminals_within_radius(customers: DataFrame, terminals: DataFrame, r: float, customer_cols=CUSTOMER,
+                            terminal_cols=TERMINAL, points: int = CELL_POINTS) -> DataFrame:
+    """All (customer, terminal) pairs with Euclidean distance strictly below r.
+    ``points`` bounds the terminals of a join key."""
+    c, t = _points(customers, customer_cols, r, "c"), _points(terminals, terminal_cols, r, "t")
+    crowd, depth = _crowds({"terminal": (t, "t", points), "customer": (c, "c", CELL_POINTS)})
+    d, near = _within(r)
+    return (_met(c, t, r, crowd, depth, points).where(near)
+            .select(F.col("ck").alias(customer_cols[0]), F.col("tk").alias(terminal_cols[0]), d.alias("distance")))
+
+
+def terminal_counts(customers: DataFrame, terminals: DataFrame, r: float, customer_cols=CUSTOMER,
+                    terminal_cols=TERMINAL, points: int = COUNT_POINTS) -> DataFrame:
+    """Per customer, number of terminals within r (0 for none).  Cells of more than ``points``
+    terminals that lie within the circle are counted whole."""
+    key = customer_cols[0]
+    c, t = _points(customers, customer_cols, r, "c"), _points(terminals, terminal_cols, r, "t")
+    crowd, depth = _crowds({"terminal": (t, "t", points), "customer": (c, "c", CELL_POINTS)})
+    d, near = _within(r)
+    tested = _met(c, t, r, crowd, depth, points, whole=True).where(near)
+    counted = tested.groupBy("ck").agg(F.count(F.lit(1)).alias("_n"))
+    if depth["terminal"]:
+        inner = _reach(c, "c", "t", r, crowd, "terminal", depth["terminal"], points, whole=True).where("tn is not null")
+        counted = counted.unionAll(inner.groupBy("ck").agg(F.sum("tn").alias("_n")))
+        counted = counted.groupBy("ck").agg(F.sum("_n").alias("_n"))
+    return (customers.select(key).join(counted.withColumnRenamed("ck", key), key, "left")
+            .select(key, F.coalesce(F.col("_n"), F.lit(0)).cast("int").alias("nb_terminals")))
 
 
 def available_terminals(customers: DataFrame, pairs: DataFrame, key: str = "CUSTOMER_ID",

@@ -209,8 +209,7 @@ def customers_within_radius(spark, sf_dir):
 @query
 def customer_terminal_counts(spark, sf_dir):
     cust = adapters.customers(spark, sf_dir)
-    pairs = proximity.terminals_within_radius(cust, adapters.terminals(spark, sf_dir), jobs.DEFAULT_RADIUS)
-    return proximity.terminal_counts(cust, pairs)
+    return proximity.terminal_counts(cust, adapters.terminals(spark, sf_dir), jobs.DEFAULT_RADIUS)
 
 
 # ----------------------------------------------------------------- labels
