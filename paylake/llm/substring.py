@@ -3,34 +3,37 @@
 Method.  Of the nine 5-word grams inside every 13-word window the one with the
 least hash is the window's anchor (winnowing), so equal windows have equal
 anchors at equal places.  Neighbouring windows share an anchor: an anchor
-occurrence is a seed with the run of windows it extends over on both sides.
-Seeds are dealt by anchor, so documents meet where they share one; there
-every window of the run is compared by its 64-bit hash and marked when a
-smaller doc_id has the same window.  Marked windows are merged to maximal
-repeats per document.  Before the shuffle each batch sends a window only for
-its smallest doc_id, so a passage in a third of all documents costs a record
-per batch, not per document; no pairs of documents are made.
+occurrence is a seed with the run of windows around it.  Seeds are dealt by
+anchor into buckets of bounded size and joined there: a run whose anchor no
+other run has is left at once.  Runs that share an anchor are extended along
+each other, aligned at the anchor: windows at equal distance from it, on both
+sides, are compared by hash, for all runs of an anchor at a time and not pair by
+pair.  A window is marked when a smaller doc_id has the same one, and marked
+windows are merged to maximal repeats per document.  Before the shuffle each
+batch sends a window only for its smallest doc_id, so a passage in a third of
+all documents costs a record per batch, not per document.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import doc_of, n_partitions, ngram_hashes, pick, ranges, slices, text_key, word_hashes
+from .common import doc_of, mix, n_partitions, ngram_hashes, pick, ranges, release_memory, slices, text_key, word_hashes
 
 GRAM = 5
+BUCKET_BYTES = 4 << 20  # text whose seeds share a bucket, about
+SLICE_BYTES = 3 << 20
 _SEEDS = "bucket int, ids binary, keys binary, runs binary, hashes binary, settled boolean"
 _SPANS = "doc_id bigint, tkey bigint, first int, last int"
-_RUN = np.dtype([("doc", "<u4"), ("pos", "<u4"), ("n", "<u2")])
+_RUN = np.dtype([("anchor", "<u8"), ("doc", "<u4"), ("pos", "<u4"), ("n", "u1"), ("ahead", "u1")])  # ahead: words before the anchor
+_HASH = 6  # bytes kept of a window's hash; runs with one anchor agree in 64 bits besides
 _LAST = np.iinfo(np.int64).max  # sorts null doc_ids after all others
 
 
 def _windows(texts: pa.Array, window: int):
-    """(document, first word, anchor hash, anchor word, window hash) of every window."""
+    """(document, first word, anchor hash, words before the anchor, window hash) of every window."""
     starts, words = word_hashes(texts)
     grams = ngram_hashes(words, GRAM)
     hashes = ngram_hashes(words, window, salt=1)
@@ -43,7 +46,7 @@ def _windows(texts: pa.Array, window: int):
     doc = doc_of(starts)[:n]
     good = np.flatnonzero(np.arange(n) + window <= starts[1:][doc])
     doc = doc[good]
-    return doc, good - starts[doc], best[good], (good + at[good]), hashes[good]
+    return doc, good - starts[doc], best[good], at[good], hashes[good]
 
 
 def _runs(doc, pos, anchor, place, hashes, ids, keys, buckets: int, settled: bool):
@@ -51,16 +54,19 @@ def _runs(doc, pos, anchor, place, hashes, ids, keys, buckets: int, settled: boo
     if not len(doc):
         return
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1]) | (pos[1:] != pos[:-1] + 1)
+    # the anchor of a run stays in its place while its windows move on
+    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] - 1) | (pos[1:] != pos[:-1] + 1)
     first = np.flatnonzero(new)
     length = np.diff(np.append(first, len(doc)))
     runs = np.empty(len(first), dtype=_RUN)
+    deal = anchor[first]
     if settled:  # needs no partner, so it is dealt by document
-        anchor, place = keys.view(np.uint64)[doc], doc
-    bucket = (anchor[first] % np.uint64(buckets)).astype(np.int64)
+        deal = mix(ids[doc[first]].view(np.uint64) + keys[doc[first]].view(np.uint64))
+    bucket = (deal % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     first, length, bucket = first[order], length[order], bucket[order]
-    runs["doc"], runs["pos"], runs["n"] = doc[first], pos[first], length
+    runs["anchor"], runs["doc"], runs["pos"], runs["n"] = anchor[first], doc[first], pos[first], length
+    runs["ahead"] = place[first]
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
     out = {k: [] for k in ("bucket", "ids", "keys", "runs", "hashes")}
     for a, b in zip(cuts[:-1], cuts[1:]):
@@ -70,7 +76,7 @@ def _runs(doc, pos, anchor, place, hashes, ids, keys, buckets: int, settled: boo
         out["ids"].append(ids[docs].tobytes())
         out["keys"].append(keys[docs].tobytes())
         out["runs"].append(part.tobytes())
-        out["hashes"].append(b"" if settled else hashes[ranges(first[a:b], length[a:b])].tobytes())
+        out["hashes"].append(b"" if settled else hashes[ranges(first[a:b], length[a:b])].view(np.uint8).reshape(-1, 8)[:, :_HASH].tobytes())
     yield pa.RecordBatch.from_arrays(
         [pa.array(out["bucket"], pa.int32())] + [pa.array(out[k], pa.binary()) for k in ("ids", "keys", "runs", "hashes")]
         + [pa.array([settled] * len(out["bucket"]))], ["bucket", "ids", "keys", "runs", "hashes", "settled"])
@@ -90,7 +96,7 @@ def _least(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _seed_pass(window: int, buckets: int):
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 3 << 20):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 ids = np.array([_LAST if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
                 keys = batch.column("tkey").to_numpy(zero_copy_only=False).astype(np.int64)
                 doc, pos, anchor, place, hashes = _windows(batch.column("text"), window)
@@ -108,40 +114,63 @@ def _spans(doc_ids, keys, first, last):
                                        pa.array(last.astype(np.int32))], ["doc_id", "tkey", "first", "last"])
 
 
+def _extended(rows: list[tuple[bytes, bytes, bytes, bytes]]):
+    """Spans of marked windows of one bucket's runs: joined on the anchor, then compared at equal
+    distance from it."""
+    runs = [np.frombuffer(r[2], _RUN) for r in rows]
+    ids = np.concatenate([np.frombuffer(r[0], np.int64)[x["doc"]] for r, x in zip(rows, runs)])
+    keys = np.concatenate([np.frombuffer(r[1], np.int64)[x["doc"]] for r, x in zip(rows, runs)])
+    runs = np.concatenate(runs)
+    _, name, times = np.unique(runs["anchor"], return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times[name] > 1)
+    if not len(shared):
+        return
+    n = runs["n"].astype(np.int64)
+    at = ranges((np.cumsum(n) - n)[shared], n[shared])
+    whole = np.zeros((len(at), 8), np.uint8)
+    whole[:, :_HASH] = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, _HASH)[at]
+    n = n[shared]
+    run = np.repeat(shared, n)
+    step = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+    distance = runs["ahead"][run].astype(np.int64) - step
+    with np.errstate(over="ignore"):
+        windows = mix(runs["anchor"][run] + mix(distance.astype(np.uint64))) + whole.view(np.uint64).ravel()
+    own = ids[run]
+    marked = np.flatnonzero(own > _least(windows, own))
+    if not len(marked):
+        return
+    own, key = own[marked], keys[run[marked]]
+    pos = runs["pos"][run[marked]].astype(np.int64) + step[marked]
+    cut = np.ones(len(own), bool)
+    cut[1:] = (own[1:] != own[:-1]) | (key[1:] != key[:-1]) | (pos[1:] != pos[:-1] + 1)
+    first = np.flatnonzero(cut)
+    last = np.append(first[1:], len(own)) - 1
+    for a in range(0, len(first), 100_000):
+        f, e = first[a:a + 100_000], last[a:a + 100_000]
+        yield _spans(own[f], key[f], pos[f], pos[e])
+
+
 def _extend_pass():
-    """In each task: the windows of all seeds dealt to it, marked where a smaller doc_id has them."""
+    """Rows come by bucket, one of which is held at a time."""
     def run(batches):
-        held = {k: [] for k in ("h", "id", "key", "pos")}
+        now, held = None, []
         for batch in batches:
-            for ids, keys, runs, hashes, settled in zip(*(batch.column(c).to_pylist() for c in
-                                                          ("ids", "keys", "runs", "hashes", "settled"))):
-                ids, keys, runs = np.frombuffer(ids, np.int64), np.frombuffer(keys, np.int64), np.frombuffer(runs, _RUN)
-                n = runs["n"].astype(np.int64)
+            for bucket, ids, keys, runs, hashes, settled in zip(*(batch.column(c).to_pylist() for c in
+                                                                  ("bucket", "ids", "keys", "runs", "hashes", "settled"))):
                 if settled:
+                    runs = np.frombuffer(runs, _RUN)
                     pos = runs["pos"].astype(np.int64)
-                    yield _spans(ids[runs["doc"]], keys[runs["doc"]], pos, pos + n - 1)
+                    yield _spans(np.frombuffer(ids, np.int64)[runs["doc"]], np.frombuffer(keys, np.int64)[runs["doc"]],
+                                 pos, pos + runs["n"] - 1)
                     continue
-                doc = np.repeat(runs["doc"], n)
-                held["h"].append(np.frombuffer(hashes, np.uint64))
-                held["id"].append(ids[doc])
-                held["key"].append(keys[doc])
-                held["pos"].append(ranges(runs["pos"].astype(np.int64), n).astype(np.uint32))
-        if not held["h"]:
-            return
-        hashes, ids = np.concatenate(held.pop("h")), np.concatenate(held.pop("id"))
-        marked = np.flatnonzero(ids > _least(hashes, ids))
-        del hashes
-        if not len(marked):
-            return
-        ids = ids[marked]
-        keys, pos = np.concatenate(held["key"])[marked], np.concatenate(held["pos"])[marked].astype(np.int64)
-        cut = np.ones(len(ids), bool)
-        cut[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | (pos[1:] != pos[:-1] + 1)
-        first = np.flatnonzero(cut)
-        last = np.append(first[1:], len(ids)) - 1
-        for a in range(0, len(first), 100_000):
-            f, e = first[a:a + 100_000], last[a:a + 100_000]
-            yield _spans(ids[f], keys[f], pos[f], pos[e])
+                if bucket != now and held:
+                    yield from _extended(held)
+                    held = []
+                now = bucket
+                held.append((ids, keys, runs, hashes))
+        if held:
+            yield from _extended(held)
+        release_memory()
     return run
 
 
@@ -149,15 +178,17 @@ def repeat_spans(docs: DataFrame, window: int = 13) -> DataFrame:
     """Spans (doc_id, tkey, first, last) of consecutive windows, by first word,
     whose words also start a window in a document with a smaller doc_id."""
     n = n_partitions(docs.sparkSession)
-    seeds = docs.select("doc_id", "tkey", "text").mapInArrow(_seed_pass(window, n), _SEEDS)
-    return seeds.repartition(n, "bucket").mapInArrow(_extend_pass(), _SPANS)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(n, int(size // BUCKET_BYTES))
+    seeds = docs.select("doc_id", "tkey", "text").mapInArrow(_seed_pass(window, buckets), _SEEDS)
+    return seeds.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_extend_pass(), _SPANS)
 
 
 def _cut_pass(window: int):
     names = ["doc_id", "text", "n_words", "n_removed", "repeats", "kept_text"]
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
             out: list[list] = [[], [], [], []]
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 words = (text or "").encode().split()
