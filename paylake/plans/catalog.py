@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.config import scratch_dir
 from paylake.operators import audit, conform, labels, ordering, proximity, stats, windows
 from paylake.plans import jobs
 from paylake.sources import adapters, tables
@@ -87,18 +86,16 @@ LOOKUP_ID = 777
 def point_lookup(spark, sf_dir):
     """Terminal features of one transaction, computed only over its terminal's
     rows inside the widest frame (the id filter cannot pass the window).  Terminal
-    and times of the id are scalar subqueries, so rows are cut at the scan."""
+    and times of the id are one scalar subquery, so rows are cut above the scan."""
     tx = windows.add_epoch(adapters.events_transactions(spark, sf_dir))
-    target = tx.where(F.col("TRANSACTION_ID") == LOOKUP_ID)
-
-    def found(c):
-        return target.select(c).scalar()
-
+    term, second = F.col("TERMINAL_ID"), F.col("TX_TS")
+    # one struct, so one subquery and one scan with the id pushed down
+    found = (tx.where(F.col("TRANSACTION_ID") == LOOKUP_ID).select(F.struct(
+        F.min(term).alias("t0"), F.max(term).alias("t1"), F.count_if(term.isNull()).alias("tn"),
+        F.min(second).alias("s0"), F.max(second).alias("s1"), F.count_if(second.isNull()).alias("sn")).alias("f")).scalar())
     reach = (windows.DEFAULT_DELAY + max(windows.DEFAULT_WINDOWS)) * windows.SECONDS_PER_DAY
-    near = (F.col("TERMINAL_ID").between(found(F.min("TERMINAL_ID")), found(F.max("TERMINAL_ID")))
-            | (F.col("TERMINAL_ID").isNull() & (found(F.count_if(F.col("TERMINAL_ID").isNull())) > 0)))
-    reached = (F.col("TX_TS").between(found(F.min("TX_TS")) - reach, found(F.max("TX_TS")))
-               | (F.col("TX_TS").isNull() & (found(F.count_if(F.col("TX_TS").isNull())) > 0)))
+    near = term.between(found["t0"], found["t1"]) | (term.isNull() & (found["tn"] > 0))
+    reached = second.between(found["s0"] - reach, found["s1"]) | (second.isNull() & (found["sn"] > 0))
     feats = windows.with_terminal_risk(tx.where(near & reached))
     return feats.where(F.col("TRANSACTION_ID") == LOOKUP_ID).select(
         "TRANSACTION_ID", "TX_DATETIME", "TX_FRAUD",
@@ -122,11 +119,23 @@ def bronze_topk_string_order(spark, sf_dir):
 def bronze_table_roundtrip(spark, sf_dir):
     bronze = jobs.bronze_transactions(spark, sf_dir)
     db = tables.ensure_database(spark)
-    name = tables.save_table(bronze, tables.table_name("transaction", db, "bronze"), "parquet",
-                             path=scratch_dir(spark, "bronze-table"))
+    name = tables.save_table(bronze, tables.table_name("transaction", db, "bronze"))
     return tables.read_table(spark, name)
 
 
+@query
+def medallion_gold(spark, sf_dir):
+    """The gold table after raw -> bronze -> silver -> gold, each layer through its tables."""
+    return tables.read_table(spark, jobs.medallion(spark, sf_dir, jobs.LayerNames("fraud_medallion")))
+
+
+@query
+def gold_lookup(spark, sf_dir):
+    """One transaction of the gold table, which is clustered by id: row groups without it are skipped."""
+    gold = tables.read_table(spark, jobs.medallion(spark, sf_dir, jobs.LayerNames("fraud_lookup")))
+    return gold.where(F.col("TRANSACTION_ID") == LOOKUP_ID)
+
+
 @query
 def raw_csv_roundtrip(spark, sf_dir):
     """Typed -> raw text CSV -> bronze -> silver equals the (second-truncated) source."""

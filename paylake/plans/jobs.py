@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.config import scratch_dir
 from paylake.operators import audit, conform, proximity, stats, windows
 from paylake.sources import adapters, files, tables
 from paylake.sources.schemas import CUSTOMER_TYPES, TERMINAL_TYPES, TRANSACTION_TYPES
@@ -70,39 +69,62 @@ def bronze_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @dataclass
 class LayerNames:
     database: str = tables.DEFAULT_DATABASE
+    catalog: str | None = None
 
     def name(self, table: str, layer: str) -> str:
-        return tables.table_name(table, self.database, layer)
+        return tables.table_name(table, self.database, layer, self.catalog)
 
 
 def bronze_job(spark: SparkSession, raw_paths: dict[str, str], names: LayerNames = LayerNames(),
                fmt: str = "parquet") -> dict[str, str]:
-    """L1: raw CSV folders -> bronze string tables (full overwrite)."""
-    tables.ensure_database(spark, names.database)
+    """L1: raw CSV folders -> bronze string tables (full overwrite).
+
+    Malformed rows stay in the bronze table as far as they could be read.  They are counted
+    while it is written; where there are any, their lines go to a ``quarantine`` table.
+    """
+    tables.ensure_database(spark, names.database, catalog=names.catalog)
     out = {}
     for layout, path in raw_paths.items():
-        df = files.read_bronze_csv(spark, path, layout)
-        out[layout] = tables.save_table(df, names.name(layout, "bronze"), fmt,
-                                        path=scratch_dir(spark, f"bronze-{layout}"))
+        df = files.read_bronze_csv(spark, path, layout, corrupt=True)
+        seen = Observation()
+        counted = df.observe(seen, F.count_if(F.col(files.CORRUPT).isNotNull()).alias("corrupt")).drop(files.CORRUPT)
+        out[layout] = tables.save_table(counted, names.name(layout, "bronze"), fmt)
+        held = names.name(layout, "quarantine")
+        if seen.get["corrupt"]:
+            tables.save_table(files.quarantine(df), held, fmt)
+        elif tables.location(spark, held):
+            tables.drop_table(spark, held)
     return out
 
 
 def silver_job(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet",
                strict: bool = False) -> dict[str, DataFrame]:
-    """L2: bronze -> typed silver tables; returns the audits (bronze and silver)."""
+    """L2: bronze -> typed silver tables; returns the audits of the silver tables, which are
+    taken while they are written."""
     audits = {}
     for layout in ("customers", "terminals", "transactions"):
         bronze = tables.read_table(spark, names.name(layout, "bronze"))
-        silver = conform.conform(bronze, layout, strict)
-        tables.save_table(silver, names.name(layout, "silver"), fmt,
-                          path=scratch_dir(spark, f"silver-{layout}"))
-        audits[layout] = audit.null_audit(tables.read_table(spark, names.name(layout, "silver")))
+        observed, audited = audit.observed_null_audit(conform.conform(bronze, layout, strict))
+        tables.save_table(observed, names.name(layout, "silver"), fmt)
+        audits[layout] = audited()
     return audits
 
 
 def gold_job(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet") -> str:
-    """L3: silver transactions -> gold feature table (24 columns)."""
+    """L3: silver transactions -> gold feature table (24 columns), clustered by transaction id."""
     silver = tables.read_table(spark, names.name("transactions", "silver"))
-    gold = windows.gold_features(silver)
-    return tables.save_table(gold, names.name("transactions", "gold"), fmt,
-                             path=scratch_dir(spark, "gold-transactions"))
+    return tables.save_table(windows.gold_features(silver), names.name("transactions", "gold"), fmt,
+                             cluster_by="TRANSACTION_ID")
+
+
+def medallion(spark: SparkSession, sf_dir: str, names: LayerNames) -> str:
+    """Raw CSV -> bronze -> silver -> gold, each through its tables; returns the gold table."""
+    tx = adapters.events_transactions(spark, sf_dir)
+    terminals = adapters.terminals(spark, sf_dir)
+    profiles = customer_profiles(adapters.customers(spark, sf_dir), terminals, tx)
+    raw = {"transactions": files.land(spark, raw_transactions_text(tx), "transactions"),
+           "customers": files.land(spark, raw_customers_text(profiles), "customers"),
+           "terminals": files.land(spark, files.to_text(terminal_profiles(terminals)), "terminals")}
+    bronze_job(spark, raw, names)
+    silver_job(spark, names)
+    return gold_job(spark, names)

@@ -173,6 +173,10 @@ SELECT {BRONZE_SELECT} FROM tx
 
 SQL["bronze_table_roundtrip"] = SQL["bronze_csv_scan"]
 
+# The layers carry whole seconds.
+SQL["medallion_gold"] = gold_sql(TX.replace("         ts AS TX_DATETIME,", "         date_trunc('second', ts) AS TX_DATETIME,"))
+SQL["gold_lookup"] = f"SELECT * FROM ({SQL['medallion_gold']}) WHERE TRANSACTION_ID = 777"
+
 SQL["bronze_topk_string_order"] = f"""
 WITH {TX}
 SELECT {BRONZE_SELECT} FROM tx ORDER BY CAST(TRANSACTION_ID AS VARCHAR) LIMIT 3

@@ -17,6 +17,9 @@ from paylake.config import scratch_dir
 from paylake.sources.schemas import DATETIME_FORMAT, LAYOUTS, string_schema
 
 
+CORRUPT = "_corrupt_record"
+
+
 def list_text(arr: Column, numpy_style: Column | None = None) -> Column:
     """array<bigint> -> Python list text: ``[1, 2]``; or ``[np.int64(1), np.int64(2)]``
     where ``numpy_style`` is true (how numpy >= 2 prints its integers)."""
@@ -52,11 +55,27 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_bronze_csv(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    """Header CSV -> DataFrame with every declared column as string."""
-    return (spark.read.option("header", True).option("enforceSchema", False)
-            .option("mode", "PERMISSIVE")
-            .schema(string_schema(LAYOUTS[layout])).csv(path))
+def read_bronze_csv(spark: SparkSession, path: str, layout: str, corrupt: bool = False) -> DataFrame:
+    """Header CSV -> DataFrame with every declared column as string.
+
+    Rows that are too short, too long or badly quoted are kept with what could be read;
+    with ``corrupt`` their raw line stands in the column CORRUPT, NULL for sound rows.
+    """
+    schema = string_schema(LAYOUTS[layout])
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    # a row is judged by all its cells, whichever columns are asked for
+    return (spark.read.option("header", True).option("enforceSchema", False).option("columnPruning", not corrupt)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .schema(schema).csv(path))
+
+
+def quarantine(corrupt_rows: DataFrame) -> DataFrame:
+    """(file, line) of the malformed rows of a ``read_bronze_csv(..., corrupt=True)``."""
+    # Spark does not read the raw line alone, so the first column is read along with it
+    line = F.coalesce(F.col(CORRUPT), F.col(f"`{corrupt_rows.columns[0]}`"))
+    return (corrupt_rows.select(F.col("_metadata.file_path").alias("file"), line.alias("line"), CORRUPT)
+            .where(F.col(CORRUPT).isNotNull()).select("file", "line"))
 
 
 def land(spark: SparkSession, text_df: DataFrame, name: str) -> str:
