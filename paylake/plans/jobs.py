@@ -18,6 +18,7 @@ from paylake.sources import adapters, files, tables
 from paylake.sources.schemas import CUSTOMER_TYPES, TERMINAL_TYPES, TRANSACTION_TYPES
 
 DEFAULT_RADIUS = 5.0
+GOLD_BUCKET_DAYS = 10
 
 
 def customer_profiles(customers: DataFrame, terminals: DataFrame, tx: DataFrame,
@@ -117,7 +118,40 @@ def gold_job(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "
                              cluster_by="TRANSACTION_ID")
 
 
-def medallion(spark: SparkSession, sf_dir: str, names: LayerNames) -> str:
+def _with_bucket(gold: DataFrame) -> DataFrame:
+    return gold.withColumn("TX_BUCKET", F.floor(F.col("TX_TIME_DAYS") / F.lit(GOLD_BUCKET_DAYS)).cast("int"))
+
+
+def gold_buckets_job(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet") -> str:
+    """L3, partitioned by buckets of days (column TX_BUCKET), so that late labels can be worked in."""
+    silver = tables.read_table(spark, names.name("transactions", "silver"))
+    return tables.save_table(_with_bucket(windows.gold_features(silver)), names.name("transactions", "gold_buckets"), fmt,
+                             partition_by=["TX_BUCKET"])
+
+
+def refresh_gold_buckets(spark: SparkSession, first_day: int, last_day: int, names: LayerNames = LayerNames(),
+                         fmt: str = "parquet") -> list[int]:
+    """Rewrite the gold buckets that silver rows of days [first_day, last_day] reach, after their
+    labels or amounts have changed; returns those buckets.
+
+    A row bears on its own features and on those of up to 37 days later, so silver is read
+    from 37 days before the first bucket on.  Buckets are replaced by dynamic partition
+    overwrite, in place: the others' files stay, and readers see the buckets change one by
+    one.  Days are those of the rows' old and new times; rows without a time are left alone.
+    """
+    reach = windows.DEFAULT_DELAY + max(windows.DEFAULT_WINDOWS)
+    low, high = first_day // GOLD_BUCKET_DAYS, (last_day + reach) // GOLD_BUCKET_DAYS
+    days = F.col("TX_TIME_DAYS").between(low * GOLD_BUCKET_DAYS - reach - 1, (high + 1) * GOLD_BUCKET_DAYS - 1)
+    silver = tables.read_table(spark, names.name("transactions", "silver")).where(days)
+    gold = _with_bucket(windows.gold_features(silver)).where(F.col("TX_BUCKET").between(low, high))
+    name = names.name("transactions", "gold_buckets")
+    (gold.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("TX_BUCKET")
+     .save(tables.location(spark, name)))
+    spark.catalog.refreshTable(name)
+    return list(range(low, high + 1))
+
+
+def medallion(spark: SparkSession, sf_dir: str, names: LayerNames, gold=gold_job) -> str:
     """Raw CSV -> bronze -> silver -> gold, each through its tables; returns the gold table."""
     tx = adapters.events_transactions(spark, sf_dir)
     terminals = adapters.terminals(spark, sf_dir)
@@ -127,4 +161,4 @@ def medallion(spark: SparkSession, sf_dir: str, names: LayerNames) -> str:
            "terminals": files.land(spark, files.to_text(terminal_profiles(terminals)), "terminals")}
     bronze_job(spark, raw, names)
     silver_job(spark, names)
-    return gold_job(spark, names)
+    return gold(spark, names)

@@ -175,6 +175,10 @@ SQL["bronze_table_roundtrip"] = SQL["bronze_csv_scan"]
 
 # The layers carry whole seconds.
 SQL["medallion_gold"] = gold_sql(TX.replace("         ts AS TX_DATETIME,", "         date_trunc('second', ts) AS TX_DATETIME,"))
+SQL["gold_late_labels"] = gold_sql(TX.replace("         ts AS TX_DATETIME,", "         date_trunc('second', ts) AS TX_DATETIME,").replace(
+    "CAST(event_type = 'error' AS INTEGER) AS TX_FRAUD",
+    "CASE WHEN floor((floor(epoch(ts)) - epoch(TIMESTAMP '2024-01-01 00:00:00')) / 86400.0) BETWEEN 3 AND 4 "
+    "THEN CAST(event_type <> 'error' AS INTEGER) ELSE CAST(event_type = 'error' AS INTEGER) END AS TX_FRAUD"))
 SQL["gold_lookup"] = f"SELECT * FROM ({SQL['medallion_gold']}) WHERE TRANSACTION_ID = 777"
 
 SQL["bronze_topk_string_order"] = f"""

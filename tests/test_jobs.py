@@ -23,3 +23,32 @@ def test_medallion_layers_end_to_end(spark):
     silver_c = tables.read_table(spark, names.name("customers", "silver"))
     assert dict(silver_c.dtypes)["available_terminals"] == "array<bigint>"
     assert silver_c.where("size(available_terminals) != nb_terminals").count() == 0
+
+
+def test_refresh_rewrites_only_reached_buckets(spark):
+    """A late label day: equal to a full run, and the other buckets' files stay."""
+    from pyspark.sql import functions as F
+    from tests.helpers import tx_df
+
+    day = 86400
+    spec = [(i, (i * 7919) % (200 * day), i % 7, i % 5, 10.0 + i % 90, int(i % 11 == 0)) for i in range(900)]
+    names = jobs.LayerNames("paylake_late")
+    tables.ensure_database(spark, names.database)
+    silver = names.name("transactions", "silver")
+    tables.save_table(tx_df(spark, spec), silver)
+    gold = jobs.gold_buckets_job(spark, names)
+
+    def files_of(buckets):
+        seen = spark.table(gold).where(~F.col("TX_BUCKET").isin(buckets)).select("_metadata.file_path").distinct()
+        return sorted(r.file_path for r in seen.collect())
+
+    changed = spark.table(silver).withColumn("TX_FRAUD", F.when(F.col("TX_TIME_DAYS") == 61, 1).otherwise(F.col("TX_FRAUD")))
+    tables.save_table(changed, silver)
+    want = list(range(61 // jobs.GOLD_BUCKET_DAYS, (61 + 37) // jobs.GOLD_BUCKET_DAYS + 1))
+    before, old = files_of(want), sorted(map(str, spark.table(gold).collect()))
+    assert jobs.refresh_gold_buckets(spark, 61, 61, names) == want
+    assert files_of(want) == before and len(before) > 5
+    now = spark.table(gold)
+    assert sorted(map(str, now.collect())) != old
+    full = jobs._with_bucket(jobs.windows.gold_features(spark.table(silver)))
+    assert sorted(map(str, now.select(*full.columns).collect())) == sorted(map(str, full.collect()))
