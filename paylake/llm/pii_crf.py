@@ -1,18 +1,24 @@
 """Personal data by a linear-chain conditional random field over word shapes.
 
 Method.  Base patterns find plain cases.  A CRF over the words of a line adds
-spans that the patterns miss, such as a phone number without its country code:
-its features are the shapes of a word and of its neighbours, its labels come
-from a small labelled table (lines of a bounded sample, labelled by the base
-patterns, with phone prefixes and separators varied), it is trained by
-forward-backward gradients and decoded by Viterbi, both in numpy over batches
-of lines.  A line on which leaving the outside label can't pay at any word,
-by a bound on the whole path, needs no decoding and is outside throughout.
+spans that the patterns miss: obfuscated addresses, spaced ips, cards with other
+separators, phone numbers without a country code.  Its features are the shapes of
+a word and of its neighbours.  It is trained on a small labelled table
+(``pii_lines``: lines labelled by hand, their digits redrawn) and on lines of a
+bounded sample of the documents, labelled by the base patterns, by
+forward-backward gradients, and decoded by Viterbi, both in numpy over batches of
+lines.  A line on which leaving the outside label can't pay at any word, by a
+bound on the whole path, needs no decoding and is outside throughout.
+
+An added span stays if it reads as its kind: written plainly an email or ip
+matches its base pattern, a card has 14 to 19 digits that pass Luhn (neighbouring
+numbers are cut apart), a phone has 7 to 15 digits and nothing but digits and
+separators.
 """
 
 from __future__ import annotations
 
-import hashlib
+import random
 import re
 
 import numpy as np
@@ -21,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import _powers, mix, pick, ranges, slices
+from .pii_lines import LINES
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed base patterns.
@@ -29,7 +36,11 @@ IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-LEAST_DIGITS = (0, 4, 12, 7)  # of an added span of each kind; an added email needs an @
+# Ways in which the signs of an address or ip are written out.
+AT = re.compile(r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*|\s+at\s+|\s*@\s*", re.I)
+DOT = re.compile(r"\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|\s+dot\s+|\s*\.\s*", re.I)
+PHONE_SIGNS = re.compile(r"[+(]?[0-9][0-9\x20()./-]*[0-9]")
+DATE = re.compile(r"[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}|[0-9]{1,2}[-./][0-9]{1,2}[-./][0-9]{4}")
 
 LABELS = 1 + len(KINDS)   # 0 is outside
 SHAPES = 1 << 12          # hashed shapes
@@ -37,7 +48,9 @@ SIZES = 36                # digit count classes times length classes
 SAMPLE_ROWS = 3000        # bound (in expectation) on the sampled documents
 SAMPLE_CHARS = 5000       # only shorter texts are sampled for training
 LINE_WORDS = 80           # longer lines are left out of the training sample
-STEPS, RATE = 60, 0.2
+PART_WORDS = 20           # of an added span at most
+TIMES = 8                 # each line of the labelled table, with other digits
+STEPS, RATE = 80, 0.2
 
 
 def luhn(digits: str) -> bool:
@@ -247,17 +260,54 @@ def labelled_lines(texts: list[str]) -> tuple[list[str], list[list[tuple[int, in
     return lines, spans
 
 
+_MARK = re.compile(r"\[(email|ip|card|phone) (.*?)\]\]")
+
+
+def _redrawn(rng: random.Random, kind: int, text: str) -> str:
+    """The text with other digits of the same number, and other letters in an email."""
+    if kind == 0:
+        return re.sub(r"[a-z0-9]+", lambda m: m[0] if m[0] in ("at", "dot", "com", "org", "net") else
+                      "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in m[0]), text)
+    if kind == 1:
+        return re.sub("[0-9]+", lambda m: str(rng.randrange(256)), text)
+    out = [c if not "0" <= c <= "9" else c if i == 0 or kind == 3 and c == "0" else rng.choice("0123456789") for i, c in enumerate(text)]
+    if kind == 2:  # the last digit makes it pass Luhn
+        last = max(i for i, c in enumerate(out) if c.isdigit())
+        out[last] = next(c for c in "0123456789" if luhn(_digits("".join(out[:last]) + c)))
+    return "".join(out)
+
+
+def table_lines(times: int = TIMES, seed: int = 20240611) -> tuple[list[str], list[list[tuple[int, int, int]]]]:
+    """The hand-labelled lines with their spans, each line with its digits redrawn several times."""
+    rng, lines, spans = random.Random(seed), [], []
+    for marked in LINES:
+        for turn in range(times):
+            line, found, at = "", [], 0
+            for m in _MARK.finditer(marked):
+                line += marked[at:m.start()]
+                kind = KINDS.index(m[1])
+                text = m[2] if turn == 0 else _redrawn(rng, kind, m[2])
+                found.append((len(line), kind, len(line) + len(text)))
+                line, at = line + text, m.end()
+            line += marked[at:]
+            if turn and not found:  # a decoy
+                line = re.sub("[0-9]", lambda _: rng.choice("0123456789"), line)
+            lines.append(line)
+            spans.append(found)
+    return lines, spans
+
+
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Crf:
-    """Train on a bounded, hash-chosen sample of the documents' lines."""
-    short = docs.where(F.length("text").between(1, SAMPLE_CHARS) & F.col("text").rlike("[0-9]")).select("text").distinct()
-    n = short.count()
+    """Train on the labelled table and a bounded, hash-chosen sample of the documents' lines."""
+    short = docs.where(F.length("text").between(1, SAMPLE_CHARS) & F.col("text").rlike("[0-9]")).select("text")
+    # equal texts share their hash; the share of rows bounds the sample before equal ones are joined
+    n = short.agg(F.approx_count_distinct(F.xxhash64("text", F.lit(3)), 0.02)).first()[0]
     share = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 20)) / float(1 << 20)
-    texts = sorted(r["text"] for r in short.where(share < min(1.0, rows / max(1, n))).collect())
-    crf = Crf()
+    texts = sorted(r["text"] for r in short.where(share < min(1.0, rows / max(1, n))).distinct().collect())
     lines, spans = labelled_lines(texts)
-    if lines:
-        words = Words(lines)
-        crf.train(words, labels_of(words, spans))
+    more, marked = table_lines()
+    words, crf = Words(lines + more), Crf()
+    crf.train(words, labels_of(words, spans + marked))
     return crf
 
 
@@ -284,22 +334,60 @@ def crf_spans(crf: Crf, words: Words, n: int) -> list[list[tuple[int, int, int]]
     return out
 
 
-_TRIM = " \t,;:!?\"'()"
+_TRIM = " \t,;:!?\"'"
+
+
+def _digits(text: str) -> str:
+    return "".join(c for c in text if "0" <= c <= "9")
+
+
+def reads_as(kind: int, text: str) -> bool:
+    """Whether an added span, without marks at its ends, may stand as its kind."""
+    if kind == 0:
+        return EMAIL.fullmatch(DOT.sub(".", AT.sub("@", text))) is not None
+    if kind == 1:
+        plain = DOT.sub(".", text)
+        return IP.fullmatch(plain) is not None and all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in plain.split("."))
+    if kind == 2:
+        number = _digits(text)
+        return 14 <= len(number) <= 19 and luhn(number) and not re.search("[A-Za-z@]", text)
+    return 7 <= len(_digits(text)) <= 15 and PHONE_SIGNS.fullmatch(text) is not None and DATE.fullmatch(text) is None
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span without marks and unmatched brackets at its ends."""
+    while start < end and text[start] in _TRIM + ").":
+        start += 1
+    while end > start and text[end - 1] in _TRIM + "(.":
+        end -= 1
+    own = text[start:end]
+    if own.endswith(")") and own.count("(") < own.count(")"):
+        end -= 1
+    if own.startswith("(") and own.count("(") > own.count(")"):
+        start += 1
+    return start, end
+
+
+def _parts(text: str, start: int, kind: int, end: int) -> list[tuple[int, int]]:
+    """The longest runs of the span's words, from the left, that read as its kind."""
+    words = [(start + m.start(), start + m.end()) for m in re.finditer(r"\S+", text[start:end])]
+    out, i = [], 0
+    while i < len(words):
+        for j in range(min(len(words), i + PART_WORDS), i, -1):
+            s, e = _trimmed(text, words[i][0], words[j - 1][1])
+            if s < e and reads_as(kind, text[s:e]):
+                out.append((s, e))
+                i = j - 1
+                break
+        i += 1
+    return out
 
 
 def _merge(text: str, base, added):
-    """Base spans, and added ones without marks at their ends that overlap no base span."""
-    out = list(base)
-    for s, k, e in added:
-        while s < e and text[s] in _TRIM.replace("(", ""):
-            s += 1
-        while e > s and text[e - 1] in _TRIM + ".":
-            e -= 1
-        if (k == 0 and "@" not in text[s:e]) or sum("0" <= c <= "9" for c in text[s:e]) < LEAST_DIGITS[k]:
-            continue
-        if s < e and all(e <= x or s >= y for x, _, y in base):
-            out.append((s, k, e))
-    return sorted(out)
+    """Base spans, and the parts of the added ones that read as their kind and overlap no base span."""
+    more = [(s, kind, e) for start, kind, end in added for s, e in _parts(text, start, kind, end)
+            if all(e <= x or s >= y for x, _, y in base)]
+    return sorted([*base, *more])
 
 
 def _find_pass(crf: Crf):

@@ -27,7 +27,8 @@ BUCKET_BYTES = 4 << 20  # text whose seeds share a bucket, about
 SLICE_BYTES = 3 << 20
 _SEEDS = "bucket int, ids binary, keys binary, runs binary, hashes binary, settled boolean"
 _SPANS = "doc_id bigint, tkey bigint, first int, last int"
-_RUN = np.dtype([("anchor", "<u8"), ("doc", "<u4"), ("pos", "<u4"), ("n", "u1"), ("ahead", "u1")])  # ahead: words before the anchor
+ROWS = 1 << 15  # of a slice: its documents are numbered in 16 bits
+_RUN = np.dtype([("anchor", "<u8"), ("doc", "<u2"), ("pos", "<u4"), ("n", "u1"), ("ahead", "u1")])  # ahead: words before the anchor
 _HASH = 6  # bytes kept of a window's hash; runs with one anchor agree in 64 bits besides
 _LAST = np.iinfo(np.int64).max  # sorts null doc_ids after all others
 
@@ -95,7 +96,7 @@ def _least(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _seed_pass(window: int, buckets: int):
     def run(batches):
-        for whole in batches:
+        for whole in (b.slice(a, ROWS) for b in batches for a in range(0, b.num_rows, ROWS)):
             for batch in slices(whole, "text", SLICE_BYTES):
                 ids = np.array([_LAST if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
                 keys = batch.column("tkey").to_numpy(zero_copy_only=False).astype(np.int64)

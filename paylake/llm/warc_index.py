@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from paylake.config import scratch_dir
 
-from .common import materialize, pick
+from .common import materialize, pick, slices
 
 ARCHIVE_BYTES = 128 << 20  # an archive file is closed beyond this
 RANGE_BYTES = 4 << 20      # most bytes of one coalesced read (a larger record is read alone)
 GAP_BYTES = 64 << 10       # unselected bytes that a read may span
+TASK_BYTES = 16 << 20      # records that a task reads, about
+SLICE_BYTES = 4 << 20      # payloads written at a time
 MIN_REVISIT = 1000
 
 _INDEX = ("page_id bigint, url string, digest string, record_type string, file string, offset bigint, "
@@ -99,7 +101,7 @@ def _write_pass(folder: str, limit: int):
         out, name, at = None, None, 0
         context = TaskContext.get()
         try:
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, "html", SLICE_BYTES)):
                 index = []
                 for x in batch.to_pylist():
                     payload = (x["html"] or "").encode()
@@ -140,9 +142,12 @@ def write_warc(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
                              "size": F.octet_length(F.coalesce("html", F.lit("")))})
     same = (mine.where(F.col("size") >= MIN_REVISIT).groupBy("digest", "size")
             .agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    linked = mine.join(same, ["digest", "size"], "left").select(
-        "page_id", "url", "html", "digest",
-        F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")).alias("refers_to"))
+    refers = F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")).alias("refers_to")
+    linked = (mine.where(F.col("size") >= MIN_REVISIT).join(same, ["digest", "size"], "left")
+              .select("page_id", "url", "html", "digest", refers))
+    # smaller payloads, however many are alike, are no part of that join
+    linked = linked.unionAll(mine.where(F.col("size") < MIN_REVISIT)
+                             .select("page_id", "url", "html", "digest", F.lit(None).cast("bigint")))
     index = linked.mapInArrow(_write_pass(folder, archive_bytes), _INDEX)
     return materialize(index, "warc-index"), folder
 
@@ -184,12 +189,13 @@ def _read_pass(folder: str):
     return run
 
 
-def read_warc(index: DataFrame, folder: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def read_warc(index: DataFrame, folder: str, range_bytes: int = RANGE_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
     """The records that the given index rows name, read by sorted ranges; payloads
-    of responses are checked against their digests, revisits have none."""
-    ranges = read_ranges(index, range_bytes)
-    return ranges.repartitionByRange("file", "first").sortWithinPartitions("file", "first").mapInArrow(
-        _read_pass(folder), _RECORD)
+    of responses are checked against their digests, revisits have none.  There is
+    a task for every ``task_bytes`` of records."""
+    size = index.agg(F.sum("length")).first()[0] or 0
+    ranges = read_ranges(index, range_bytes).repartitionByRange(1 + int(size // task_bytes), "file", "first")
+    return ranges.sortWithinPartitions("file", "first").mapInArrow(_read_pass(folder), _RECORD)
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:
