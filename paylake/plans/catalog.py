@@ -111,8 +111,9 @@ def bronze_csv_scan(spark, sf_dir):
 
 @query
 def bronze_topk_string_order(spark, sf_dir):
-    """Top 3 by TRANSACTION_ID as text (lexicographic: 0, 1, 10)."""
-    return ordering.top_k(jobs.bronze_transactions(spark, sf_dir), 3, F.col("TRANSACTION_ID").asc())
+    """Top 3 by TRANSACTION_ID as text (lexicographic: 0, 1, 10), of a text view: nothing is landed."""
+    view = jobs.raw_transactions_text(adapters.events_transactions(spark, sf_dir))
+    return ordering.top_k(view, 3, F.col("TRANSACTION_ID").asc())
 
 
 @query
@@ -187,8 +188,9 @@ def silver_customer_terminals(spark, sf_dir):
 
 @query
 def preview_topk(spark, sf_dir):
-    silver = conform.conform(jobs.bronze_transactions(spark, sf_dir), "transactions")
-    return ordering.top_k(silver, 3, F.col("TRANSACTION_ID").asc())
+    """Three rows of the typed text view: each task keeps three, nothing is landed."""
+    view = jobs.raw_transactions_text(adapters.events_transactions(spark, sf_dir))
+    return ordering.top_k(conform.conform(view, "transactions"), 3, F.col("TRANSACTION_ID").asc())
 
 
 @query
