@@ -31,6 +31,7 @@ GRAM = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5   # a pair at 0.8 shares a band with probability 0.99995
 BLOCK = 400           # members of a bucket that meet those of another block in one group
+BLOCK_GRAMS = 1 << 20  # or that hold so many grams, whichever is fewer members
 SLICE_BYTES = 1 << 20  # text hashed at once; its arrays take about 60 times that
 _LOW = 44             # bits of a gram's hash that are kept beside its document's number
 _SIGNED = ("row bigint, doc_id bigint, tkey bigint, c1 bigint, c2 bigint, weight bigint, "
@@ -188,7 +189,12 @@ def linked_classes(texts: pa.Array, comp: np.ndarray, similarity: float) -> list
     Counts become sets of (gram, occurrence), whose incidence matrix gives every
     intersection of two texts by one product.
     """
-    doc, gram, count, _, _ = elements(texts)
+    parts, at = [], 0
+    for batch in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", SLICE_BYTES):
+        doc, gram, count, _, _ = elements(batch.column("text"))
+        parts.append((doc + at, gram, count))
+        at += batch.num_rows
+    doc, gram, count = (np.concatenate(x) for x in zip(*parts))
     n, size = len(texts), np.bincount(doc, weights=count, minlength=len(texts))
     again = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     with np.errstate(over="ignore"):
@@ -239,13 +245,13 @@ def _block_pass(similarity: float):
 def _bucket_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links between classes that still meet in a bucket, found over all their members.
 
-    A bucket is cut into blocks of about BLOCK members; every pair of blocks is
+    A bucket is cut into blocks of about BLOCK members or BLOCK_GRAMS grams; every pair of blocks is
     one group, so a group is bounded however large the bucket, and a task
     returns a forest of links, not the pairs it compared.
     """
-    now = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    active = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"),
-                                    F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("a <> b")
+    now = buckets.join(labels, "node", "left").select("key", "node", "weight", F.coalesce("comp", "node").alias("comp"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("weight") / BLOCK_GRAMS)).cast("int").alias("blocks")
+    active = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), blocks).where("a <> b")
     mine = now.join(active.select("key", "blocks"), "key")
     mine = mine.withColumn("x", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
         "y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -2,13 +2,15 @@
 
 Method.  Test items are taken in blocks of bounded size, each shipped whole to
 the workers.  One pass over the corpus counts in how many documents each item
-n-gram occurs; an item's seeds are its n-grams that are not far more frequent
-than its typical one.  A second pass finds the seeds in every document, joins
+n-gram occurs.  An item's seeds are rare on both sides: n-grams that few items
+share (all of its own, if it has none of these), and of them those that are not
+far more frequent in documents than its typical one.  A second pass finds the seeds in every document, joins
 them to items by diagonal and aligns item and passage word by word
 (Smith-Waterman with linear gaps, vectorised over candidates).  A passage whose
 alignment reaches the threshold is a copy, edited or not.  Items of few words are
 looked up whole instead: only all their words in a row are a copy.  Nothing is
-shuffled but the n-gram counts.
+shuffled but the n-gram counts.  Where there are several blocks, each one's result
+is written to the shared folder before the next is read.
 """
 
 from __future__ import annotations
@@ -17,13 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import doc_of, fold, ngram_hashes, pick, ranges, slices, word_hashes
+from .common import doc_of, fold, materialize, ngram_hashes, pick, ranges, slices, word_hashes
 
 SEED_WORDS = 3
 MIN_ITEM_WORDS = 8      # a part of a shorter item is no evidence, only the whole of it
 SIMILARITY = 0.5        # alignment score over that of an exact copy
 BLOCK_WORDS = 200_000   # words of benchmark items per block
 SLICE_BYTES = 2 << 20   # text hashed at once
+SHARED = 8              # a seed is an n-gram of this many items at most
 FREQUENT = 4            # a seed may occur in this many times the documents of the item's median n-gram
 MATCH, MISMATCH, GAP = 2, -1, -1
 _MATCHES = "doc_id bigint, item_id bigint, similarity double, first_word bigint, end_word bigint"
@@ -63,15 +66,22 @@ class Block:
         self.bits[(self.grams[self.seed] & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
     def keep_rare(self, documents: np.ndarray) -> None:
-        """documents: in how many documents each n-gram occurs."""
+        """documents: in how many documents each n-gram occurs.  Only the seeds stay in the index."""
         gram = np.repeat(np.arange(len(self.grams)), np.diff(self.first))
-        rare = np.zeros(len(self.grams), bool)
+        pairs = np.unique(np.stack([gram, self.item], axis=1), axis=0)[:, 0]
+        few = np.bincount(pairs, minlength=len(self.grams)) <= SHARED
+        kept = np.zeros(len(gram), bool)
         order = np.argsort(self.item, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(self.item[order])) + 1):
-            mine = gram[part]
-            if len(mine):
-                rare[mine[documents[mine] <= FREQUENT * np.median(documents[mine]) + 1]] = True
-        self.seed = rare
+            own = part[few[gram[part]]]
+            part = own if len(own) else part  # an item without n-grams of its own
+            seen = documents[gram[part]]
+            if len(part):
+                kept[part[seen <= FREQUENT * np.median(seen) + 1]] = True
+        gram, self.item, self.at = gram[kept], self.item[kept], self.at[kept]
+        names, first = np.unique(gram, return_index=True)
+        self.grams, self.first = self.grams[names], np.append(first, len(gram))
+        self.seed = np.ones(len(self.grams), bool)
         self._filter()
 
     def hits(self, starts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,7 +97,6 @@ class Block:
         inside = near + SEED_WORDS <= starts[1:][doc]
         return doc[inside], near[inside], which[inside]
 
-
     def whole_hits(self, starts: np.ndarray, words: np.ndarray) -> dict:
         """First place of every short item in each document that holds all its words in a row."""
         found = {}
@@ -259,15 +268,28 @@ def benchmark_copies(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     are passed on, repeated rows are each reported; empty tables give no rows.
     """
     mine, items = _named(docs, items, doc_id, text)
-    out = docs.sparkSession.createDataFrame([], _MATCHES)
-    for block in rare_blocks(mine, items, block_words):
-        out = out.unionByName(mine.mapInArrow(_match_pass(block, similarity), _MATCHES))
-    return out
+    out = None
+    for block, more in _followed(rare_blocks(mine, items, block_words)):
+        found = mine.mapInArrow(_match_pass(block, similarity), _MATCHES)
+        found = materialize(found, "copies") if more or out is not None else found
+        out = found if out is None else out.unionByName(found)
+    return docs.sparkSession.createDataFrame([], _MATCHES) if out is None else out
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of documents, with all columns, that hold no copy of a test item."""
     mine, items = _named(docs, items, "doc_id", "text")
-    for block in rare_blocks(mine, items):
+    for block, more in _followed(rare_blocks(mine, items)):
         docs = docs.mapInArrow(_filter_pass(block, similarity), docs.schema)
+        docs = materialize(docs, "clean") if more else docs
     return docs
+
+
+def _followed(each):
+    """(x, whether another one follows) of every x."""
+    last = next(each, None)
+    for x in each:
+        yield last, True
+        last = x
+    if last is not None:
+        yield last, False

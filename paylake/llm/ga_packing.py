@@ -28,7 +28,8 @@ SEQUENCE = 4096
 SHARD = 4096       # pieces evolved together
 ISLANDS = 2
 EPOCHS = 2         # each ends with a migration
-GENERATIONS = 2
+GENERATIONS = 12   # of an epoch at most: it ends earlier
+PATIENCE = 3       # after so many generations without a better packing
 POPULATION = 4
 CACHED_WORDS = 1_000_000  # a worker's token cache is emptied beyond this
 SLICE_BYTES = 8 << 20   # text encoded at once
@@ -232,7 +233,8 @@ def dissolve(p: Packing, rng: random.Random) -> None:
 
 def evolve(sizes, capacity: int, seed: int, best=None, guest=None, generations: int = GENERATIONS,
            population: int = POPULATION) -> np.ndarray:
-    """Best assignment of one island after some generations, from its own best and a guest."""
+    """Best assignment of one island, from its own best and a guest: generations until the least
+    possible number of bins is reached, or no better packing comes, or there were enough."""
     rng = random.Random(seed)
     people = [_from_assignment(x, sizes, capacity) for x in (best, guest) if x is not None]
     bound = -(-sum(sizes) // capacity)
@@ -242,18 +244,20 @@ def evolve(sizes, capacity: int, seed: int, best=None, guest=None, generations:
         p = Packing(sizes, capacity)
         p.best_fit(order)
         people.append(p)
+    people.sort(key=Packing.fitness)
+    idle = 0
     for _ in range(generations):
-        people.sort(key=Packing.fitness)
-        if len(people[0].bins) <= bound:
+        if len(people[0].bins) <= bound or idle >= PATIENCE:
             break
-        children = []
+        before, children = people[0].fitness(), []
         for _ in range(population // 2):
             a, b = rng.sample(people, 2)
             child = crossover(a, b, rng)
             dissolve(child, rng)
             children.append(child)
         people = sorted(people + children, key=Packing.fitness)[:population]
-    return min(people, key=Packing.fitness).assignment()
+        idle = 0 if people[0].fitness() < before else idle + 1
+    return people[0].assignment()
 
 
 _STATE = "shard bigint, island int, rows binary, sizes binary, best binary"
@@ -312,6 +316,8 @@ def pack(items: DataFrame, capacity: int = SEQUENCE, shard: int = SHARD, islands
     """items (row, length <= capacity) -> (row, sequence_id, offset).
 
     sequence_id is the smallest row in the sequence.  An empty table gives no rows.
+    Poorly filled bins are packed again across shards as long as that fills half of
+    their pieces well; what is left after that stays as its shard packed it.
     """
     spark, done, level = items.sparkSession, None, 0
     while True:
