@@ -92,23 +92,41 @@ def hot_groups(df: DataFrame, t: str, families: dict[str, Frames], bucket_second
     if there are none.  One pass over keys and times counts the buckets of all families,
     combined map-side; a bucket of over half the bound counts with the next one, whose history it is.
     """
+    return survey_groups(df, t, families, None, bucket_seconds, group_rows)[0]
+
+
+def survey_groups(df: DataFrame, t: str, families: dict[str, Frames], size: Column | None, bucket_seconds: int | None = None,
+                  group_rows: int | None = None) -> tuple[dict[str, DataFrame | None], tuple[float | None, float | None]]:
+    """:func:`hot_groups` and the least and greatest value of ``size`` (nulls aside), in the same pass."""
     limit = (GROUP_ROWS if group_rows is None else group_rows) // 2
+    none = F.lit(None).cast("bigint")
     cells = []
     for key, frames in families.items():
         k, kn, tn, second = key_columns(key, t)
         b = F.when(~tn, _bucket(second, _checked_width(frames, bucket_seconds)))
-        cells.append(F.struct(F.lit(key).alias("_family"), k, kn, b.alias("_b")))
-    hot = (df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*").groupBy("_family", *KEY_COLS, "_b")
-           .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit))
+        cells.append(F.struct(F.lit(key).alias("_family"), k, kn, b.alias("_b"), F.lit(None).cast("double").alias("_size")))
+    cells = F.array(*cells)
+    if size is not None:  # one more group, of no family, holds the extremes: a row per task after the map-side combine
+        own = F.struct(F.lit("").alias("_family"), F.lit(0).cast("bigint").alias("_k"), F.lit(False).alias("_kn"),
+                       none.alias("_b"), size.cast("double").alias("_size"))
+        cells = F.when(size.isNull(), cells).otherwise(F.array_append(cells, own))
+    counted = (df.select(F.explode(cells).alias("_c")).select("_c.*").groupBy("_family", *KEY_COLS, "_b")
+               .agg(F.count(F.lit(1)).alias("_n"), F.min("_size").alias("_low"), F.max("_size").alias("_high")))
+    counted = counted.where((F.col("_family") == "") | (F.col("_n") > limit))
     both = F.when(F.col("_b").isNull(), F.array(F.col("_b"))).otherwise(F.array(F.col("_b"), F.col("_b") + 1))
-    hot = hot.select("_family", *KEY_COLS, F.explode(both).alias("_b")).distinct()
-    some = hot.limit(MAX_HOT + 1).collect()  # at most four times as many as there are rows / group_rows
-    found = {r["_family"] for r in some}
-    if len(some) <= MAX_HOT:
-        hot = df.sparkSession.createDataFrame(some, hot.schema)
+    hot = counted.select("_family", *KEY_COLS, F.explode(both).alias("_b"), "_low", "_high").distinct()
+    some = hot.limit(MAX_HOT + 2).collect()  # at most four times as many as there are rows / group_rows
+    whole = len(some) <= MAX_HOT + 1
+    extremes = [r for r in (some if whole else hot.where(F.col("_family") == "").collect()) if r["_family"] == ""]
+    found = set(families)
+    if whole:
+        listed = [r[:-2] for r in some if r["_family"] != ""]
+        found = {r[0] for r in listed}
+        hot = df.sparkSession.createDataFrame(listed, hot.drop("_low", "_high").schema)
     else:
-        found = set(families)
-    return {key: hot.where(F.col("_family") == key).drop("_family") if key in found else None for key in families}
+        hot = hot.drop("_low", "_high")
+    groups = {key: hot.where(F.col("_family") == key).drop("_family") if key in found else None for key in families}
+    return groups, (extremes[0]["_low"], extremes[0]["_high"]) if extremes else (None, None)
 
 
 def _packed(counts: list[str], measures: dict[str, Column]) -> tuple[dict[str, Column], dict[str, tuple[str, int]]]:

@@ -79,6 +79,19 @@ def gold_edge_amounts(spark, sf_dir):
     return out.select("TRANSACTION_ID", *cols)
 
 
+@query
+def gold_exact_amounts(spark, sf_dir):
+    """Customer means of amounts up to 2^73 and down to 1/1024, of both signs (changed by key):
+    where the large ones of a frame cancel, the small ones are left whole."""
+    tx = adapters.events_transactions(spark, sf_dir)
+    i, a = F.col("TRANSACTION_ID"), F.col("TX_AMOUNT")
+    large = F.floor(a * 8) * F.lit(2.0 ** 60)
+    amount = F.when(i % 3 == 0, large).when(i % 3 == 1, -large).otherwise(F.floor(a * 1000) / F.lit(1024.0))
+    out = windows.with_customer_spending(tx.withColumn("TX_AMOUNT", amount))
+    return out.select("TRANSACTION_ID", *[F.col(f"CUSTOMER_ID_AVG_AMOUNT_{n}DAY_WINDOW").alias(f"avg_{n}")
+                                          for n in windows.DEFAULT_WINDOWS])
+
+
 LOOKUP_ID = 777
 
 

@@ -147,6 +147,25 @@ FROM edge
 {CUSTOMER_WINDOWS}
 """
 
+# amounts are whole numbers of 1/1024, so 128-bit integers sum them exactly
+_EXACT_COLS = ",\n  ".join(f"CAST(SUM(part) OVER w{n} AS DOUBLE) / (1024.0::DOUBLE * COUNT(part) OVER w{n}) AS avg_{n}" for n in (1, 7, 30))
+
+SQL["gold_exact_amounts"] = f"""
+WITH {TX},
+exact AS (
+  SELECT TRANSACTION_ID, CUSTOMER_ID, TX_TS,
+         CASE TRANSACTION_ID % 3
+              WHEN 0 THEN CAST(floor(TX_AMOUNT * 8) AS HUGEINT) * (CAST(1 AS HUGEINT) << 70)
+              WHEN 1 THEN -CAST(floor(TX_AMOUNT * 8) AS HUGEINT) * (CAST(1 AS HUGEINT) << 70)
+              ELSE CAST(floor(TX_AMOUNT * 1000) AS HUGEINT) END AS part
+  FROM tx
+)
+SELECT TRANSACTION_ID,
+  {_EXACT_COLS}
+FROM exact
+{CUSTOMER_WINDOWS}
+"""
+
 SQL["point_lookup"] = f"""
 WITH {TX}
 SELECT * FROM (

@@ -185,3 +185,54 @@ def test_hot_group_is_bounded(spark):
     assert "HashAggregate" in _plan(out) and "Join" in _plan(out)
     r = out.agg(F.max("CUSTOMER_ID_NB_TX_1DAY_WINDOW").alias("n"), F.count("*").alias("rows")).first()
     assert (r["n"], r["rows"]) == (100_001, 200_000)  # id 7 is one of the others
+
+
+def exact_means(spec):
+    """Mean of every customer frame over exact fractions, rounded once."""
+    from fractions import Fraction
+
+    def value(a):
+        return Fraction(round(a * 100), 100) if round(a, 2) == a and abs(a) < 9e13 else Fraction(a)
+
+    out = {}
+    for i, s, c, *_ in spec:
+        means = []
+        for n in (1, 7, 30):
+            own = [value(r[4]) for r in spec if r[2] == c and r[4] is not None
+                   and (r[1] == s if s is None or r[1] is None else s - n * DAY <= r[1] <= s)]
+            means.append(float(sum(own) / len(own)) if own else None)
+        out[i] = tuple(means)
+    return out
+
+
+def spread_spec(seed, amount, n=150, keys=3):
+    rnd = random.Random(seed)
+    return [(i, s, c, t, amount(rnd), f) for i, s, c, t, _, f in random_spec(seed, n=n, keys=keys)]
+
+
+@pytest.mark.parametrize("name, amount, group_rows", [
+    ("sub_cent", lambda r: r.uniform(-300, 300), None),
+    ("mixed", lambda r: r.choice([round(r.uniform(-9, 9), 2), r.uniform(-1, 1), None, 0.0, -0.0]), 20),
+    ("eighths", lambda r: r.choice([r.randrange(-900, 900) / 8, 0.1, 12.34]), None),
+    ("cancelling", lambda r: r.choice([1e17, -1e17, 1e17 + 16, 0.1, 1 / 3, 2.5, -1e-9]), 20),
+    ("halves", lambda r: r.choice([2.0 ** 53, 1 + 2.0 ** -52, 2.0 ** -53, 3 * 2.0 ** -54, -2.0 ** -60]), None),
+    ("large_cents", lambda r: r.choice([8.999999999999e13, 7.77e13, -1.5, 2.0 ** 60]), None),
+    ("every_size", lambda r: r.choice([1e300, 5e-324, -1]) * r.uniform(-1, 1) * 2.0 ** r.randrange(-90, 20), None),
+])
+def test_means_are_exact_quotients(spark, name, amount, group_rows):
+    """Equal to the last bit, through running sums as well as pre-aggregated groups."""
+    spec = spread_spec(len(name), amount)
+    got = by_id(windows.with_customer_spending(tx_df(spark, spec), group_rows=group_rows), CUST[1::2])
+    assert got == exact_means(spec)
+
+
+def test_digits_follow_the_amounts(spark):
+    """Whole cents take none; the observed magnitudes of the others give the rest; an empty table has none."""
+    frames = {"CUSTOMER_ID": windows.customer_frames()}
+    cents = windows.add_epoch(tx_df(spark, random_spec(3, n=50)))
+    assert len(windows.survey(cents, frames)[1]) == 0
+    assert windows.survey(cents.withColumn("TX_AMOUNT", F.lit(0.125)), frames)[1] == range(-3, 1)
+    assert len(windows.survey(cents.limit(0), frames)[1]) == 0
+    assert windows.with_customer_spending(cents.limit(0)).count() == 0
+    odd = cents.withColumn("TX_AMOUNT", F.when(F.col("TRANSACTION_ID") % 2 == 0, float("nan")).otherwise(F.lit(0.001)))
+    assert windows.survey(odd, frames)[1] == range(-3, 1)
