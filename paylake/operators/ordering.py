@@ -71,19 +71,26 @@ def dense_index(df: DataFrame, levels: dict[str, Column], order: list[Column], o
             .drop("_base", "_rn", *names, *group))
 
 
+def _in_ranges(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """Rows in ``n`` sorted ranges of ``order``, equal rows by their place in the input."""
+    order = [*order, F.col("_place")]
+    return (df.withColumn("_place", F.monotonically_increasing_id())
+            .repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_place"))
+
+
 def number_rows(df: DataFrame, order: list[Column], out: str) -> DataFrame:
     """Adds ``out``: 0-based position in ``order``, by one range shuffle.
 
-    Rows are range-partitioned on the whole order, so only rows equal in all of
-    it must share a partition; each partition is sorted and its rows numbered.
+    Rows are range-partitioned on the whole order and, as the mutual order of rows equal in
+    all of it is free, on their place in the input, so that a large run of equal rows
+    is split too; each partition is sorted and its rows numbered.
     That is written to the shared scratch folder, which freezes partition and
     place against recomputation; partition sizes (a row per shuffle partition)
     then give every partition its first number.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "numbered")
-    placed = (df.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-              .withColumn("_at", F.monotonically_increasing_id()))
+    placed = _in_ranges(df, order, shuffle_partitions(spark)).withColumn("_at", F.monotonically_increasing_id())
     placed.write.parquet(path)
     # an id holds the partition above 33 bits of the place in it
     back = (spark.read.schema(placed.schema).parquet(path)

@@ -37,3 +37,14 @@ def test_number_rows_of_one_instant(spark):
     out = ordering.number_rows(df, [F.col("t").asc_nulls_first(), F.col("k")], "n")
     assert out.where("k = n").count() == 5000 and out.columns == ["k", "t", "n"]
     assert ordering.number_rows(df.where("false"), [F.col("k")], "n").count() == 0
+
+
+def test_equal_rows_are_split(spark):
+    """Nine rows of ten are equal in every column; no range holds much more than its share, ids stay dense."""
+    df = spark.range(20_000, numPartitions=3).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("v"))
+    order = [F.col("v").asc_nulls_first()]
+    sizes = [r["count"] for r in ordering._in_ranges(df, order, 8).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 5_000
+    rows = sorted((r["at"], r["v"]) for r in ordering.number_rows(df, order, "at").collect())
+    assert [at for at, _ in rows] == list(range(20_000))
+    assert [v for _, v in rows] == sorted(v for _, v in rows)
