@@ -14,15 +14,22 @@ the customer leaves that touch their circle, so a join key holds a bounded
 number of customers and of terminals.  Each pair meets under one key, followed by
 the exact test ``distance < r`` (strict, as the reference).
 
+The pairs of a leaf are counted before they meet, and the tasks are as many as the
+pairs call for; a leaf of too many is dealt into parts of its customers.  Lists of
+ids are built per customer and leaf, without a row per pair.
+
 Counting stops at cells wholly within the circle and takes their number of
 terminals; pairs are expanded only in leaves that the circle cuts.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from paylake.config import shuffle_partitions
 from paylake.functions.geo import distance
 from paylake.operators.sampling import frozen
 
@@ -33,6 +40,10 @@ _EDGE = 1e-6            # part of r by which boxes count as larger, and inner on
 LEVELS = 12             # a finest cell is r / 2^LEVELS wide
 CELL_POINTS = 50_000    # points of a cell that one task joins
 COUNT_POINTS = 256      # points of a cell that a count may test one by one
+TASK_PAIRS = 16_000_000  # pairs that a task tests, on average
+FEW_PAIRS = 1_000_000    # no task is started for fewer
+TASK_ROWS = 500_000      # rows of both sides that a task holds, on average
+CHUNK = 1 << 16          # pairs tested at a time for lists
 _ANY = -1               # level of the customer leaf that stands for all uncrowded cells
 
 
@@ -149,9 +160,14 @@ _LEAF = ["tl", "ti", "tj", "tp"]
 _OWN = ["ul", "ui", "uj", "up"]
 
 
-def _met(customers: DataFrame, terminals: DataFrame, r: float, crowd: DataFrame | None, depth: dict[str, int], points: int,
-         whole: bool = False) -> DataFrame:
-    """Customers joined with the terminals of every leaf they reach, under bounded keys."""
+def _dealt(customers: DataFrame, terminals: DataFrame, r: float, crowd: DataFrame | None, depth: dict[str, int], points: int,
+           whole: bool = False) -> tuple[DataFrame, DataFrame, list[str], int]:
+    """(customers by leaf they reach, terminals, keys, tasks): sides whose rows meet under equal keys.
+
+    Both are counted per leaf first.  A leaf of more than ``TASK_PAIRS`` / 4 pairs is dealt into
+    parts of its customers, each with a copy of its terminals, and there are as many
+    tasks as the pairs call for, however few bytes the sides have.
+    """
     t = _leaf(terminals, "t", "t", crowd, "terminal", depth["terminal"], points)
     c = _reach(customers, "c", "t", r, crowd, "terminal", depth["terminal"], points, whole)
     c = c.where("tn is null").drop("tn") if whole else c
@@ -166,7 +182,34 @@ def _met(customers: DataFrame, terminals: DataFrame, r: float, crowd: DataFrame
         near = t.withColumns({k: F.lit(_ANY if k == "ul" else 0) for k in _OWN})
         t = near.select(*t.columns, *[F.col(k).cast("bigint").alias(k) for k in _OWN]).unionByName(
             far.select(*t.columns, *[F.col(k).cast("bigint").alias(k) for k in _OWN]))
-    return c.join(t.drop("tfx", "tfy"), keys)
+    c, t = (side.withColumns({k: F.col(k).cast("bigint") for k in keys}) for side in (c, t.drop("tfx", "tfy")))
+    c = c.drop("cfx", "cfy")
+
+    limit = TASK_PAIRS // 4
+    leaves = (c.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nc")).join(t.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nt")), keys)
+              .withColumn("_pairs", F.col("_nc") * F.col("_nt")))
+    seen = Observation()
+    leaves = leaves.observe(seen, F.coalesce(F.sum("_pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum(F.col("_nc") + F.col("_nt")), F.lit(0)).alias("rows"),
+                            F.count_if(F.col("_pairs") > limit).alias("large"))
+    parts = F.least(F.ceil(F.col("_pairs") / F.lit(limit)), F.col("_nc")).cast("bigint").alias("_parts")
+    large = frozen(leaves.where(F.col("_pairs") > limit).select(*[F.col(k).alias(f"_{k}") for k in keys], parts), "large-leaves")
+    got = seen.get
+    if got["large"]:
+        same = [F.col(k) == F.col(f"_{k}") for k in keys]
+        c, t = (side.join(large, same, "left").drop(*[f"_{k}" for k in keys]).withColumn("_parts", F.coalesce("_parts", F.lit(1))) for side in (c, t))
+        c = c.withColumn("_part", F.pmod(F.xxhash64("ck", "cx", "cy"), F.col("_parts"))).drop("_parts")
+        t = t.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
+        keys = [*keys, "_part"]
+    tasks = max(min(shuffle_partitions(customers.sparkSession), -(-got["pairs"] // FEW_PAIRS)), -(-got["pairs"] // TASK_PAIRS),
+                -(-got["rows"] // TASK_ROWS), 1)
+    return c, t, keys, tasks
+
+
+def _met(customers: DataFrame, terminals: DataFrame, r: float, crowd: DataFrame | None, depth: dict[str, int], points: int,
+         whole: bool = False) -> DataFrame:
+    """Customers joined with the terminals of every leaf they reach, under bounded keys."""
+    c, t, keys, tasks = _dealt(customers, terminals, r, crowd, depth, points, whole)
+    return c.repartition(tasks, *keys).join(t.repartition(tasks, *keys), keys)
 
 
 def _within(r: float) -> tuple[Column, Column]:
@@ -218,3 +261,53 @@ def available_terminals(customers: DataFrame, pairs: DataFrame, key: str = "CUST
     out = customers.join(lists, key, "left").withColumn(
         "available_terminals", F.coalesce(F.col("available_terminals"), F.array().cast("array<bigint>")))
     return out.withColumn("nb_terminals", F.size("available_terminals").cast("int"))
+
+
+def _near_lists(r: float, keys: list[str]):
+    """Per customer and leaf the ids of the terminals in range: the exact test on blocks of a leaf's pairs."""
+    def run(c: pa.Table, t: pa.Table) -> pa.Table:
+        names = np.stack([np.concatenate([c.column(k).to_numpy(), t.column(k).to_numpy()]) for k in keys], axis=1)
+        code = np.unique(names, axis=0, return_inverse=True)[1].reshape(-1)
+        mine, theirs = code[:c.num_rows], code[c.num_rows:]
+        by_leaf, order = np.argsort(mine, kind="stable"), np.argsort(theirs, kind="stable")
+        cx, cy = (c.column(k).to_numpy()[by_leaf] for k in ("cx", "cy"))
+        tk, tx, ty = (t.column(k).to_numpy()[order] for k in ("tk", "tx", "ty"))
+        mine, theirs = mine[by_leaf], theirs[order]
+        starts = np.flatnonzero(np.diff(mine, prepend=-1))
+        sizes, found = np.zeros(len(mine), np.int64), [np.zeros(0, np.int64)]
+        for a, b in zip(starts, [*starts[1:], len(mine)]):
+            low, high = np.searchsorted(theirs, mine[a], "left"), np.searchsorted(theirs, mine[a], "right")
+            if low == high:
+                continue
+            step = max(1, CHUNK // int(high - low))
+            for i in range(a, b, step):
+                j = min(i + step, b)
+                dx, dy = cx[i:j, None] - tx[low:high], cy[i:j, None] - ty[low:high]
+                near = np.sqrt(dx * dx + dy * dy) < r
+                sizes[i:j] = near.sum(axis=1)
+                found.append(tk[low:high][np.nonzero(near)[1]])
+        some = sizes > 0
+        ends = np.concatenate([[0], np.cumsum(sizes[some])])
+        ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(found), pa.int64()))
+        return pa.table({"ck": c.column("ck").take(pa.array(by_leaf[some])), "ids": ids.cast(pa.list_(pa.int64()))})
+    return run
+
+
+def with_terminal_lists(customers: DataFrame, terminals: DataFrame, r: float, customer_cols=CUSTOMER, terminal_cols=TERMINAL,
+                        points: int = CELL_POINTS) -> DataFrame:
+    """What :func:`available_terminals` gives for :func:`terminals_within_radius`, without a row per pair:
+    tasks of bounded pairs list the ids of a customer and leaf, and a customer's lists are joined."""
+    key = customer_cols[0]
+    c, t = _points(customers, customer_cols, r, "c"), _points(terminals, terminal_cols, r, "t")
+    c, t = c.where("ck is not null"), t.where("tk is not null")
+    crowd, depth = _crowds({"terminal": (t, "t", points), "customer": (c, "c", CELL_POINTS)})
+    c, t, keys, tasks = _dealt(c, t, r, crowd, depth, points)
+    task = F.pmod(F.hash(*keys), F.lit(tasks)).alias("_task")
+    c, t = c.select(task, "ck", "cx", "cy", *keys), t.select(task, F.col("tk").cast("bigint").alias("tk"), "tx", "ty", *keys)
+    # as many groups as tasks, each of a bounded number of rows and pairs
+    c, t = (side.repartition(tasks, "_task").groupBy("_task") for side in (c, t))
+    ids = c.cogroup(t).applyInArrow(_near_lists(float(r), keys), f"ck {customers.schema[key].dataType.simpleString()}, ids array<bigint>")
+    lists = ids.groupBy("ck").agg(F.sort_array(F.flatten(F.collect_list("ids"))).alias("available_terminals"))
+    out = customers.join(lists.withColumnRenamed("ck", key), key, "left").withColumn(
+        "available_terminals", F.coalesce(F.col("available_terminals"), F.array().cast("array<bigint>")))
+    return out.withColumn("nb_terminals", F.size("available_terminals").cast("int"))
