@@ -25,8 +25,7 @@ def customer_profiles(customers: DataFrame, terminals: DataFrame, tx: DataFrame,
                       radius: float = DEFAULT_RADIUS) -> DataFrame:
     """Customer profile table: location, spending estimate, terminals in range."""
     est = stats.customer_profile_estimate(tx)
-    pairs = proximity.terminals_within_radius(customers, terminals, radius)
-    with_lists = proximity.available_terminals(customers, pairs)
+    with_lists = proximity.with_terminal_lists(customers, terminals, radius)
     return with_lists.join(est, "CUSTOMER_ID", "left").select(*[c for c, _ in CUSTOMER_TYPES])
 
 
