@@ -42,6 +42,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(written: DataFrame) -> None:
+    """Delete the files of a materialized table that nothing reads any more."""
+    spark = written.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in written.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def n_partitions(spark: SparkSession) -> int:
     return shuffle_partitions(spark)
 

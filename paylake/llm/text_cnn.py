@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize, pick, release_memory, slices, word_codes
+from .common import discard, materialize, pick, release_memory, slices, word_codes
 
 TABLE = 1 << 15      # rows of the embedding table
 DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
@@ -30,6 +30,8 @@ MAX_CHARS = 20_000   # longer texts are not used for the start
 EPOCHS, BATCH, RATE = 5, 64, 0.01
 EPOCHS_WHOLE = 3     # passes over all labelled rows, whole texts
 PART_ROWS = 8192     # rows, on average, that train one copy of the model between two means
+FEW_LABELLED = 8     # rows of the table, for each that a part trains on, that one task may sort
+SPREAD = 4           # partitions for each part, so that few parts share one
 BLOCK = 256          # rows of the table that are averaged together
 STEPS = 256          # runs of scores to a unit of the logit, for thresholds
 CUT = 0.3            # the calibrated decision threshold of the score
@@ -225,17 +227,26 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict]:
     """(rows, their number by (aside, toxic)): every labelled row that may be learned from, written once.
 
     A row of each id and label, however often it is repeated.  ``part`` deals them into parts of
-    about PART_ROWS, each in one run of rows; ``fold`` 0 is set aside for calibration.
+    about PART_ROWS, each in one run of one file; ``fold`` 0 is set aside for calibration.
     """
-    wanted = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-              .where("toxic in (0, 1) and doc_id is not null").where(~held_out()).distinct())
-    parts = max(1, -(-wanted.count() // PART_ROWS))
-    # texts that may carry a label are moved once, straight to their part, whatever the join's kind
-    rows = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null").where(~held_out())
-    rows = rows.repartition(parts, "doc_id").join(wanted, "doc_id")
-    rows = (rows.groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("row"))
-            .select("doc_id", "row.text", "toxic", "row.lang", F.pmod(F.xxhash64("row.text", F.lit(1)), F.lit(5)).alias("fold"),
-                    F.pmod(F.hash("doc_id"), F.lit(parts)).alias("part")))  # as repartition deals them
+    marks = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+             .where("toxic in (0, 1) and doc_id is not null").where(~held_out()))
+    parts = max(1, -(-marks.distinct().count() // PART_ROWS))
+    # texts that may carry a label are moved once, with the labels and straight to their part, so no join
+    # deals them anew; where labels are few beside the rows, more tasks share the texts
+    tasks = max(parts, -(-docs.count() // (FEW_LABELLED * PART_ROWS)))
+    row = F.when(F.col("text").isNotNull(), F.struct("text", "lang")).alias("row")
+    texts = docs.where("doc_id is not null and text is not null").where(~held_out())
+    both = (texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), row, F.lit(None).cast("int").alias("toxic"))
+            .unionByName(marks.select("doc_id", "toxic"), allowMissingColumns=True))
+    both = both.withColumn("task", F.pmod(F.hash("doc_id"), F.lit(tasks)))
+    found = (both.repartition(SPREAD * tasks, "task").groupBy("task", "doc_id")
+             .agg(F.min("row").alias("row"), *[F.count_if(F.col("toxic") == y).alias(f"of{y}") for y in (0, 1)]).where("row is not null"))
+    given = F.filter(F.array(*[F.when(F.col(f"of{y}") > 0, F.lit(y)) for y in (0, 1)]), lambda y: y.isNotNull())
+    rows = found.select("doc_id", "row.text", F.explode(given).alias("toxic"), "row.lang",
+                        F.pmod(F.xxhash64("row.text", F.lit(1)), F.lit(5)).alias("fold"), F.pmod("task", F.lit(parts)).alias("part"))
+    if tasks > parts:
+        rows = rows.repartition(SPREAD * parts, "part")
     rows = rows.sortWithinPartitions("part", F.xxhash64("doc_id", F.lit(3)), "doc_id", "toxic")
     rows = materialize(rows, "labelled")
     count = {(r["aside"], r["toxic"]): r["n"] for r in
@@ -271,12 +282,14 @@ def _blocks(trainer: Trainer, part: int, rows: int) -> pa.RecordBatch:
     """A trained part's parameters: blocks of the table with the weight of each row, and the rest as block -1."""
     model = trainer.model
     dense = np.concatenate([*[f.ravel() for f in model.filters], model.out, [model.bias]]).astype(np.float32)
-    weight, value = [np.array([rows], np.int64).tobytes()], [dense.tobytes()]
+    block, weight, value = [-1], [np.array([rows], np.int64).tobytes()], [dense.tobytes()]
     for a in range(0, TABLE, BLOCK):
-        weight.append(trainer.moved[a:min(a + BLOCK, TABLE)].tobytes())
-        value.append(model.table[a:min(a + BLOCK, TABLE)].tobytes())
-    n = len(value)
-    return pa.RecordBatch.from_arrays([pa.array(np.arange(-1, n - 1, dtype=np.int32)), pa.array(np.full(n, part, np.int32)),
+        moved = trainer.moved[a:min(a + BLOCK, TABLE)]
+        if moved.any():  # others would weigh nothing
+            block.append(a // BLOCK)
+            weight.append(moved.tobytes())
+            value.append(model.table[a:min(a + BLOCK, TABLE)].tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(np.full(len(block), part, np.int32)),
                                        pa.array(weight, pa.binary()), pa.array(value, pa.binary())], ["block", "part", "weight", "value"])
 
 
@@ -388,6 +401,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
     known = runs.groupBy("lang").agg(F.sum("n").alias("_n"), F.sum("hits").alias("_h")).where("_h >= 20 and _n - _h >= 20").select("lang")
     own = runs.join(known, "lang").groupBy("lang").applyInArrow(of_language, "lang string, threshold double")
     thresholds = {r["lang"]: r["threshold"] for r in own.orderBy("lang").collect()}
+    for written in (rows, runs):
+        discard(written)
     release_memory()  # the driver goes on with later stages
     return model, thresholds
 

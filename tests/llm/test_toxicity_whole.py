@@ -1,11 +1,13 @@
 """The toxicity model learns from every labelled row and from whole texts, also where parts are many."""
 
+import os
 import random
 import zlib
 
 import numpy as np
 import pytest
 
+from paylake.config import checkpoint_root
 from paylake.llm import text_cnn
 
 
@@ -55,3 +57,37 @@ def test_thresholds_count_all_rows_set_aside(spark):
     low, high = np.array([0.1, 0.4, 0.6, 0.9]), np.array([0.2, 0.5, 0.7, 0.95])
     assert text_cnn.best_cut(high, low, np.array([0, 1, 5, 9]), np.array([90, 2, 5, 9])) == pytest.approx(0.3)
     assert text_cnn.best_cut(high, low, np.array([0, 0, 0, 0]), np.array([1, 1, 1, 1])) == 0.5
+
+
+@pytest.mark.parametrize("few", [8, 1])
+def test_a_part_is_one_run_of_one_file_whatever_the_join(spark, monkeypatch, few):
+    """A part spread over files would train, and write, a model in each."""
+    monkeypatch.setattr(text_cnn, "PART_ROWS", 300)
+    monkeypatch.setattr(text_cnn, "FEW_LABELLED", few, raising=False)
+    rng = random.Random(10)
+    docs = spark.createDataFrame([(i, " ".join(prose(rng, 8)), "en") for i in range(4000)], "doc_id bigint, text string, lang string")
+    marks = spark.createDataFrame([(i, y) for i in range(1500) for y in {i % 3 == 0, i % 50 == 0}], "doc_id bigint, toxic boolean")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        rows, count = text_cnn._labelled(docs, marks.unionByName(marks))
+        files = rows.select("part", text_cnn.F.input_file_name().alias("file")).distinct().groupBy("part").agg(text_cnn.F.count("*").alias("n")).collect()
+        models = rows.select("part", "text", "toxic").mapInArrow(text_cnn._train_parts(text_cnn.Model()), text_cnn._MIXED).where("block = -1").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(files) > 2 and {f["n"] for f in files} == {1} and models == len(files)
+    want = sorted((i, int(y)) for i in range(1500) if not held(i) for y in {i % 3 == 0, i % 50 == 0})
+    assert sorted((r["doc_id"], r["toxic"]) for r in rows.collect()) == want
+    assert sum(count.values()) == len(want)
+
+
+def test_fit_leaves_no_scratch(spark):
+    """The labelled texts are not needed once the model is there."""
+    root = checkpoint_root(spark).removeprefix("file://").removeprefix("file:")
+    rows = [(i, "bad word" if i % 2 else "good word", "en") for i in range(40)]
+    before = set(os.listdir(f"{root}/paylake")) if os.path.exists(f"{root}/paylake") else set()
+    text_cnn.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"),
+                 spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int"))
+    assert set(os.listdir(f"{root}/paylake")) == before
