@@ -31,7 +31,6 @@ EPOCHS, BATCH, RATE = 5, 64, 0.01
 EPOCHS_WHOLE = 3     # passes over all labelled rows, whole texts
 PART_ROWS = 8192     # rows, on average, that train one copy of the model between two means
 FEW_LABELLED = 8     # rows of the table, for each that a part trains on, that one task may sort
-SPREAD = 4           # partitions for each part, so that few parts share one
 BLOCK = 256          # rows of the table that are averaged together
 STEPS = 256          # runs of scores to a unit of the logit, for thresholds
 CUT = 0.3            # the calibrated decision threshold of the score
@@ -240,13 +239,13 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict]:
     both = (texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), row, F.lit(None).cast("int").alias("toxic"))
             .unionByName(marks.select("doc_id", "toxic"), allowMissingColumns=True))
     both = both.withColumn("task", F.pmod(F.hash("doc_id"), F.lit(tasks)))
-    found = (both.repartition(SPREAD * tasks, "task").groupBy("task", "doc_id")
+    found = (both.repartitionById(tasks, F.col("task")).groupBy("task", "doc_id")
              .agg(F.min("row").alias("row"), *[F.count_if(F.col("toxic") == y).alias(f"of{y}") for y in (0, 1)]).where("row is not null"))
     given = F.filter(F.array(*[F.when(F.col(f"of{y}") > 0, F.lit(y)) for y in (0, 1)]), lambda y: y.isNotNull())
     rows = found.select("doc_id", "row.text", F.explode(given).alias("toxic"), "row.lang",
                         F.pmod(F.xxhash64("row.text", F.lit(1)), F.lit(5)).alias("fold"), F.pmod("task", F.lit(parts)).alias("part"))
     if tasks > parts:
-        rows = rows.repartition(SPREAD * parts, "part")
+        rows = rows.repartitionById(parts, F.col("part"))
     rows = rows.sortWithinPartitions("part", F.xxhash64("doc_id", F.lit(3)), "doc_id", "toxic")
     rows = materialize(rows, "labelled")
     count = {(r["aside"], r["toxic"]): r["n"] for r in
