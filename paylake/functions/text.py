@@ -12,5 +12,6 @@ NUMPY_INT_PATTERN = r"np\.int64\((-?\d+)\)"
 
 def parse_id_list(text: Column, element_type: str = "bigint", strict: bool = False) -> Column:
     """``"[1, 2]"`` / ``"[np.int64(1)]"`` / ``"[]"`` -> array; malformed -> NULL, or raises if ``strict``."""
-    cleaned = F.regexp_replace(text, NUMPY_INT_PATTERN, "$1")
+    # lists of plain integers are not searched by the pattern
+    cleaned = F.when(F.contains(text, F.lit("np.int64(")), F.regexp_replace(text, NUMPY_INT_PATTERN, "$1")).otherwise(text)
     return F.from_json(cleaned, f"array<{element_type}>", {"mode": "FAILFAST"} if strict else None)

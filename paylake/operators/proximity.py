@@ -15,8 +15,12 @@ number of customers and of terminals.  Each pair meets under one key, followed b
 the exact test ``distance < r`` (strict, as the reference).
 
 The pairs of a leaf are counted before they meet, and the tasks are as many as the
-pairs call for; a leaf of too many is dealt into parts of its customers.  Lists of
-ids are built per customer and leaf, without a row per pair.
+pairs call for; a leaf of too many is dealt into parts of its customers.
+
+Lists of ids are built without a row per pair, and where they are built they stay: a
+customer whose id is its own and who has no crowded cell around lies in one cell, to which
+the terminals of the 3x3 cells are copied, so one task lists all its terminals in order and no
+list is shuffled.  The others have a list per leaf, which are shuffled by id and joined.
 
 Counting stops at cells wholly within the circle and takes their number of
 terminals; pairs are expanded only in leaves that the circle cuts.
@@ -28,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylake.config import shuffle_partitions
 from paylake.functions.geo import distance
@@ -47,14 +52,20 @@ CHUNK = 1 << 16          # pairs tested at a time for lists
 _ANY = -1               # level of the customer leaf that stands for all uncrowded cells
 
 
-def _points(df: DataFrame, cols, r: float, prefix: str) -> DataFrame:
-    """(id, x, y, fx, fy): points with both coordinates and their finest cell."""
+def _placed(cols, r: float) -> Column:
+    """Whether both coordinates are numbers that cells can tell apart; not so for NULL, NaN and infinity."""
+    most = F.lit(float(r) * _CELL_SLACK / (1 << LEVELS) * 2.0 ** 62)
+    x, y = (F.coalesce(F.abs(F.col(c).cast("double")) < most, F.lit(False)) for c in cols)
+    return x & y
+
+
+def _points(df: DataFrame, cols, r: float, prefix: str, *more: Column) -> DataFrame:
+    """(id, x, y, fx, fy, more): points with both coordinates and their finest cell."""
     key, x, y = cols
     width = float(r) * _CELL_SLACK / (1 << LEVELS)
     # the shifts that give coarser cells keep cells nested exactly
-    out = df.select(F.col(key).alias(f"{prefix}k"), F.col(x).cast("double").alias(f"{prefix}x"), F.col(y).cast("double").alias(f"{prefix}y"))
-    near = [F.abs(F.col(f"{prefix}{c}")) < F.lit(width * 2.0 ** 62) for c in "xy"]  # also drops NULL, NaN and infinity
-    return out.where(near[0] & near[1]).select("*", *[F.floor(F.col(f"{prefix}{c}") / F.lit(width)).cast("bigint").alias(f"{prefix}f{c}") for c in "xy"])
+    out = df.where(_placed(cols[1:], r)).select(F.col(key).alias(f"{prefix}k"), F.col(x).cast("double").alias(f"{prefix}x"), F.col(y).cast("double").alias(f"{prefix}y"), *more)
+    return out.select("*", *[F.floor(F.col(f"{prefix}{c}") / F.lit(width)).cast("bigint").alias(f"{prefix}f{c}") for c in "xy"])
 
 
 def _at(finest: str, level) -> Column:
@@ -62,6 +73,12 @@ def _at(finest: str, level) -> Column:
     return F.expr(f"shiftright({finest}, {LEVELS} - ({level}))")
 
 
+def _around(i, j) -> Column:
+    """The 3x3 cells around a cell, as an array of (_x, _y)."""
+    i, j = (F.col(v) if isinstance(v, str) else v for v in (i, j))
+    return F.array(*[F.struct((i + a).alias("_x"), (j + b).alias("_y")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+
+
 def _crowds(sides: dict[str, tuple[DataFrame, str, int]]) -> tuple[DataFrame | None, dict[str, int]]:
     """(side, level, ix, iy, n) of the cells of more than a side's bound, written once, and per side
     the number of levels at which there are some; no table if there are none."""
@@ -184,15 +201,21 @@ def _dealt(customers: DataFrame, terminals: DataFrame, r: float, crowd: DataFram
             far.select(*t.columns, *[F.col(k).cast("bigint").alias(k) for k in _OWN]))
     c, t = (side.withColumns({k: F.col(k).cast("bigint") for k in keys}) for side in (c, t.drop("tfx", "tfy")))
     c = c.drop("cfx", "cfy")
+    return _deal(c, t, keys)
+
 
+def _deal(c: DataFrame, t: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, list[str], int]:
+    """Sides that meet under equal keys, with keys that bound the pairs and customers of each, and the number of tasks."""
     limit = TASK_PAIRS // 4
-    leaves = (c.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nc")).join(t.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nt")), keys)
+    leaves = (c.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nc"))
+              .join(t.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nt")), keys, "left").na.fill(0, ["_nt"])
               .withColumn("_pairs", F.col("_nc") * F.col("_nt")))
+    many = (F.col("_pairs") > limit) | (F.col("_nc") > TASK_ROWS)
     seen = Observation()
     leaves = leaves.observe(seen, F.coalesce(F.sum("_pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum(F.col("_nc") + F.col("_nt")), F.lit(0)).alias("rows"),
-                            F.count_if(F.col("_pairs") > limit).alias("large"))
-    parts = F.least(F.ceil(F.col("_pairs") / F.lit(limit)), F.col("_nc")).cast("bigint").alias("_parts")
-    large = frozen(leaves.where(F.col("_pairs") > limit).select(*[F.col(k).alias(f"_{k}") for k in keys], parts), "large-leaves")
+                            F.count_if(many).alias("large"))
+    parts = F.least(F.ceil(F.greatest(F.col("_pairs") / F.lit(limit), F.col("_nc") / F.lit(TASK_ROWS))), F.col("_nc")).cast("bigint").alias("_parts")
+    large = frozen(leaves.where(many).select(*[F.col(k).alias(f"_{k}") for k in keys], parts), "large-leaves")
     got = seen.get
     if got["large"]:
         same = [F.col(k) == F.col(f"_{k}") for k in keys]
@@ -200,7 +223,7 @@ def _dealt(customers: DataFrame, terminals: DataFrame, r: float, crowd: DataFram
         c = c.withColumn("_part", F.pmod(F.xxhash64("ck", "cx", "cy"), F.col("_parts"))).drop("_parts")
         t = t.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
         keys = [*keys, "_part"]
-    tasks = max(min(shuffle_partitions(customers.sparkSession), -(-got["pairs"] // FEW_PAIRS)), -(-got["pairs"] // TASK_PAIRS),
+    tasks = max(min(shuffle_partitions(c.sparkSession), -(-got["pairs"] // FEW_PAIRS)), -(-got["pairs"] // TASK_PAIRS),
                 -(-got["rows"] // TASK_ROWS), 1)
     return c, t, keys, tasks
 
@@ -263,15 +286,17 @@ def available_terminals(customers: DataFrame, pairs: DataFrame, key: str = "CUST
     return out.withColumn("nb_terminals", F.size("available_terminals").cast("int"))
 
 
-def _near_lists(r: float, keys: list[str]):
-    """Per customer and leaf the ids of the terminals in range: the exact test on blocks of a leaf's pairs."""
+def _near_lists(r: float, keys: list[str], name: str, empty: bool):
+    """(name, ids) per customer and leaf: its column ``name`` and the sorted ids of the terminals in range, by the
+    exact test on blocks of a leaf's pairs; customers without any if ``empty``."""
     def run(c: pa.Table, t: pa.Table) -> pa.Table:
         names = np.stack([np.concatenate([c.column(k).to_numpy(), t.column(k).to_numpy()]) for k in keys], axis=1)
         code = np.unique(names, axis=0, return_inverse=True)[1].reshape(-1)
         mine, theirs = code[:c.num_rows], code[c.num_rows:]
-        by_leaf, order = np.argsort(mine, kind="stable"), np.argsort(theirs, kind="stable")
+        tk = t.column("tk").to_numpy()
+        by_leaf, order = np.argsort(mine, kind="stable"), np.lexsort((tk, theirs))
         cx, cy = (c.column(k).to_numpy()[by_leaf] for k in ("cx", "cy"))
-        tk, tx, ty = (t.column(k).to_numpy()[order] for k in ("tk", "tx", "ty"))
+        tk, tx, ty = tk[order], *(t.column(k).to_numpy()[order] for k in ("tx", "ty"))
         mine, theirs = mine[by_leaf], theirs[order]
         starts = np.flatnonzero(np.diff(mine, prepend=-1))
         sizes, found = np.zeros(len(mine), np.int64), [np.zeros(0, np.int64)]
@@ -285,29 +310,62 @@ def _near_lists(r: float, keys: list[str]):
                 dx, dy = cx[i:j, None] - tx[low:high], cy[i:j, None] - ty[low:high]
                 near = np.sqrt(dx * dx + dy * dy) < r
                 sizes[i:j] = near.sum(axis=1)
-                found.append(tk[low:high][np.nonzero(near)[1]])
-        some = sizes > 0
+                found.append(np.broadcast_to(tk[low:high], near.shape)[near])
+        some = (sizes > 0) | empty
         ends = np.concatenate([[0], np.cumsum(sizes[some])])
         ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(found), pa.int64()))
-        return pa.table({"ck": c.column("ck").take(pa.array(by_leaf[some])), "ids": ids.cast(pa.list_(pa.int64()))})
+        return pa.table({name: c.column(name).take(pa.array(by_leaf[some])), "ids": ids.cast(pa.list_(pa.int64()))})
     return run
 
 
+def _listed(c: DataFrame, t: DataFrame, keys: list[str], tasks: int, r: float, name: str, empty: bool) -> DataFrame:
+    task = F.pmod(F.hash(*keys), F.lit(tasks)).alias("_task")
+    schema = T.StructType([T.StructField(name, c.schema[name].dataType), T.StructField("ids", T.ArrayType(T.LongType()))])
+    c, t = c.select(task, *dict.fromkeys([name, "cx", "cy", *keys])), t.select(task, F.col("tk").cast("bigint").alias("tk"), "tx", "ty", *keys)
+    # as many groups as tasks, each of a bounded number of rows and pairs
+    c, t = (side.repartition(tasks, "_task").groupBy("_task") for side in (c, t))
+    return c.cogroup(t).applyInArrow(_near_lists(float(r), keys, name, empty), schema)
+
+
+def _joined_lists(customers: DataFrame, t: DataFrame, r: float, customer_cols, points: int) -> DataFrame:
+    """Customers and their ids, lists of a leaf joined by customer id."""
+    key = customer_cols[0]
+    c = _points(customers, customer_cols, r, "c").where("ck is not null")
+    crowd, depth = _crowds({"terminal": (t, "t", points), "customer": (c, "c", CELL_POINTS)})
+    ids = _listed(*_dealt(c, t, r, crowd, depth, points), r, "ck", False)
+    lists = ids.groupBy("ck").agg(F.sort_array(F.flatten(F.collect_list("ids"))).alias("ids"))
+    return customers.join(lists.withColumnRenamed("ck", key), key, "left").select(*customers.columns, "ids")
+
+
 def with_terminal_lists(customers: DataFrame, terminals: DataFrame, r: float, customer_cols=CUSTOMER, terminal_cols=TERMINAL,
                         points: int = CELL_POINTS) -> DataFrame:
     """What :func:`available_terminals` gives for :func:`terminals_within_radius`, without a row per pair:
-    tasks of bounded pairs list the ids of a customer and leaf, and a customer's lists are joined."""
+    tasks of bounded pairs list the ids of a customer.  Only customers whose id repeats or who are near a
+    crowded cell have their lists shuffled and joined."""
     key = customer_cols[0]
-    c, t = _points(customers, customer_cols, r, "c"), _points(terminals, terminal_cols, r, "t")
-    c, t = c.where("ck is not null"), t.where("tk is not null")
-    crowd, depth = _crowds({"terminal": (t, "t", points), "customer": (c, "c", CELL_POINTS)})
-    c, t, keys, tasks = _dealt(c, t, r, crowd, depth, points)
-    task = F.pmod(F.hash(*keys), F.lit(tasks)).alias("_task")
-    c, t = c.select(task, "ck", "cx", "cy", *keys), t.select(task, F.col("tk").cast("bigint").alias("tk"), "tx", "ty", *keys)
-    # as many groups as tasks, each of a bounded number of rows and pairs
-    c, t = (side.repartition(tasks, "_task").groupBy("_task") for side in (c, t))
-    ids = c.cogroup(t).applyInArrow(_near_lists(float(r), keys), f"ck {customers.schema[key].dataType.simpleString()}, ids array<bigint>")
-    lists = ids.groupBy("ck").agg(F.sort_array(F.flatten(F.collect_list("ids"))).alias("available_terminals"))
-    out = customers.join(lists.withColumnRenamed("ck", key), key, "left").withColumn(
-        "available_terminals", F.coalesce(F.col("available_terminals"), F.array().cast("array<bigint>")))
+    t = _points(terminals, terminal_cols, r, "t").where("tk is not null")
+    crowd, depth = _crowds({"terminal": (t, "t", points)})
+    rows = customers.select(F.struct(*[F.col(f"`{f}`") for f in customers.columns]).alias("_row"), *[F.col(f).alias(f) for f in customer_cols])
+    repeated = customers.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_rk")).agg(F.count(F.lit(1)).alias("_rn")).where("_rn > 1").drop("_rn")
+    alone = F.col(key).isNotNull()
+    if not repeated.isEmpty():
+        rows = rows.join(repeated, F.col(key) == F.col("_rk"), "left")
+        alone = alone & F.col("_rk").isNull()
+    c = _points(rows.where(alone), customer_cols, r, "c", F.col("_row"))
+    others = rows.where(~(alone & _placed(customer_cols[1:], r))).select("_row.*")
+    if depth["terminal"]:
+        crowded = (_level(crowd, "terminal", 0).select(F.explode(_around("_cx", "_cy")).alias("_at")).select("_at.*").distinct())
+        c = c.join(crowded, (_at("cfx", 0) == F.col("_x")) & (_at("cfy", 0) == F.col("_y")), "left")
+        others = others.unionAll(c.where("_x is not null").select("_row.*"))
+        c = c.where("_x is null").drop("_x", "_y")
+    if depth["terminal"] or "_rk" in rows.columns:
+        others = _joined_lists(others, t, r, customer_cols, points)
+    else:
+        others = others.withColumn("ids", F.lit(None).cast("array<bigint>"))  # customers without id or place
+    # a customer has one cell, the terminals a copy in each cell around theirs
+    c = c.select("*", _at("cfx", 0).alias("_x"), _at("cfy", 0).alias("_y"))
+    near = t.withColumn("_at", F.explode(_around(_at("tfx", 0), _at("tfy", 0)))).select("tk", "tx", "ty", "_at.*")
+    own = _listed(*_deal(c, near, ["_x", "_y"]), r, "_row", True).select("_row.*", "ids")
+    ids = F.coalesce(F.col("ids"), F.array().cast("array<bigint>")).alias("available_terminals")
+    out = own.unionAll(others).select(*[F.col(f"`{f}`") for f in customers.columns], ids)
     return out.withColumn("nb_terminals", F.size("available_terminals").cast("int"))

@@ -196,7 +196,9 @@ def silver_customers(spark, sf_dir):
 def silver_customer_terminals(spark, sf_dir):
     """List text (plain and numpy-style) parsed back to ids, one row per pair."""
     silver = conform.conform(jobs.bronze_customers(spark, sf_dir), "customers")
-    return silver.select("CUSTOMER_ID", F.explode("available_terminals").alias("TERMINAL_ID"))
+    # the outer form keeps Spark from parsing each list twice more to filter out empty ones first
+    pairs = silver.select("CUSTOMER_ID", F.posexplode_outer("available_terminals").alias("_place", "TERMINAL_ID"))
+    return pairs.where(F.col("_place").isNotNull()).drop("_place")
 
 
 @query

@@ -25,8 +25,9 @@ def customer_profiles(customers: DataFrame, terminals: DataFrame, tx: DataFrame,
                       radius: float = DEFAULT_RADIUS) -> DataFrame:
     """Customer profile table: location, spending estimate, terminals in range."""
     est = stats.customer_profile_estimate(tx)
-    with_lists = proximity.with_terminal_lists(customers, terminals, radius)
-    return with_lists.join(est, "CUSTOMER_ID", "left").select(*[c for c, _ in CUSTOMER_TYPES])
+    # estimates first, so that no list is shuffled for them
+    profiles = customers.join(est, "CUSTOMER_ID", "left")
+    return proximity.with_terminal_lists(profiles, terminals, radius).select(*[c for c, _ in CUSTOMER_TYPES])
 
 
 def terminal_profiles(terminals: DataFrame) -> DataFrame:

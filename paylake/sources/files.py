@@ -23,12 +23,13 @@ CORRUPT = "_corrupt_record"
 def list_text(arr: Column, numpy_style: Column | None = None) -> Column:
     """array<bigint> -> Python list text: ``[1, 2]``; or ``[np.int64(1), np.int64(2)]``
     where ``numpy_style`` is true (how numpy >= 2 prints its integers)."""
-    plain = F.concat(F.lit("["), F.array_join(arr.cast("array<string>"), ", "), F.lit("]"))
+    ids = arr.cast("array<string>")
+    plain = F.concat(F.lit("["), F.array_join(ids, ", "), F.lit("]"))
     if numpy_style is None:
         return plain
-    wrapped = F.concat(F.lit("["), F.array_join(
-        F.transform(arr, lambda x: F.concat(F.lit("np.int64("), x.cast("string"), F.lit(")"))), ", "), F.lit("]"))
-    return F.when(numpy_style, wrapped).otherwise(plain)
+    # the wrapping is the separator, so no function is called per id; lists without any id have none to wrap
+    wrapped = F.concat(F.lit("[np.int64("), F.array_join(ids, "), np.int64("), F.lit(")]"))
+    return F.when(numpy_style & F.array_max(arr).isNotNull(), wrapped).otherwise(plain)
 
 
 def to_text(df: DataFrame, overrides: dict[str, Column] | None = None) -> DataFrame:
