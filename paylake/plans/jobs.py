@@ -115,7 +115,7 @@ def gold_job(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "
     """L3: silver transactions -> gold feature table (24 columns), clustered by transaction id."""
     silver = tables.read_table(spark, names.name("transactions", "silver"))
     return tables.save_table(windows.gold_features(silver), names.name("transactions", "gold"), fmt,
-                             cluster_by="TRANSACTION_ID")
+                             cluster_by="TRANSACTION_ID", ranges_from=silver)
 
 
 def _with_bucket(gold: DataFrame) -> DataFrame:

@@ -9,18 +9,23 @@ removed; one is kept by default for readers that planned before the move.  If th
 columns change, the catalog entry is replaced, which is not atomic.
 
 ``cluster_by`` range-sorts a version by a column and writes Bloom filters for it,
-so a lookup by that column skips row groups by their ranges and filters.
+so a lookup by that column skips row groups by their ranges and filters.  Spark finds
+ranges by running the rows' whole plan once more; where ``ranges_from`` has the same
+numeric column at a lower price, they are its quantiles.
 
 The table format is a parameter (default parquet).
 """
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylake.config import checkpoint_root, shuffle_partitions
 
@@ -99,8 +104,24 @@ def _create(spark: SparkSession, name: str, version: str, fmt: str, df: DataFram
         spark.conf.set(setting, before)
 
 
+def _ranged(df: DataFrame, column: str, ranges_from: DataFrame | None) -> DataFrame:
+    """As many parts as a shuffle has, each a range of the column in order; nulls and NaN lie in one part."""
+    parts = max(shuffle_partitions(df.sparkSession), 1)
+    key = F.col(f"`{column}`")
+    numeric = isinstance(df.schema[column].dataType, T.NumericType)
+    if ranges_from is None or not numeric or parts == 1:
+        return df.repartitionByRange(parts, key).sortWithinPartitions(key)
+    cuts = ranges_from.select(key.cast("double").alias("_at")).approxQuantile("_at", [i / parts for i in range(1, parts)], 0.1 / parts)
+    ends = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
+    ranges = Bucketizer(splits=ends if len(ends) > 2 else [-math.inf, 0.0, math.inf], inputCol="_at", outputCol="_part", handleInvalid="keep")
+    placed = ranges.transform(df.withColumn("_at", key.cast("double")))
+    part = F.coalesce(F.col("_part"), F.lit(0)).cast("int") % F.lit(parts)
+    return placed.repartitionById(parts, part).drop("_at", "_part").sortWithinPartitions(key)
+
+
 def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None,
-               partition_by: list[str] | None = None, cluster_by: str | None = None, keep: int = 1) -> str:
+               partition_by: list[str] | None = None, cluster_by: str | None = None, keep: int = 1,
+               ranges_from: DataFrame | None = None) -> str:
     """Full-overwrite save into the catalog as a new version below ``path``; returns the name."""
     spark = df.sparkSession
     root = (path or table_root(spark, name)).rstrip("/")
@@ -108,8 +129,7 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None
     number = int(m[1]) if former and (m := _VERSION.search(former)) else max(versions(spark, root), default=0)
     version = f"{root}/v-{number + 1:06d}-{uuid.uuid4().hex[:12]}"
     if cluster_by:
-        parts = max(shuffle_partitions(spark), 1)
-        df = df.repartitionByRange(parts, F.col(cluster_by)).sortWithinPartitions(cluster_by)
+        df = _ranged(df, cluster_by, ranges_from)
     writer = df.write.format(fmt)
     if cluster_by and fmt == "parquet":
         writer = (writer.option(f"parquet.bloom.filter.enabled#{cluster_by}", "true")

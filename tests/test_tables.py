@@ -118,6 +118,29 @@ def test_clustered_lookup_reads_few_row_groups(spark, db):
     assert scanned(one(near, total + 5)) == 0 and spark.table(near).count() == total
 
 
+def test_ranges_from_a_cheaper_frame_run_the_rows_once(spark, db):
+    """Ranges come from the other frame's quantiles; every row is made once, ids may be null or repeat."""
+    ids = [None if i % 37 == 0 else i % 300 * (1 << 40) for i in range(400)]
+    made = spark.sparkContext.accumulator(0)
+
+    def make(i):
+        made.add(1)
+        return (i, "x")
+
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(ids, 4).map(make), "id bigint, v string")
+    cheap = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    name = tables.table_name("ranged", db)
+    tables.save_table(rows, name, path=scratch_dir(spark, "ranged"), cluster_by="id", ranges_from=cheap)
+    assert made.value == 400
+    back = spark.table(name)
+    assert sorted(map(str, (r.id for r in back.collect()))) == sorted(map(str, ids))
+    spans = sorted(tuple(r) for r in back.where("id is not null").groupBy("_metadata.file_path").agg(F.min("id"), F.max("id")).drop("file_path").collect())
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    for odd in (cheap.where("false"), cheap.where("id is null")):
+        tables.save_table(rows, name, path=scratch_dir(spark, "ranged"), cluster_by="id", ranges_from=odd)
+        assert spark.table(name).count() == 400
+
+
 def test_malformed_rows_are_kept_and_quarantined(spark):
     columns = [c for c, _ in TRANSACTION_TYPES]
     good = "1,2024-01-01 00:00:05,7,3,12.5,5,0,0,0"
