@@ -21,6 +21,9 @@ Lists of ids are built without a row per pair, and where they are built they sta
 customer whose id is its own and who has no crowded cell around lies in one cell, to which
 the terminals of the 3x3 cells are copied, so one task lists all its terminals in order and no
 list is shuffled.  The others have a list per leaf, which are shuffled by id and joined.
+A cell of many pairs is cut in 4, 16, .., and terminals go to the parts that their circle touches.
+Tasks give the lists of neighbours one after the other: these differ in few ids, so that a
+file's compression leaves little of them.
 
 Counting stops at cells wholly within the circle and takes their number of
 terminals; pairs are expanded only in leaves that the circle cuts.
@@ -28,6 +31,8 @@ terminals; pairs are expanded only in leaves that the circle cuts.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
@@ -49,6 +54,7 @@ TASK_PAIRS = 16_000_000  # pairs that a task tests, on average
 FEW_PAIRS = 1_000_000    # no task is started for fewer
 TASK_ROWS = 500_000      # rows of both sides that a task holds, on average
 CHUNK = 1 << 16          # pairs tested at a time for lists
+CUT_LEVELS = 4           # a cell is cut in 4^CUT_LEVELS at most
 _ANY = -1               # level of the customer leaf that stands for all uncrowded cells
 
 
@@ -286,16 +292,55 @@ def available_terminals(customers: DataFrame, pairs: DataFrame, key: str = "CUST
     return out.withColumn("nb_terminals", F.size("available_terminals").cast("int"))
 
 
+def _cut(c: DataFrame, t: DataFrame, r: float) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Customers by cell (_x, _y) and terminals copied to the 3x3 cells around them, with keys of smaller cells
+    where a cell holds more pairs than a key may."""
+    limit = TASK_PAIRS // 4
+    pairs = F.col("_nc") * F.col("_nt")
+    # terminals within r of a cell r / 2^l wide lie on (pi + 4 / 2^l + 1 / 4^l) r^2 of the 9 r^2 around
+    level = F.coalesce(*[F.when(pairs * F.lit((math.pi + 4 / 2 ** n + 1 / 4 ** n) / 9 / 4 ** n) <= F.lit(limit), n) for n in range(1, CUT_LEVELS)],
+                       F.lit(CUT_LEVELS))
+    cells = (c.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_nc"))
+             .join(t.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_nt")), ["_x", "_y"]))
+    seen = Observation()
+    large = cells.where(pairs > limit).select("_x", "_y", level.alias("_l")).observe(seen, F.count(F.lit(1)).alias("cells"))
+    large = frozen(large, "cut-cells")
+    if not seen.get["cells"]:
+        return c, t, ["_x", "_y"]
+    c, t = (side.join(large, ["_x", "_y"], "left").withColumn("_l", F.coalesce(F.col("_l"), F.lit(0))) for side in (c, t))
+    c = c.select("*", _at("cfx", "_l").alias("_i"), _at("cfy", "_l").alias("_j")).drop("_x", "_y")
+    for at, part in (("_x", "_i"), ("_y", "_j")):
+        low = F.expr(f"shiftleft({at}, _l)")
+        t = t.withColumn(part, F.explode(F.sequence(low, low + F.expr("shiftleft(1L, _l)") - 1)))
+    # finest cells between a terminal and a smaller cell, less two for rounding: whole numbers, exact at any place
+    first, wide = (lambda part: F.expr(f"shiftleft({part}, {LEVELS} - _l)")), F.expr(f"shiftleft(1L, {LEVELS} - _l)")
+    dx, dy = (F.greatest(first(part) - F.col(f), F.col(f) - first(part) - wide + 1, F.lit(2)) - 2 for f, part in (("tfx", "_i"), ("tfy", "_j")))
+    t = t.where(dx * dx + dy * dy < F.lit(1 << 2 * LEVELS)).drop("_x", "_y")
+    c, t = (side.withColumn("_l", F.col("_l").cast("bigint")) for side in (c, t))
+    return c, t, ["_l", "_i", "_j"]
+
+
+def _neighbourly(x: np.ndarray, y: np.ndarray, r: float) -> np.ndarray:
+    """A number per point by which points close to each other mostly follow each other (Z-order within 2 r)."""
+    out = np.zeros(len(x), np.int64)
+    for shift, v in enumerate((x, y)):
+        place = np.floor(v / (r / (1 << LEVELS))).astype(np.int64)
+        for bit in range(LEVELS + 1):
+            out |= ((place >> bit) & 1) << (2 * bit + shift)
+    return out
+
+
 def _near_lists(r: float, keys: list[str], name: str, empty: bool):
     """(name, ids) per customer and leaf: its column ``name`` and the sorted ids of the terminals in range, by the
-    exact test on blocks of a leaf's pairs; customers without any if ``empty``."""
+    exact test on blocks of a leaf's pairs, neighbours after each other; customers without any if ``empty``."""
     def run(c: pa.Table, t: pa.Table) -> pa.Table:
         names = np.stack([np.concatenate([c.column(k).to_numpy(), t.column(k).to_numpy()]) for k in keys], axis=1)
         code = np.unique(names, axis=0, return_inverse=True)[1].reshape(-1)
         mine, theirs = code[:c.num_rows], code[c.num_rows:]
         tk = t.column("tk").to_numpy()
-        by_leaf, order = np.argsort(mine, kind="stable"), np.lexsort((tk, theirs))
-        cx, cy = (c.column(k).to_numpy()[by_leaf] for k in ("cx", "cy"))
+        cx, cy = (c.column(k).to_numpy() for k in ("cx", "cy"))
+        by_leaf, order = np.lexsort((_neighbourly(cx, cy, r), mine)), np.lexsort((tk, theirs))
+        cx, cy = cx[by_leaf], cy[by_leaf]
         tk, tx, ty = tk[order], *(t.column(k).to_numpy()[order] for k in ("tx", "ty"))
         mine, theirs = mine[by_leaf], theirs[order]
         starts = np.flatnonzero(np.diff(mine, prepend=-1))
@@ -364,8 +409,8 @@ def with_terminal_lists(customers: DataFrame, terminals: DataFrame, r: float, cu
         others = others.withColumn("ids", F.lit(None).cast("array<bigint>"))  # customers without id or place
     # a customer has one cell, the terminals a copy in each cell around theirs
     c = c.select("*", _at("cfx", 0).alias("_x"), _at("cfy", 0).alias("_y"))
-    near = t.withColumn("_at", F.explode(_around(_at("tfx", 0), _at("tfy", 0)))).select("tk", "tx", "ty", "_at.*")
-    own = _listed(*_deal(c, near, ["_x", "_y"]), r, "_row", True).select("_row.*", "ids")
+    near = t.withColumn("_at", F.explode(_around(_at("tfx", 0), _at("tfy", 0)))).select("tk", "tx", "ty", "tfx", "tfy", "_at.*")
+    own = _listed(*_deal(*_cut(c, near, r)), r, "_row", True).select("_row.*", "ids")
     ids = F.coalesce(F.col("ids"), F.array().cast("array<bigint>")).alias("available_terminals")
     out = own.unionAll(others).select(*[F.col(f"`{f}`") for f in customers.columns], ids)
     return out.withColumn("nb_terminals", F.size("available_terminals").cast("int"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from paylake.operators import audit, conform, proximity, stats, windows
 from paylake.sources import adapters, files, tables
-from paylake.sources.schemas import CUSTOMER_TYPES, TERMINAL_TYPES, TRANSACTION_TYPES
+from paylake.sources.schemas import CUSTOMER_TYPES, LAYOUTS, TERMINAL_TYPES, TRANSACTION_TYPES
 
 DEFAULT_RADIUS = 5.0
 GOLD_BUCKET_DAYS = 10
@@ -47,6 +47,11 @@ def raw_customers_text(profiles: DataFrame) -> DataFrame:
     return files.to_text(profiles.select(*[c for c, _ in CUSTOMER_TYPES]), {"available_terminals": lists})
 
 
+def land_customers(spark: SparkSession, profiles: DataFrame) -> str:
+    """Raw customers, compressed: lists are most of the bytes and those of rows next to each other are much alike."""
+    return files.land(spark, raw_customers_text(profiles), "customers", files.ZSTD, files.LIST_ROWS)
+
+
 def bronze_transactions(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
     path = files.land(spark, raw_transactions_text(adapters.events_transactions(spark, sf_dir), corrupt),
                       "transactions")
@@ -56,8 +61,7 @@ def bronze_transactions(spark: SparkSession, sf_dir: str, corrupt: bool = False)
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = customer_profiles(adapters.customers(spark, sf_dir), adapters.terminals(spark, sf_dir),
                                  adapters.events_transactions(spark, sf_dir))
-    path = files.land(spark, raw_customers_text(profiles), "customers")
-    return files.read_bronze_csv(spark, path, "customers")
+    return files.read_bronze_csv(spark, land_customers(spark, profiles), "customers")
 
 
 def bronze_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +93,8 @@ def bronze_job(spark: SparkSession, raw_paths: dict[str, str], names: LayerNames
         df = files.read_bronze_csv(spark, path, layout, corrupt=True)
         seen = Observation()
         counted = df.observe(seen, F.count_if(F.col(files.CORRUPT).isNotNull()).alias("corrupt")).drop(files.CORRUPT)
-        out[layout] = tables.save_table(counted, names.name(layout, "bronze"), fmt)
+        lists = any(t.startswith("array<") for _, t in LAYOUTS[layout])
+        out[layout] = tables.save_table(counted, names.name(layout, "bronze"), fmt, rows_per_file=files.LIST_ROWS if lists else 0)
         held = names.name(layout, "quarantine")
         if seen.get["corrupt"]:
             tables.save_table(files.quarantine(df), held, fmt)
@@ -157,7 +162,7 @@ def medallion(spark: SparkSession, sf_dir: str, names: LayerNames, gold=gold_job
     terminals = adapters.terminals(spark, sf_dir)
     profiles = customer_profiles(adapters.customers(spark, sf_dir), terminals, tx)
     raw = {"transactions": files.land(spark, raw_transactions_text(tx), "transactions"),
-           "customers": files.land(spark, raw_customers_text(profiles), "customers"),
+           "customers": land_customers(spark, profiles),
            "terminals": files.land(spark, files.to_text(terminal_profiles(terminals)), "terminals")}
     bronze_job(spark, raw, names)
     silver_job(spark, names)

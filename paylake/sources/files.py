@@ -18,6 +18,10 @@ from paylake.sources.schemas import DATETIME_FORMAT, LAYOUTS, string_schema
 
 
 CORRUPT = "_corrupt_record"
+# Parquet's zstd as a codec of text files: Hadoop's own needs a native library.  Its window of some MB
+# spans several rows of lists, where gzip's 32 KB or blocks of lz4 hold less than one.
+ZSTD = "org.apache.parquet.hadoop.codec.ZstandardCodec"
+LIST_ROWS = 1000  # rows of a file of lists, so that scans, which pack files by their few bytes, have tasks of equal rows
 
 
 def list_text(arr: Column, numpy_style: Column | None = None) -> Column:
@@ -50,9 +54,11 @@ def to_text(df: DataFrame, overrides: dict[str, Column] | None = None) -> DataFr
     return df.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with header, no index column, full overwrite."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, compression: str = "none", rows_per_file: int = 0) -> str:
+    """CSV with header, no index column, full overwrite.  A compressed file is read by one task;
+    ``rows_per_file`` bounds its rows (0: as the session says)."""
+    writer = df.write.mode("overwrite").option("header", True).option("compression", compression)
+    (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).csv(path)
     return path
 
 
@@ -67,6 +73,7 @@ def read_bronze_csv(spark: SparkSession, path: str, layout: str, corrupt: bool =
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     # a row is judged by all its cells, whichever columns are asked for
     return (spark.read.option("header", True).option("enforceSchema", False).option("columnPruning", not corrupt)
+            .option("io.compression.codecs", ZSTD)  # besides those that Hadoop knows, by the files' extension
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .schema(schema).csv(path))
 
@@ -79,9 +86,9 @@ def quarantine(corrupt_rows: DataFrame) -> DataFrame:
             .where(F.col(CORRUPT).isNotNull()).select("file", "line"))
 
 
-def land(spark: SparkSession, text_df: DataFrame, name: str) -> str:
+def land(spark: SparkSession, text_df: DataFrame, name: str, compression: str = "none", rows_per_file: int = 0) -> str:
     """Write a text DataFrame to a fresh folder of the shared scratch area."""
-    return write_csv(text_df, scratch_dir(spark, f"raw-{name}"))
+    return write_csv(text_df, scratch_dir(spark, f"raw-{name}"), compression, rows_per_file)
 
 
 def inject_bad_transaction_cells(text_df: DataFrame, id_col: str = "TRANSACTION_ID") -> DataFrame:

@@ -32,6 +32,7 @@ from paylake.config import checkpoint_root, shuffle_partitions
 DEFAULT_DATABASE = "fraud_detection"
 _VERSION = re.compile(r"/v-(\d{6,})-[0-9a-f]+/?$")
 BLOCK_BYTES = 32 << 20  # row groups of clustered tables
+COMPRESSION = "zstd"  # of parquet; finds lists again that lie further back than the 64 KB of snappy
 
 
 def _quoted(part: str) -> str:
@@ -121,8 +122,9 @@ def _ranged(df: DataFrame, column: str, ranges_from: DataFrame | None) -> DataFr
 
 def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None,
                partition_by: list[str] | None = None, cluster_by: str | None = None, keep: int = 1,
-               ranges_from: DataFrame | None = None) -> str:
-    """Full-overwrite save into the catalog as a new version below ``path``; returns the name."""
+               ranges_from: DataFrame | None = None, rows_per_file: int = 0) -> str:
+    """Full-overwrite save into the catalog as a new version below ``path``; returns the name.
+    ``rows_per_file`` bounds the rows of a file (0: as the session says)."""
     spark = df.sparkSession
     root = (path or table_root(spark, name)).rstrip("/")
     former = location(spark, name)
@@ -131,6 +133,10 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None
     if cluster_by:
         df = _ranged(df, cluster_by, ranges_from)
     writer = df.write.format(fmt)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    if fmt == "parquet":
+        writer = writer.option("compression", COMPRESSION)
     if cluster_by and fmt == "parquet":
         writer = (writer.option(f"parquet.bloom.filter.enabled#{cluster_by}", "true")
                   .option("parquet.block.size", str(BLOCK_BYTES)))
